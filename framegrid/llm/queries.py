@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, url_filters
+from framegrid.llm import common, mixing, quality, sharding, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,59 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
+
+
+def op3_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op5_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
+
+
+OP5_SQL = f"""
+with sized as (
+  select doc_id, coalesce('s' || source, 't') as name, md5('{mixing.SEED}:' || coalesce(cast(doc_id as varchar), '')) as spot,
+         case when text is null then 0 else len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) end as size
+  from documents),
+total as (
+  select name, cast(sum(size) as bigint) as source_size, row_number() over (order by name) - 1 as rank from sized group by name),
+weighed as (select *, case rank % 3 when 0 then 5 when 1 then 2 else 1 end as weight from total),
+filled as (
+  select *, (select sum(source_size) from total) - coalesce(sum(3 * source_size) over before, 0) as left_over,
+         (select sum(weight) from weighed) - coalesce(sum(weight) over before, 0) as weight_over
+  from weighed window before as (order by 3 * source_size / weight, rank rows between unbounded preceding and 1 preceding)),
+capped as (
+  select *, not bool_or(3 * source_size * weight_over > weight * left_over) over (order by 3 * source_size / weight, rank) as is_capped from filled),
+share as (
+  select cast(arg_min(left_over, rank_in) as double) / cast(arg_min(weight_over, rank_in) as double) as share
+  from (select *, row_number() over (order by 3 * source_size / weight, rank) as rank_in from capped) where not is_capped),
+goal as (
+  select name, source_size, case when is_capped then cast(3 * source_size as double) else weight * (select share from share) end as target from capped),
+queued as (
+  select doc_id, size, source_size, target,
+         sum(size) over (partition by name order by spot, doc_id, size rows between unbounded preceding and current row) as upto
+  from sized join goal using (name)),
+sent as (
+  select doc_id, size, cast(upto + e * source_size as double) / target as finish
+  from queued, (select unnest([0, 1, 2]) as e) where target > 0),
+grouped as (select finish, sum(size) as size from sent group by finish),
+running as (select finish, sum(size) over (order by finish rows between unbounded preceding and current row) as upto from grouped),
+cut as (select max(finish) as cut from running where upto <= (select sum(size) from sized))
+select doc_id, size, source_size, target,
+       cast(case when target > 0 then size * (
+         (case when cast(upto as double) / target <= (select cut from cut) then 1 else 0 end)
+         + (case when cast(upto + source_size as double) / target <= (select cut from cut) then 1 else 0 end)
+         + (case when cast(upto + 2 * source_size as double) / target <= (select cut from cut) then 1 else 0 end)) else 0 end as bigint) as taken
+from queued"""
+
+
 #: The rules of the contract.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 #: Labels of the listed domains, each under the three suffixes.
@@ -46,8 +99,8 @@ from split"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_url_filter": op7_url_filter}
+    return {"op1_compression_bands": op1_compression_bands, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": _op7_sql()}
+    return {"op5_fair_queueing": OP5_SQL, "op7_url_filter": _op7_sql()}
