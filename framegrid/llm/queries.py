@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, mixing, quality, sharding, url_filters
+from framegrid.llm import common, decontaminate, mixing, quality, sharding, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,8 +98,14 @@ select page_id, host, path, case {rule} else null end as rule,
 from split"""
 
 
+def op10_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    leak = decontaminate.flag(docs, _table(spark, sf_dir, "benchmark"))
+    return leak.select("doc_id", (F.size("leak.items") > 0).alias("contaminated"), F.col("leak.items").alias("item_ids"), F.col("leak.edits").alias("edits"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_compression_bands": op1_compression_bands, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter}
+    return {"op1_compression_bands": op1_compression_bands, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter, "op10_qgram_lemma": op10_qgram_lemma}
 
 
 def oracle_sql() -> dict[str, str]:
