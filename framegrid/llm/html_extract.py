@@ -121,7 +121,7 @@ class Scorer:
     def tag(self, key: str) -> float:
         if (w := self.learned.get(key)) is None:
             w = self.learned.get(key.split(".")[0], 0.0)
-        return min(-0.1, w)
+        return max(-2.0, min(-0.1, w))
 
     def extract(self, page: str) -> str:
         seen = list(events(page))

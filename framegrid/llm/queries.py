@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, decontaminate, html_extract, mixing, quality, sharding, url_filters
+from framegrid.llm import common, decontaminate, html_extract, mixing, near_dups, quality, sharding, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,10 @@ select page_id, host, path, case {rule} else null end as rule,
 from split"""
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_scoring_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extract.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -110,7 +114,7 @@ def op10_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_compression_bands": op1_compression_bands, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
+    return {"op1_compression_bands": op1_compression_bands, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
 
 
 def oracle_sql() -> dict[str, str]:
