@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, decontaminate, html_extract, mixing, near_dups, quality, sharding, url_filters
+from framegrid.llm import common, decontaminate, html_extract, language_id, mixing, near_dups, quality, sharding, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
 
 
+def _held_out(modulus: int, remainder: int):
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
+
+
+def op2_segment_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
+    model = language_id.learn(docs.where("not held_out"))
+    found = language_id.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 def op3_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -114,7 +125,7 @@ def op10_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_compression_bands": op1_compression_bands, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
+    return {"op1_compression_bands": op1_compression_bands, "op2_segment_unigrams": op2_segment_unigrams, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
 
 
 def oracle_sql() -> dict[str, str]:
