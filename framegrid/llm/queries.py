@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, decontaminate, html_extract, language_id, mixing, near_dups, quality, sharding, url_filters
+from framegrid.llm import common, decontaminate, html_extract, language_id, mixing, near_dups, quality, sharding, substring_dedup, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,27 @@ select doc_id, size, source_size, target,
 from queued"""
 
 
+def op6_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.removals(_table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP6_SQL = """
+with texts as (select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as words from documents),
+windows as (
+  select doc_id, i, sha256(array_to_string(words[i : i + 49], ' ')) as w
+  from (select doc_id, words, unnest(range(1, len(words) - 48)) as i from texts where len(words) >= 50)),
+first as (select w, min(doc_id) as first_id from windows group by w),
+hit as (select doc_id, i from windows join first using (w) where first_id < doc_id),
+gone as (select doc_id, list(distinct k) as gone from (select doc_id, unnest(range(i, i + 50)) as k from hit) group by doc_id),
+kept as (
+  select t.doc_id, words, coalesce(gone, []) as gone from texts t left join gone g on g.doc_id = t.doc_id)
+select doc_id, cast(len(words) as bigint) as n_words, cast(len(gone) as bigint) as n_removed,
+       sha256(coalesce((select string_agg(word, ' ' order by k) from (select unnest(words) as word, unnest(range(1, len(words) + 1)) as k)
+                        where not list_contains(gone, k)), '')) as kept_sha256
+from kept"""
+
+
 #: The rules of the contract.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 #: Labels of the listed domains, each under the three suffixes.
@@ -125,8 +146,8 @@ def op10_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_compression_bands": op1_compression_bands, "op2_segment_unigrams": op2_segment_unigrams, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
+    return {"op1_compression_bands": op1_compression_bands, "op2_segment_unigrams": op2_segment_unigrams, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op6_suffix_trees": op6_suffix_trees, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_fair_queueing": OP5_SQL, "op7_url_filter": _op7_sql()}
+    return {"op5_fair_queueing": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op7_url_filter": _op7_sql()}
