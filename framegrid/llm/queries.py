@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, decontaminate, html_extract, language_id, mixing, near_dups, quality, sharding, substring_dedup, url_filters
+from framegrid.llm import common, decontaminate, html_extract, language_id, lm_scoring, mixing, near_dups, quality, sharding, substring_dedup, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op3_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", _held_out(7, 2))
+    return lm_scoring.scores(docs)
+
+
 def op5_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
@@ -146,7 +151,7 @@ def op10_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_compression_bands": op1_compression_bands, "op2_segment_unigrams": op2_segment_unigrams, "op3_karmarkar_karp": op3_karmarkar_karp, "op5_fair_queueing": op5_fair_queueing, "op6_suffix_trees": op6_suffix_trees, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
+    return {"op1_compression_bands": op1_compression_bands, "op2_segment_unigrams": op2_segment_unigrams, "op3_karmarkar_karp": op3_karmarkar_karp, "op4_context_mixing": op4_context_mixing, "op5_fair_queueing": op5_fair_queueing, "op6_suffix_trees": op6_suffix_trees, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
 
 
 def oracle_sql() -> dict[str, str]:
