@@ -18,8 +18,6 @@ from framegrid.streaming import windows
 
 #: How many pending frames the limited resume query takes.
 RESUME_LIMIT = 100
-#: What the template holds in the first table row before it is filled.
-TEMPLATE = F.when(F.col("row_idx") == 0, "-")
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +75,8 @@ def time_axis(spark: SparkSession, d: str) -> DataFrame:
 
 def filled_grid(spark: SparkSession, d: str) -> DataFrame:
     documents = T.samples(spark, d).select("document").distinct()
-    return fill.filled_grid(cell_strings(spark, d), documents, TEMPLATE)
+    template = F.when(F.col("row_idx") == 0, "-")  # what the sheet holds before it is filled
+    return fill.filled_grid(cell_strings(spark, d), documents, template)
 
 
 def pivot_table(spark: SparkSession, d: str) -> DataFrame:
