@@ -1,0 +1,268 @@
+"""Near-duplicates, substrings, mixing, shards, scoring and the pipeline, against brute force."""
+
+from __future__ import annotations
+
+import os
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import numpy as np
+import pytest
+
+from pyspark.sql import functions as F
+
+from framegrid.llm import components, lm_scoring, mixing, near_dups, queries, sharding, substring_dedup
+
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def shingles(text):
+    words = (text or "").encode().split()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
+
+
+def brute_groups(rows):
+    """The rows of each class."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (d, t) in enumerate(rows):
+        for j in range(i):
+            e, u = rows[j]
+            if t is None or u is None:
+                same = t is None and u is None and d == e
+            elif not sets[i] or not sets[j]:
+                same = t == u
+            else:
+                both = len(sets[i] & sets[j])
+                same = both >= 0.8 * (len(sets[i]) + len(sets[j]) - both)
+            if same:
+                parent[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i in range(len(rows)):
+        groups[find(i)].append(i)
+    return list(groups.values())
+
+
+def brute_classes(rows):
+    """Least doc_id (None last) of each row's class."""
+    return {i: min((rows[k][0] for k in g), key=lambda x: (x is None, x)) for g in brute_groups(rows) for i in g}
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(1)
+    a = np.unique(rng.integers(0, 2**63, 900).astype(np.uint64))
+    b = np.unique(np.concatenate([a[:700], rng.integers(0, 2**63, 200).astype(np.uint64)]))
+    true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    got = np.mean(near_dups.signature(a, 2048) == near_dups.signature(b, 2048))
+    assert abs(got - true) < 0.05
+    assert len(set(near_dups.signature(a[:1], 64).tolist())) == 64
+
+
+def test_classes_against_brute_force(docs, clashing):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = Counter((rows[i][0], c) for i, c in brute_classes(rows).items())
+    assert Counter((r.doc_id, r.class_id) for r in near_dups.classes(clashing).collect()) == want
+
+
+def test_op8_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    want = {rows[i][0]: c for i, c in brute_classes(rows).items()}
+    assert {r.doc_id: r.class_id for r in queries.op8_dart_minhash(spark, DATA).collect()} == want
+
+
+def test_distinct_keeps_one_row_of_each_class(docs, clashing, empty):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = near_dups.distinct(clashing)
+    assert kept.columns == clashing.columns
+    assert kept.count() == len(brute_groups(rows))
+    assert near_dups.distinct(empty).count() == 0
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(60)] + [(200, 100), (300, 200), (7, 7)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(1, 61)} | {200: 100, 300: 100}
+
+
+def brute_removals(rows, window):
+    last = 1 << 63
+    first = {}
+    for d, t in rows:
+        w = (t or "").encode().split()
+        for i in range(len(w) - window + 1):
+            k = tuple(w[i : i + window])
+            first[k] = min(first.get(k, last), last if d is None else d)
+    out = []
+    for d, t in rows:
+        w = (t or "").encode().split()
+        gone = {i + j for i in range(len(w) - window + 1) if first[tuple(w[i : i + window])] < (last if d is None else d) for j in range(window)}
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("most", [4096, 0])
+def test_removals_against_brute_force(docs, clashing, monkeypatch, most):
+    monkeypatch.setattr(substring_dedup, "MOST_CONTEXTS", most)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = substring_dedup.removals(clashing)
+    assert Counter(tuple(r)[:4] for r in got.collect()) == brute_removals(rows, 50)
+
+
+def test_short_windows(docs, empty):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = substring_dedup.removals(docs, window=12, prefix=4)
+    assert Counter(tuple(r)[:4] for r in got.collect()) == brute_removals(rows, 12)
+    assert substring_dedup.removals(empty).count() == 0
+
+
+def test_op6_matches_sql(spark, against_sql):
+    against_sql(queries.op6_suffix_trees(spark, DATA), queries.oracle_sql()["op6_suffix_trees"])
+
+
+def test_op5_matches_sql(spark, against_sql):
+    against_sql(queries.op5_fair_queueing(spark, DATA), queries.oracle_sql()["op5_fair_queueing"])
+
+
+def test_targets():
+    assert mixing.targets([100, 100, 100], [5, 2, 1]) == [8 * 0 + 5 * 300 / 8, 2 * 300 / 8, 300 / 8]
+    assert mixing.targets([10, 100, 100], [5, 2, 1]) == [30.0, 120.0, 60.0]
+    assert mixing.targets([0, 0], [5, 2]) == [0.0, 0.0] and mixing.targets([], []) == []
+
+
+def test_mix_cases(docs, clashing, empty):
+    got = mixing.mix(clashing).collect()
+    assert len(got) == docs.count() and all(0 <= r.times <= 3 for r in got)
+    by = defaultdict(list)
+    for r in got:
+        by[r.source].append(r)
+    names = sorted((s for s in by if s is not None)) + [None]
+    sizes = [sum(r.size for r in by[s]) for s in names]
+    goals = mixing.targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(names))])
+    largest = max(r.size for r in got)
+    for s, size, goal in zip(names, sizes, goals, strict=True):
+        assert {(r.source_size, r.target) for r in by[s]} == {(size, goal)}
+        assert abs(sum(r.size * r.times for r in by[s]) - goal) <= 2 * largest
+    again = sorted((str(r.doc_id), r.size, r.times) for r in mixing.mix(docs.repartition(3)).collect())
+    assert again == sorted((str(r.doc_id), r.size, r.times) for r in got)
+    sent = mixing.sent(clashing)
+    assert sent.columns == clashing.columns and sent.count() == sum(r.times for r in got)
+    assert mixing.mix(empty).count() == 0 and mixing.sent(empty).count() == 0
+
+
+def test_blocks_do_not_change_the_mix(docs, monkeypatch):
+    want = sorted((str(r.doc_id), r.size, r.times) for r in mixing.mix(docs).collect())
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 2)
+    assert sorted((str(r.doc_id), r.size, r.times) for r in mixing.mix(docs).collect()) == want
+
+
+def test_differencing():
+    assert sharding.differencing([], 2) == []
+    sums = [0, 0]
+    parts = [8, 7, 6, 5, 4]
+    for size, goes in zip(parts, sharding.differencing([(p, 0) for p in parts], 2), strict=True):
+        sums[goes[0]] += size
+    assert sorted(sums) == [14, 16]  # the classic example of the differencing method
+
+
+@pytest.mark.parametrize("bucket", [16384, 5])
+def test_shards(docs, clashing, empty, monkeypatch, bucket):
+    monkeypatch.setattr(sharding, "BUCKET_GROUPS", bucket)
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 7)
+    got = sharding.shards(clashing).collect()
+    texts = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs.collect())
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == texts
+    assert all(len(s) == 1 for s in _by(got, "key", "shard").values())
+    for slots in _lists(got, "shard", "slot").values():
+        assert sorted(slots) == list(range(len(slots)))
+    groups = Counter()
+    for r in got:
+        groups[bytes(r.key)] += r.size
+    total, largest = sum(groups.values()), max(groups.values())
+    sums = [sum(v) for v in _lists(got, "shard", "size").values()]
+    assert max(sums) <= max(1.001 * largest, 1.05 * (total - largest) / 7)
+    assert sharding.shards(empty).count() == 0
+
+
+def _lists(rows, a, b):
+    out = defaultdict(list)
+    for r in rows:
+        out[r[a] if not isinstance(r[a], bytearray) else bytes(r[a])].append(r[b])
+    return out
+
+
+def _by(rows, a, b):
+    return {k: set(v) for k, v in _lists(rows, a, b).items()}
+
+
+def test_op3_is_near_equal(spark):
+    sums = [r[1] for r in queries.op3_karmarkar_karp(spark, DATA).groupBy("shard").sum("size").collect()]
+    assert len(sums) == 8 and max(sums) - min(sums) <= 0.001 * sum(sums)
+
+
+def test_scores(docs, clashing, empty):
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    got = lm_scoring.scores(clashing.withColumn("held_out", held)).collect()
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    out = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+    tokens = lambda t: [*(t or "").encode().lower().split(), b"\n"]
+    counts = Counter(w for d, t in rows if not out(d) for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    want = sorted((str(d), out(d), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens(t)), 4)) for d, t in rows)
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    assert lm_scoring.scores(empty.withColumn("held_out", F.lit(False))).count() == 0
+    nothing = lm_scoring.scores(docs.withColumn("held_out", F.lit(True))).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in nothing)
+
+
+def test_bits_are_those_of_the_bytes():
+    coded, of = lm_scoring.units([b"ab", lm_scoring.END, b"x" * 70])
+    assert [len(u) for u in coded] == [3, 1, 65, 7] and of.tolist() == [0, 1, 2, 2]
+    seen = defaultdict(list)
+    for rows, _, bits, slots in lm_scoring.steps(coded):
+        assert slots.min() >= 0 and slots.max() < 1 << lm_scoring.TABLE_BITS
+        for r, b in zip(rows, bits, strict=True):
+            seen[int(r)].append(int(b))
+    assert [bytes(int("".join(map(str, seen[i][k : k + 8])), 2) for k in range(0, len(seen[i]), 8)) for i in range(4)] == coded
+
+
+def test_probabilities_of_words_sum_to_one():
+    """Over all continuations of a byte, the mixed predictions are a distribution."""
+    table = np.random.default_rng(0).integers(0, 40, (lm_scoring.ORDERS, 2 << lm_scoring.TABLE_BITS), dtype=np.uint8)
+    words = [bytes([c]) for c in range(33, 127)]
+    mixer = lm_scoring.Mixer.fresh(table)
+    every = [bytes([c, 0x20]) for c in range(256)]
+    total = np.zeros(256)
+    for rows, b, bit, slots in list(lm_scoring.steps(every))[:8]:
+        packed = mixer.inputs(slots)
+        gate = lm_scoring.Mixer.gate(packed != 0, b)
+        x = lm_scoring.STRETCH[(packed >> 8).astype(int) * 256 + (packed & 255)]
+        p = mixer.refined(gate, (mixer.weights[gate].T * x).sum(axis=0))
+        total[rows] += np.log(np.where(bit, p, 1 - p))
+    assert words and abs(np.exp(total).sum() - 1) < 1e-9
+
+
+def test_pipeline(spark):
+    out = corpus_pipeline.run(spark, DATA).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    stage = spark.read.parquet(f"{DATA}/documents.parquet")
+    sizes = []
+    for _, f in corpus_pipeline.STAGES[:4]:
+        before = stage
+        stage = spark.createDataFrame(f(spark, before, DATA).collect(), before.schema)
+        assert stage.columns == before.columns
+        sizes.append(stage.count())
+    assert sizes[0] >= sizes[1] >= sizes[2] > 0 and len(out) == sizes[3]
+    assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in stage.collect())
+    assert all(r["size"] == len(docs[r.doc_id].text.encode()) + 1 for r in out)
