@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import pytest
-from conftest import DATA
+
 
 import __spark_entry__ as entry
 from framegrid.plans import registry
 
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_matches_sql(spark, against_sql, name):
