@@ -50,15 +50,18 @@ def saved(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Delete every stored table; call it once the results that read them have been written."""
-    while _stored:
-        path, spark = _stored.popitem()
-        jvm = spark.sparkContext._jvm
-        if jvm is None:
-            continue
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def stored() -> set[str]:
+    """Paths of the tables that are stored now."""
+    return set(_stored)
+
+
+def release(paths: set[str] | None = None) -> None:
+    """Delete stored tables, all if none are named; call it once the results that read them have been written."""
+    for path in stored() if paths is None else paths & stored():
+        spark = _stored.pop(path)
+        if (jvm := spark.sparkContext._jvm) is not None:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @atexit.register
