@@ -53,8 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each result is stored before the next stage reads it."""
+    """All stages over the documents table; each result is stored before the next stage reads it, and what it was made of is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    begun, kept = common.stored(), set()
     for name, stage in STAGES:
-        docs = common.saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        made = stage(spark, docs, sf_dir)
+        before = common.stored()
+        docs = common.saved(made, name.replace(" ", "-"))
+        kept = common.stored() - before
+        common.release(common.stored() - begun - kept)
     return docs
