@@ -28,10 +28,12 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only in local mode where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if "local" not in _own:
         _own["local"] = tempfile.mkdtemp(prefix="framegrid-")
     return _own["local"]
