@@ -55,7 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each result is stored before the next stage reads it, and what it was made of is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    begun, kept = common.stored(), set()
+    begun = common.stored()
     for name, stage in STAGES:
         made = stage(spark, docs, sf_dir)
         before = common.stored()
