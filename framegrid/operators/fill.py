@@ -44,12 +44,15 @@ def pivoted(cells: DataFrame, table: Table = Table()) -> DataFrame:
     return wide.select("document", "row_idx", *(F.col(str(i)).alias(f"c{i}") for i in range(table.columns)))
 
 
-def summary(labelled: DataFrame, placed: DataFrame, cells: DataFrame, symbols: DataFrame, table: Table = Table()) -> DataFrame:
-    samples = labelled.groupBy("document").agg(F.count("*").alias("samples"))
-    un = placed.groupBy("document").agg(F.count_if(F.col("event") == table.unmapped).alias("un_count"), F.count_distinct("col_idx", "row_idx").alias("filled_cells"))
-    size = symbols.agg(F.count("*").alias("map_size"))
-    none = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return samples.join(un, "document", "left").join(F.broadcast(size)).select(
-        "document", "samples", none("un_count"), none("filled_cells"), "map_size",
-        F.lit(table.columns).cast("long").alias("n_cols"), F.lit(table.rows).cast("long").alias("n_rows"),
+def summary(labelled: DataFrame, symbols: DataFrame, table: Table = Table()) -> DataFrame:
+    """One pass over the labelled events; the size of the symbol map is one row, added to each."""
+    inside = E.in_table(F.col("time_s"), table)
+    column, row = E.time_cell(F.col("time_s"), table)
+    counted = labelled.groupBy("document").agg(
+        F.count("*").alias("samples"), F.count_if(inside & (F.col("event") == table.unmapped)).alias("un_count"),
+        F.count_distinct(F.when(inside, column * table.rows + row)).alias("filled_cells"),
     )
+    size = symbols.agg(F.count("*").alias("map_size"))
+    return counted.join(F.broadcast(size)).select(
+        "*", F.lit(table.columns).cast("long").alias("n_cols"), F.lit(table.rows).cast("long").alias("n_rows")
+    )

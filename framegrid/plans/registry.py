@@ -143,9 +143,7 @@ def stage2_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stage3_summary(spark: SparkSession, d: str) -> DataFrame:
-    labelled = _events(spark, d)
-    placed = locate.placed(labelled)
-    return fill.summary(labelled, placed, fill.cell_strings(placed), locate.last_symbols(T.symbols(spark, d)))
+    return fill.summary(_events(spark, d), locate.last_symbols(T.symbols(spark, d)))
 
 
 def frame_listing(spark: SparkSession, d: str) -> DataFrame:
