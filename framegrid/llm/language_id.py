@@ -224,7 +224,8 @@ def _tally(pieces: list[str], languages: list[str], p: np.ndarray):
 def learn(labelled: DataFrame, rounds: int = 2, sample_texts: int = SAMPLE_TEXTS, vocabulary: str = VOCABULARY, text: str = "text", lang: str = "lang") -> Model:
     """Fit on rows with a language; at most about ``sample_texts`` of each are used."""
     pieces = read_pieces(vocabulary)
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    by = [F.col(text), *([F.col("doc_id")] if "doc_id" in labelled.columns else [])]  # so that not all copies of a text are picked
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(*by).alias("at")).where("lang is not null and text is not null")
     totals = {r.lang: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(totals) > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages")
@@ -232,7 +233,7 @@ def learn(labelled: DataFrame, rounds: int = 2, sample_texts: int = SAMPLE_TEXTS
     if not languages:
         return Model([], pieces, np.zeros((len(pieces) + 2, 0)))
     part = F.element_at(F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, sample_texts / totals[k])))), F.col("lang"))
-    sample = saved(rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20)), "sample")
+    sample = saved(rows.where(F.pmod("at", F.lit(1 << 20)) < part * (1 << 20)).select("lang", "text"), "sample")
     counts = np.ones((len(pieces) + 2, len(languages)))
     for _ in range(rounds):
         tallied = sample.mapInArrow(_tally(pieces, languages, _probabilities(counts)), "piece long, lang long, n long")
