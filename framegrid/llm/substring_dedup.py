@@ -259,7 +259,7 @@ def removals(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, doc_id
         "texts",
     )
     spots = texts.select("id", "tid", F.explode(F.arrays_zip("places", "grams")).alias("at")).select("id", "tid", F.col("at.places").alias("place"), F.col("at.grams").alias("gram"))
-    shared = spots.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("gram")
+    shared = saved(spots.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("gram"), "shared")
     wanted = saved(spots.join(shared, "gram").groupBy("id", "tid").agg(F.collect_list("place").alias("places")), "wanted")
     rows = source.where("text is not null").withColumns({"id": order, "tid": F.hash("key")}).join(wanted, ["id", "tid"])
     around = saved(rows.select("id", "tid", "text", "places").mapInArrow(_contexts(window, prefix), _CONTEXT), "around", ["kind"])
