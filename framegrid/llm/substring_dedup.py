@@ -275,7 +275,7 @@ def removals(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, doc_id
     leaves = _gathered(small, parts).mapInArrow(_trees(window, before), _RESULT)
     if whole is not None:
         by_window = saved(once(whole).mapInArrow(_windows(window, before), "key binary, context binary, bit bigint, least bigint"), "by-window")
-        first = by_window.groupBy("key").agg(F.min("least").alias("first"))
+        first = saved(by_window.groupBy("key").agg(F.min("least").alias("first")), "first")
         found = by_window.join(first, "key").groupBy("context").agg(
             F.min("least").alias("least"), F.bit_or("bit").alias("fits"), F.coalesce(F.bit_or(F.when(F.col("first") < F.col("least"), F.col("bit"))), F.lit(0)).cast("long").alias("earlier")
         )
