@@ -5,9 +5,11 @@ alone; a text throws those up to a rank that gives about t (ln t + 2) darts in a
 dart. Texts that agree in all coordinates of a band are candidates; Jaccard similarity over whole shingle sets decides.
 
 Texts with equal shingle sets are one representative from the start. Within a bucket of representatives, each is paired
-with the bucket's least member and with its hub, the member with the most bucket mates over all bands; whoever stays apart
-from the hub's class meets the next ``HUBS`` hubs too. No bucket is expanded into all pairs, and copies of one original meet
-through it.
+with the bucket's least member and with its hub, the member with the most bucket mates over all bands, so copies of one
+original meet through it. In buckets that still hold several classes, every pair across classes is then settled: parity
+bitmaps give a bound on the similarity that no pair at the limit or above fails, and what passes the bound is compared
+exactly, first a spanning forest of the nearest pairs, then all that is left between classes. Large buckets are dealt out
+by pairs of blocks.
 
 Cases: texts of one to four words are one element; a text without words equals only equal texts; null texts equal only
 rows with the same doc_id; null ids are allowed and sort last; repeated rows share a class; an empty table gives an empty
@@ -19,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -30,8 +33,10 @@ from framegrid.llm.components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
-#: Members of a bucket that those apart from its first hub are compared with.
-HUBS = 16
+#: Members of a bucket that are held against each other in one task.
+BLOCK = 4096
+#: Bits of a parity bitmap.
+PARITY_BITS = 1024
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
 #: Hashes of words that a task keeps at hand.
@@ -110,24 +115,30 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parity(elements: np.ndarray) -> bytes:
+    """For each slot whether an odd number of elements falls in it: two sets differ in at least as many elements as bits."""
+    odd = np.bincount((elements % _U(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
 def _sign(bands: int, rows: int):
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
         for batch in it:
-            keys, counts, found = [], [], []
+            keys, counts, found, odd = [], [], [], []
             for row, text in zip(batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
                 s = shingles(text or b"")
                 counts.append(len(s))
                 if len(s):
                     keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                     found.append(band_keys(signature(s, bands * rows), bands, rows))
+                    odd.append(parity(s))
                 else:
                     keys.append(row if text is None else xxhash.xxh3_128_digest(b"no words:" + text))
                     found.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "row", "set_key", "n_shingles", "bands"],
-            )
+                    odd.append(None)
+            columns = [pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(odd, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "set_key", "n_shingles", "bands", "parity"])
 
     return sign
 
@@ -153,34 +164,95 @@ def _similar(least: float):
     return check
 
 
+def possible(members: pd.DataFrame, similarity: float, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of members (set_key, root, n_shingles, parity, part) of different roots, and of different parts where there are two, that may be similar.
+
+    Sets of a and b elements with d in one of them alone are similar at s if d <= (a + b) (1 - s) / (1 + s).
+    """
+    bits = np.frombuffer(b"".join(members["parity"]), np.uint64).reshape(len(members), -1)
+    size = members["n_shingles"].to_numpy()
+    root = members["root"].map(bytes).astype("category").cat.codes.to_numpy()
+    part = members["part"].to_numpy()
+    largest = np.bincount(root).argmax()
+    share = (1 - similarity) / (1 + similarity) + 1e-9
+    at, to, off = [], [], []
+    for i in np.flatnonzero(root != largest):
+        mates = (root != root[i]) & ((root == largest) | (np.arange(len(root)) > i))
+        if part.min() != part.max():
+            mates &= part != part[i]
+        mates = np.flatnonzero(mates)
+        both = size[mates] + size[i]
+        apart = np.maximum(np.bitwise_count(bits[mates] ^ bits[i]).sum(axis=1, dtype=np.int64), np.abs(size[mates] - size[i]))
+        near = apart <= both * share
+        at.append(np.full(near.sum(), i))
+        to.append(mates[near])
+        off.append(apart[near] / both[near])
+    if not at:
+        return []
+    at, to, off = np.concatenate(at), np.concatenate(to), np.concatenate(off)
+    if not forest:
+        return list(zip(at.tolist(), to.tolist(), strict=True))
+    parent = list(range(int(root.max()) + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for k in np.argsort(off, kind="stable"):
+        x, y = find(root[at[k]]), find(root[to[k]])
+        if x != y:
+            parent[x] = y
+            out.append((int(at[k]), int(to[k])))
+    return out
+
+
+def _across(similarity: float, forest: bool):
+    def across(members: pd.DataFrame) -> pd.DataFrame:
+        members = members.sort_values("set_key", ignore_index=True)
+        key = members["set_key"]
+        pairs = possible(members, similarity, forest)
+        return pd.DataFrame({"bucket": members["bucket"].iloc[0], "set_key": [key[i] for i, _ in pairs], "to": [key[j] for _, j in pairs]}, columns=["bucket", "set_key", "to"])
+
+    return across
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows with their set_key, verified pairs of set_keys)."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
     id_type = dict(keyed.dtypes)["doc_id"]
     signed = saved(
-        keyed.mapInArrow(_sign(bands, rows), f"doc_id {id_type}, row binary, set_key binary, n_shingles long, bands array<bigint>"), "signed"
+        keyed.mapInArrow(_sign(bands, rows), f"doc_id {id_type}, row binary, set_key binary, n_shingles long, bands array<bigint>, parity binary"), "signed"
     )
-    sets = saved(signed.where("bands is not null").groupBy("set_key").agg(F.min("row").alias("row"), F.first("bands").alias("bands")), "sets")
+    one = [F.min("row").alias("row"), *(F.first(c).alias(c) for c in ("bands", "n_shingles", "parity"))]
+    sets = saved(signed.where("bands is not null").groupBy("set_key").agg(*one), "sets")
     members = sets.select("set_key", F.explode("bands").alias("bucket"))
     shared = saved(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("set_key").alias("least")).where("n > 1"), "shared")
     mates = saved(members.join(shared, "bucket"), "mates")
     degree = mates.groupBy("set_key").agg(F.sum("n").alias("degree"))
-    ranked = Window.partitionBy("bucket").orderBy(F.desc("degree"), "set_key")
-    hubs = saved(mates.join(degree, "set_key").select("bucket", "set_key", F.row_number().over(ranked).alias("rank")).where(F.col("rank") <= HUBS), "hubs")
-    first = hubs.where("rank = 1").select("bucket", F.col("set_key").alias("hub"))
+    most = F.max_by("set_key", F.struct("degree", "set_key")).alias("hub")
+    first = saved(mates.join(degree, "set_key").groupBy("bucket").agg(most), "hubs")
     starred = mates.join(first, "bucket").select("set_key", F.explode(F.array_distinct(F.array("least", "hub"))).alias("to"))
     tried = saved(_pairs(starred), "tried")
     found = _verified(tried, keyed, sets, similarity)
 
-    # who is still apart from a bucket's hub meets the bucket's other hubs that it is apart from
-    root = saved(components(found), "roots")
-    rooted = lambda df, key, name: df.join(root.select(F.col("node").alias(key), F.col("root").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
-    hub_roots = rooted(hubs.select("bucket", F.col("set_key").alias("to"), "rank"), "to", "to_root")
-    mine = rooted(mates.select("bucket", "set_key"), "set_key", "root")
-    apart = mine.join(hub_roots.where("rank = 1").select("bucket", F.col("to_root").alias("hub_root")), "bucket").where("root != hub_root").select("bucket", "set_key", "root")
-    others = saved(_pairs(apart.join(hub_roots.select("bucket", "to", "to_root"), "bucket").where("root != to_root").select("set_key", "to")), "others")
-    more = _verified(others.join(tried, ["u", "v"], "left_anti"), keyed, sets, similarity)
-    return signed.drop("bands"), found.unionByName(more)
+    # two members have met as least member or hub; larger buckets may hold classes that have not met
+    open_ = mates.where("n > 2").select("bucket", "set_key", "n")
+    for forest in (True, False):
+        root = saved(components(found), "roots").withColumnRenamed("node", "set_key")
+        mine = saved(open_.join(root, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), "rooted")
+        mixed = mine.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
+        across = mine.join(mixed, "bucket").join(sets.select("set_key", "n_shingles", "parity"), "set_key")
+        parts = F.ceil(F.col("n") / BLOCK).cast("int")
+        dealt = across.withColumn("part", F.pmod(F.xxhash64("set_key"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        blocks = dealt.select("bucket", "set_key", "root", "n_shingles", "parity", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
+        near = saved(blocks.groupBy("bucket", "a", "b").applyInPandas(_across(similarity, forest), "bucket long, set_key binary, to binary"), "near")
+        fresh = saved(_pairs(near).join(tried, ["u", "v"], "left_anti"), "fresh")
+        found = found.unionByName(_verified(fresh, keyed, sets, similarity))
+        tried = tried.unionByName(fresh)
+        open_ = open_.join(near.select("bucket").distinct(), "bucket", "left_semi")  # the others' pairs are all settled
+    return signed.drop("bands", "parity"), found
 
 
 def _pairs(starred: DataFrame) -> DataFrame:

@@ -74,6 +74,34 @@ def test_classes_against_brute_force(docs, clashing):
     assert Counter((r.doc_id, r.class_id) for r in near_dups.classes(clashing).collect()) == want
 
 
+def test_pairs_without_a_hub_in_large_buckets(spark, monkeypatch):
+    """Texts of one template, none similar to another but planted partners."""
+    rng = np.random.default_rng(5)
+    fresh = iter(range(10**6))
+    common = [f"c{i}" for i in range(300)]
+    own = lambda: [f"w{next(fresh)}" for _ in range(60)]
+    rows = []
+    for i in range(60):
+        private = own()
+        rows.append((3 * i, " ".join(common + private)))
+        rows.append((3 * i + 1, " ".join(common + private[:45] + own()[:15])))
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    want = {rows[i][0]: c for i, c in brute_classes(rows).items()}
+    assert len(set(want.values())) == 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dups, "BLOCK", 40)
+    assert {r.doc_id: r.class_id for r in near_dups.classes(docs, bands=4, rows=1).collect()} == want
+
+
+def test_parity_never_hides_a_similar_pair():
+    rng = np.random.default_rng(2)
+    for n in (1, 9, 300, 20000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n - n // 10], rng.integers(0, 2**63, n // 12).astype(np.uint64)]))
+        x, y = (np.frombuffer(near_dups.parity(s), np.uint64) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_op8_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     want = {rows[i][0]: c for i, c in brute_classes(rows).items()}
