@@ -2,7 +2,9 @@
 
 Weights are log odds learned from labelled pages, those that mark their text with ``<article>``, ``<main>`` or
 ``role="main"``: of words by the block they stand in, of tags by name and class. A linear scan finds the best region;
-blocks of it that stand in menus, forms, notices, comments and the like are left out.
+blocks of it that stand in menus, forms, notices, comments and the like are left out. Where such a block stands inside of a
+region that is labelled, or in a section or classed block that training pages hold mostly inside of theirs, it scores
+nothing, so it does not cut the region; elsewhere its words and tags are negative.
 
 Cases: null and empty html give an empty text; broken markup (open quotes, unclosed or cut tags) is read as far as it
 goes; a page without words in a region gives an empty text; without labelled pages the built-in priors hold; null urls
@@ -15,7 +17,7 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,14 +52,15 @@ ROLE_MAIN = re.compile(r"\brole\s*+=\s*+[\"']?main\b", re.I)
 HEADINGS = frozenset(("article", "main"))
 
 
-def events(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(key, text, within a labelled region, starts or ends a block) for each tag and run of text, in page order."""
-    stack: list[tuple[str, str, bool, bool]] = []  # name, block's key, outside, labelled
+def events(page: str, positive: Callable[[str], bool] = lambda tag: False) -> Iterator[tuple[str, str, bool, bool, bool]]:
+    """(key, text, within a labelled region, starts or ends a block, excluded within a labelled or positive region) for each
+    tag and run of text, in page order."""
+    stack: list[tuple[str, str, bool, bool, bool]] = []  # name, block's key, outside, labelled, held by a region around what is outside
     at = 0
 
-    def text(run: str) -> tuple[str, str, bool, bool]:
-        _, key, outside, labelled = stack[-1] if stack else ("", "body", False, False)
-        return ("out:" + key if outside else "in:" + key, run, labelled, False)
+    def text(run: str) -> tuple[str, str, bool, bool, bool]:
+        _, key, outside, labelled, held = stack[-1] if stack else ("", "body", False, False, False)
+        return ("out:" + key if outside else "in:" + key, run, labelled, False, outside and held)
 
     for m in TOKEN.finditer(page):
         if m.start() > at:
@@ -68,11 +71,12 @@ def events(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         if m[2]:
             labelled, where = bool(stack) and stack[-1][3], "out:" if stack and stack[-1][2] else ""
+            spared = bool(stack) and stack[-1][2] and stack[-1][4]
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
-            yield f"{where}/{name}", "", labelled and bool(stack) and stack[-1][3], name in BLOCKS
+            yield f"{where}/{name}", "", labelled and bool(stack) and stack[-1][3], name in BLOCKS, spared
             continue
         attributes = m[4]
         if name in BLOCKS and stack and stack[-1][0] != "body":
@@ -82,7 +86,7 @@ def events(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     break
                 if stack[i][0] in BLOCKS:
                     break
-        _, key, outside, labelled = stack[-1] if stack else ("", "body", False, False)
+        _, key, outside, labelled, held = stack[-1] if stack else ("", "body", False, False, False)
         cls = CLASS.search(attributes) if attributes else None
         full = f"{name}.{cls[1].lower()}" if cls else name
         if name == "br":
@@ -92,11 +96,12 @@ def events(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             marks = {w for a in ATTRIBUTE.findall(attributes) for w in re.split(r"[^a-z]+", a.lower())} if attributes else ()
             outside = name in OUTSIDE or name == "header" and not labelled or bool(MARKS.intersection(marks)) and name not in ("html", "body")
             key = full if outside or name in BLOCKS else key
-        yield "out:" * outside + full, "", labelled, name in BLOCKS
+        yield "out:" * outside + full, "", labelled, name in BLOCKS, outside and held
         if name in VOID or attributes.endswith("/") and name not in BLOCKS:
             continue
         main = name in HEADINGS or bool(attributes and ROLE_MAIN.search(attributes))
-        stack.append((name, key, outside, labelled or main))
+        held = held or not outside and (main or name in BLOCKS and (bool(cls) or name == "section") and positive(full))
+        stack.append((name, key, outside, labelled or main, held))
     if at < len(page):
         yield text(page[at:])
 
@@ -105,7 +110,7 @@ def count(page: str, into: Counter) -> None:
     """Add a labelled page's words and tags inside and outside of its labelled region."""
     seen = list(events(page))
     if any(e[2] for e in seen):
-        for key, run, labelled, _ in seen:
+        for key, run, labelled, _, _ in seen:
             into[key, labelled] += len(run.split()) if run else 1
 
 
@@ -124,12 +129,14 @@ class Scorer:
         return max(-2.0, min(-0.1, w))
 
     def extract(self, page: str) -> str:
-        seen = list(events(page))
+        seen = list(events(page, lambda tag: self.learned.get(tag, 0.0) > 0))
         best = total = 0.0
         start, region = 0, (0, 0)
-        for i, (key, run, _, _) in enumerate(seen):
+        for i, (key, run, _, _, spared) in enumerate(seen):
             if total <= 0:
                 total, start = 0.0, i
+            if spared:
+                continue
             if run:
                 total += self.word(key) * len(run.split())
             else:
@@ -138,7 +145,7 @@ class Scorer:
                 best, region = total, (start, i + 1)
         blocks: list[str] = []
         part: list[str] = []
-        for key, run, _, ends in seen[slice(*region)]:
+        for key, run, _, ends, _ in seen[slice(*region)]:
             if run:
                 if not key.startswith("out:"):
                     part.append(entities.unescape(run))

@@ -225,3 +225,15 @@ def test_html_cases(spark):
     got = {r.page_id: r.text for r in H.extract(df, scorer=H.learn(df)).collect()}
     assert got[0] == got[1] == "" and got[2] == "plain text only" and got[5] == "a < b" and got[9] == "&am <tag> A" and got[10] == "deep"
     assert H.extract(df.where("false")).count() == 0
+
+
+def test_excluded_blocks_do_not_cut_the_main_text(spark):
+    words = "many words of the main story that goes on for a while and says something of interest"
+    ad = "<div class='ad'>" + "<a href=x>buy <b>now</b></a> " * 60 + "</div>"
+    menu = "<nav>" + "<a>menu</a> " * 40 + "</nav>"
+    train = f"<html><body><p>stray</p>{menu}<div class='ad'>{'buy now ' * 200}</div><article><h1>A title</h1><div class='story'><p>{words}</p></div></article><footer>end</footer>"
+    scorer = H.learn(spark.createDataFrame([(train,)] * 5, "html string"))
+    inner = f"<h1>Title</h1>{ad}<p>{words}</p><p>{words}</p>{ad}<p>last one</p>"
+    want = ["Title", words, words, "last one"]
+    for page in (f"<article>{inner}</article>", f"<div role='main'>{inner}</div>", f"<div class='story'>{inner}</div>"):
+        assert scorer.extract(f"<html><body><p>stray</p>{menu}{page}{menu}<p>stray</p></body></html>").split("\n") == want
