@@ -1,6 +1,7 @@
 """Quality rules: base counts, then zstandard compression bands.
 
-The ratio of compressed to plain UTF-8 bytes is taken over the whole text and over each full chunk of ``CHUNK`` bytes.
+The ratio of compressed to plain UTF-8 bytes is taken over the whole text and over each full chunk of ``CHUNK`` bytes;
+where bytes are left over, the last chunk is the text's final ``CHUNK`` bytes.
 Text below the lower limit of its length's band repeats itself; text above the upper limit is noise. Limits follow the
 length because short texts carry the frame header and little history.
 
@@ -89,14 +90,15 @@ def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
 
 
 def bands(text: bytes, rules: Rules, pack: zstandard.ZstdCompressor) -> tuple[bool, float, int, int]:
-    """The method's verdict, the whole text's ratio, full chunks and those out of band."""
+    """The method's verdict, the whole text's ratio, chunks and those out of band."""
     size = len(text)
     ratio = len(pack.compress(text)) / size if size else 0.0
     low, high = next((lo, hi) for least, lo, hi in reversed(rules.bands) if size >= least)
-    chunks = size // rules.chunk if size >= 2 * rules.chunk else 0
+    chunks = -(-size // rules.chunk) if size >= rules.chunk else 0
     odd = 0
     for i in range(chunks):
-        r = len(pack.compress(text[i * rules.chunk : (i + 1) * rules.chunk])) / rules.chunk
+        start = min(i * rules.chunk, size - rules.chunk)
+        r = len(pack.compress(text[start : start + rules.chunk])) / rules.chunk
         odd += not rules.chunk_band[0] <= r <= rules.chunk_band[1]
     return low <= ratio <= high and odd <= rules.odd_share * chunks, ratio, chunks, odd
 

@@ -58,6 +58,17 @@ def test_quality_rejects_repetition_and_noise():
     assert Q.bands(noise[:40], rules, pack)[0]
 
 
+def test_chunks_cover_the_whole_text():
+    pack, rules = zstandard.ZstdCompressor(level=3), Q.Rules()
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(900)]
+    good = " ".join(rng.choices(words, k=4000)).encode()
+    noise = random.Random(5).randbytes(4008)
+    assert Q.bands(good[:12200], rules, pack)[2:] == (3, 0)
+    assert Q.bands(good[:8192] + noise, rules, pack)[2:] == (3, 1) and not Q.bands(good[:8192] + noise, rules, pack)[0]
+    assert [Q.bands(good[:n], rules, pack)[2] for n in (4095, 4096, 4097, 8192)] == [0, 1, 2, 2]
+
+
 def test_quality_keeps_labelled_documents(spark):
     good = spark.read.parquet(f"{DATA}/labels.parquet").where("quality = 1").select("doc_id")
     rows = Q.judge(spark.read.parquet(f"{DATA}/documents.parquet").join(good, "doc_id")).select("quality.*").collect()
