@@ -254,31 +254,132 @@ def test_scores(docs, clashing, empty):
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in nothing)
 
 
-def test_bits_are_those_of_the_bytes():
-    coded, of = lm_scoring.units([b"ab", lm_scoring.END, b"x" * 70])
-    assert [len(u) for u in coded] == [3, 1, 65, 7] and of.tolist() == [0, 1, 2, 2]
-    seen = defaultdict(list)
-    for rows, _, bits, slots in lm_scoring.steps(coded):
-        assert slots.min() >= 0 and slots.max() < 1 << lm_scoring.TABLE_BITS
-        for r, b in zip(rows, bits, strict=True):
-            seen[int(r)].append(int(b))
-    assert [bytes(int("".join(map(str, seen[i][k : k + 8])), 2) for k in range(0, len(seen[i]), 8)) for i in range(4)] == coded
-
-
-def test_probabilities_of_words_sum_to_one():
-    """Over all continuations of a byte, the mixed predictions are a distribution."""
-    table = np.random.default_rng(0).integers(0, 40, (lm_scoring.ORDERS, 2 << lm_scoring.TABLE_BITS), dtype=np.uint8)
-    words = [bytes([c]) for c in range(33, 127)]
-    mixer = lm_scoring.Mixer.fresh(table)
-    every = [bytes([c, 0x20]) for c in range(256)]
-    total = np.zeros(256)
-    for rows, b, bit, slots in list(lm_scoring.steps(every))[:8]:
-        packed = mixer.inputs(slots)
-        gate = lm_scoring.Mixer.gate(packed != 0, b)
-        x = lm_scoring.STRETCH[(packed >> 8).astype(int) * 256 + (packed & 255)]
-        p = mixer.refined(gate, (mixer.weights[gate].T * x).sum(axis=0))
-        total[rows] += np.log(np.where(bit, p, 1 - p))
-    assert words and abs(np.exp(total).sum() - 1) < 1e-9
+def small_model():
+    """A trained model of few words in small tables."""
+    rng = np.random.default_rng(3)
+    usual = [f"w{i}".encode() for i in range(40)] + [b"the", b"of"]
+    texts = [" ".join([str(rng.choice(usual), "ascii") if rng.random() < 0.8 else "z" * int(rng.integers(1, 5)) + "\u00e9" for _ in range(60)]).encode() for _ in range(30)]
+    every = [lm_scoring.tokens(t) for t in texts]
+    counts = Counter(w for t in every for w in t)
+    words = sorted((w for w in counts if counts[w] > 30 and w != lm_scoring.END), key=lambda w: (-counts[w], w))
+    spelled = Counter(c for w, n in counts.items() if w not in words and w != lm_scoring.END for c in (w + b" ") * n)
+    known = sum(counts[w] for w in words)
+    book = lm_scoring.Book(words, [counts[w] for w in words], 30, sum(counts.values()) - known - 30, [spelled[c] for c in range(256)])
+    bits = 10
+    table = np.zeros((lm_scoring.PREDICTORS, 2 << bits), np.int64)
+    for _, contexts, node, bit in lm_scoring.encode(every, book).steps(book):
+        for k, slot in enumerate(lm_scoring.slots(contexts, node, book, bits)):
+            np.add.at(table[k], slot * 2 + bit, 1)
+    packed = np.stack([lm_scoring.quantised(t).view("<u2") for t in table])
+    weights, refine = lm_scoring.fit(texts[:8], book, packed)
+    return lm_scoring.Model(book, packed, weights, lm_scoring.costs(refine)), every
+
+
+def plain_score(model, words):
+    """The model's cost of a text's tokens, bit by bit in plain integers."""
+    book, mask = model.book, (1 << 32) - 1
+    whole = {v: k for k, v in book.index.items()}
+
+    def hash32(x):
+        for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ (x >> 33)) * m % (1 << 64)
+        return (x ^ (x >> 33)) & mask
+
+    def both(a, b, salt):
+        h = ((a * 0x9E3779B1 + b + salt) & mask) * 0x85EBCA6B & mask
+        return (h ^ (h >> 15)) * 0x9E3779B1 & mask
+
+    def so_far(part):
+        return hash32(sum((c + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(part)) % (1 << 64))
+
+    def bits_cost(code, symbol, contexts, add):
+        cost = 0
+        for i in range(int(code.start[symbol]), int(code.start[symbol] + code.length[symbol])):
+            node, bit = int(code.node[i]) + add, int(code.bit[i])
+            place, level, inputs = int(book.places[node]), 0, [float(book.prior[node])]
+            for k, c in enumerate(contexts):
+                h = ((c + (place >> 3)) & mask) * 0x9E3779B1 & mask
+                pair = int(model.table[k][(h >> (32 - model.bits + 3)) << 3 | place & 7])
+                inputs.append(float(lm_scoring.STRETCH[pair]))
+                level = max(level, int(lm_scoring.LEVEL[k][pair]))
+            gate = int(book.gate[node]) + level
+            mixed = np.float32(0)
+            for w, x in zip(model.weights[gate], inputs, strict=True):
+                mixed += np.float32(w) * np.float32(x)
+            mixed = min(max(mixed, np.float32(-12)), np.float32(12))
+            cost += int(model.cost[gate, int(np.rint((mixed + np.float32(12)) * np.float32(16))), bit])
+        return cost
+
+    total = 0
+    for i, w in enumerate(words):
+        symbol = book.index.get(w, 0)
+        frequent = [book.index[x] for x in words[max(0, i - 64) : i] if 1 < book.index.get(x, 0) < 66]
+        f = int(book.hashes[frequent[-1]]) if frequent else 7
+        running = (b"\0" * 8 if not i else b" ".join(words[:i]) + b" ")
+        running = b"\0" * 8 + running if i else running
+        tail = (running[-2] | running[-3] << 8) if i else 0
+        last = (int(book.hashes[book.index[words[i - 1]]]) if words[i - 1] in book.index else so_far(words[i - 1])) if i else 0
+        total += bits_cost(book.words, symbol, [both(f, 0, 11), both(tail, 0, 13), both(last, 0, 17)], 0)
+        if not symbol:
+            for j, c in enumerate(w + b" "):
+                seen = running + w[:j]
+                two, four = seen[-1] | seen[-2] << 8, seen[-1] | seen[-2] << 8 | seen[-3] << 16 | seen[-4] << 24
+                total += bits_cost(book.bytes, c, [both(f, two, 23), both(four, 0, 31), both(so_far(w[:j]), 0, 37)], book.byte_nodes)
+    assert whole
+    return total
+
+
+def test_model_against_plain_integers():
+    model, every = small_model()
+    texts = [*every[:4], lm_scoring.tokens(b""), lm_scoring.tokens("neu neu the \u00fc w1 of zzzzzz".encode()), lm_scoring.tokens(b"x" * 3000)]
+    assert model.score(texts).tolist() == [plain_score(model, t) for t in texts]
+    assert model.score([texts[0][:-1][::-1] + [lm_scoring.END]]) != model.score([texts[0]])  # the order of words counts
+
+
+def test_bits_make_a_distribution():
+    """The symbols that may follow share a probability of 1, whether a word or a byte is next."""
+    model, _ = small_model()
+    book = model.book
+    start = [b"the", b"w3"]
+    so_far = int(model.score([start])[0])
+    ends = {w: int(model.score([[*start, w]])[0]) - so_far for w in book.index}
+    spelled = [plain_score(model, [*start, b"q"])]
+    escape = np.log10(1 - sum(10 ** (c / lm_scoring.FIXED) for c in ends.values()))
+    first = [10 ** ((plain_score(model, [*start, bytes([c])]) - so_far) / lm_scoring.FIXED) for c in range(256) if c != 0x20 and bytes([c]) not in book.index]
+    assert spelled and sum(first) < 10**escape < 1  # single bytes are a part of all spelled words
+
+
+def test_segments_do_not_change_scores(monkeypatch):
+    model, every = small_model()
+    long = [w for t in every for w in t[:-1]] + [lm_scoring.END]
+    whole = model.score([long, every[0]])
+    monkeypatch.setattr(lm_scoring, "SEGMENT", 100)
+    assert model.score([long, every[0]]).tolist() == whole.tolist()
+
+
+def test_scores_do_not_depend_on_partitions(docs):
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    rows = docs.withColumn("held_out", held)
+    one, two = (sorted(map(str, lm_scoring.scores(rows.repartition(n)).collect())) for n in (2, 7))
+    assert one == two
+
+
+def test_held_out_texts_score_above_the_base(spark):
+    """Each word leaves few choices for the next, which the base does not see."""
+    rng = np.random.default_rng(8)
+    words = [f"word{i}" for i in range(60)]
+    follow = rng.integers(0, 60, (60, 3))
+
+    def text():
+        at, out = int(rng.integers(60)), []
+        for _ in range(80):
+            out.append(words[at])
+            at = int(follow[at][rng.integers(3)])
+        return " ".join(out)
+
+    docs = spark.createDataFrame([(i, text(), i % 7 == 2) for i in range(210)], "doc_id long, text string, held_out boolean")
+    got = [r for r in lm_scoring.scores(docs).collect() if r.held_out]
+    assert len(got) == 30 and sum(r.score for r in got) > 0.6 * sum(r.base_score for r in got)
 
 
 def test_pipeline(spark):
