@@ -85,6 +85,14 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(part, F.lit("\x01"), F.coalesce(F.md5(text), F.lit("\x02")))))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` begins with it, whatever its case."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name) for c in taken):
+        name = "_" + name
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -1,27 +1,34 @@
 """Benchmark decontamination by the q-gram lemma, verified by banded alignment.
 
 A text holds an item of m characters with at most k edits only if some band of 2k + 1 diagonals (text position less item
-position) holds m + 1 - (k + 1) q shared q-grams. Overlapping bands, each two such widths, count them; bands that reach
-the bound are aligned inside the band. Both sides are lower-cased with white space runs as one space.
-
-The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters, so what is broadcast has a bound whatever its
-size; texts are scanned whole, in place, without a shuffle.
-
-Cases: null and empty texts and items match nothing; items shorter than q must occur exactly; k shrinks for short items
-until the bound is at least 1; repeated items all report; an empty benchmark or table finds nothing; the input's columns
-stay as they are.
+position) holds m + 1 - (k + 1) q shared q-grams. Overlapping bands, each two such widths, count them; every band that
+reaches the bound is aligned inside the band, and the fewest edits count. Items too short for the bound with q-grams of
+the usual length have shorter ones, m / (k + 1) characters, so k is the same share of every item. Both sides are
+lower-cased with white space runs as one space.
+
+The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters. One block is looked for in place, without a
+shuffle. Of several, each is looked for in a pass of its own that stores the texts that hold something of it, so a task
+holds one index at a time; the findings are then joined to the rows by the text's digest.
+
+Cases: null and empty texts and items match nothing; items shorter than q that allow no edit must occur exactly; repeated
+items all report; repeated rows report alike; an empty benchmark or table finds nothing; the input's columns stay as they
+are, but for one with the result's name, which is replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 8_000_000
+from framegrid.llm.common import digest, saved, unused
+
+BLOCK_CHARS = 2_000_000
 #: Characters of text that are scanned in one step.
 STEP_CHARS = 4_000_000
 SCHEMA = "struct<items: array<bigint>, edits: array<int>>"
@@ -77,38 +84,61 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> i
 
 
 @dataclass
-class Index:
-    """The q-grams of a block of items."""
+class Grams:
+    """The q-grams of those items of a block that have the same q."""
 
-    ids: list[int]
-    texts: list[str]
     q: int
-    error: float
+    items: list[int]
+    codes: list[np.ndarray]
+    least: int  # the smallest bound of these items
 
     def __post_init__(self) -> None:
-        self.codes = [codes(t) for t in self.texts]
-        m = np.array([len(c) for c in self.codes], dtype=np.int64)
-        self.k = np.minimum((self.error * m).astype(np.int64), np.maximum(0, (m - self.q) // self.q))
-        self.bound = m + 1 - (self.k + 1) * self.q
-        self.step = 2 * self.k + 1
-        self.m = m
-        self.short = [i for i in range(len(m)) if 0 < m[i] < self.q]
-        grams = [qgrams(self._fold(c), self.q) for c in self.codes]
-        item = np.repeat(np.arange(len(m)), [len(g) for g in grams])
-        at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
-        every = np.concatenate(grams) if grams else np.empty(0, np.uint32)
+        grams = [qgrams(fold(c), self.q) for c in self.codes]
+        item = np.repeat(np.array(self.items, np.int32), [len(g) for g in grams])
+        at = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams])
+        every = np.concatenate(grams)
         order = np.argsort(every, kind="stable")
         self.grams, start = np.unique(every[order], return_index=True)
-        self.start = np.append(start, len(every))
+        self.start = np.append(start, len(every)).astype(np.int32)
         self.item, self.at = item[order], at[order]
         self.bits = max(16, int(np.ceil(np.log2(max(1, len(self.grams)) * 24))))
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[self.grams >> np.uint32(32 - self.bits)] = True
-        self.least = int(self.bound[m >= self.q].min()) if (m >= self.q).any() else 0
 
-    @staticmethod
-    def _fold(c: np.ndarray) -> np.ndarray:
-        return (c ^ (c >> 8)) & 0xFF
+    def hits(self, every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a text's q-grams that items have too, and which."""
+        hashes = qgrams(fold(every), self.q)
+        hit = np.flatnonzero(self.seen[hashes >> np.uint32(32 - self.bits)])
+        gram = np.minimum(np.searchsorted(self.grams, hashes[hit]), len(self.grams) - 1)
+        real = self.grams[gram] == hashes[hit]
+        return hit[real], gram[real]
+
+
+def fold(c: np.ndarray) -> np.ndarray:
+    return (c ^ (c >> 8)) & 0xFF
+
+
+@dataclass
+class Index:
+    """A block of items with their q-grams."""
+
+    ids: list[int]
+    texts: list[str]
+    q: int
+    error: float
+
+    def __post_init__(self) -> None:
+        self.codes = [codes(t) for t in self.texts]
+        self.m = m = np.array([len(c) for c in self.codes], dtype=np.int64)
+        self.k = k = (self.error * m).astype(np.int64)
+        self.step = 2 * k + 1
+        q = np.minimum(self.q, m // (k + 1))
+        self.bound = m + 1 - (k + 1) * q
+        self.short = [i for i in range(len(m)) if 0 < m[i] < self.q and not k[i]]
+        self.parts = []
+        for size in np.unique(q[(m >= self.q) | (k > 0)]).tolist():
+            items = [i for i in range(len(m)) if q[i] == size and (m[i] >= self.q or k[i])]
+            self.parts.append(Grams(size, items, [self.codes[i] for i in items], int(self.bound[items].min())))
 
     def find(self, texts: list[str]) -> list[dict[int, int]]:
         """For each text, the found items (by place in the index) with their edits."""
@@ -117,39 +147,38 @@ class Index:
             for d, t in enumerate(texts):
                 if self.texts[i] in t:
                     found[d][i] = 0
-        if not self.least or not texts:
+        if not self.parts or not texts:
             return found
         every = codes("\0".join(texts))
         lengths = np.array([len(t) + 1 for t in texts])
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        hashes = qgrams(self._fold(every), self.q)
-        hit = np.flatnonzero(self.seen[hashes >> np.uint32(32 - self.bits)])
-        gram = np.minimum(np.searchsorted(self.grams, hashes[hit]), len(self.grams) - 1)
-        real = self.grams[gram] == hashes[hit]
-        hit, gram = hit[real], gram[real]
-        doc = np.searchsorted(starts, hit, side="right") - 1
-        enough = np.bincount(doc, minlength=len(texts)) >= self.least
-        hit, gram, doc = hit[enough[doc]], gram[enough[doc]], doc[enough[doc]]
-        for d in np.unique(doc):
-            here = slice(*np.searchsorted(doc, [d, d + 1]))
-            self._bands(every[starts[d] : starts[d] + lengths[d] - 1], hit[here] - starts[d], gram[here], texts[d], found[d])
+        for part in self.parts:
+            hit, gram = part.hits(every)
+            doc = np.searchsorted(starts, hit, side="right") - 1
+            enough = np.bincount(doc, minlength=len(texts)) >= part.least
+            hit, gram, doc = hit[enough[doc]], gram[enough[doc]], doc[enough[doc]]
+            for d in np.unique(doc):
+                here = slice(*np.searchsorted(doc, [d, d + 1]))
+                self._bands(part, every[starts[d] : starts[d] + lengths[d] - 1], hit[here] - starts[d], gram[here], texts[d], found[d])
         return found
 
-    def _bands(self, text: np.ndarray, hit: np.ndarray, gram: np.ndarray, plain: str, found: dict[int, int]) -> None:
-        many = self.start[gram + 1] - self.start[gram]
-        post = np.repeat(self.start[gram] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        item = self.item[post]
-        band = (np.repeat(hit, many) - self.at[post] + self.m[item]) // self.step[item]
+    def _bands(self, part: Grams, text: np.ndarray, hit: np.ndarray, gram: np.ndarray, plain: str, found: dict[int, int]) -> None:
+        many = part.start[gram + 1] - part.start[gram]
+        post = np.repeat(part.start[gram] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        item = part.item[post].astype(np.int64)
+        at = part.at[post].astype(np.int64)
+        band = (np.repeat(hit, many) - at + self.m[item]) // self.step[item]
         wide = 1 << 40
-        pairs = np.unique(np.stack([item * wide + band, self.at[post]]), axis=1)[0]  # an item's q-gram counts once in a band
+        pairs = np.unique(np.stack([item * wide + band, at]), axis=1)[0]  # an item's q-gram counts once in a band
         keys, counts = np.unique(pairs, return_counts=True)
         later = keys % wide > 0
         both = np.concatenate([keys, keys[later] - 1])  # band b covers the steps b and b + 1
-        keys, at = np.unique(both, return_inverse=True)
-        counts = np.bincount(at, weights=np.concatenate([counts, counts[later]]))
+        keys, place = np.unique(both, return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate([counts, counts[later]]))
         for key in keys[counts >= self.bound[keys // wide]]:
             i, b = int(key // wide), int(key % wide)
-            if i in found:
+            least = found.get(i, int(self.k[i]) + 1)
+            if not least:
                 continue
             k, m = int(self.k[i]), int(self.m[i])
             low = b * int(self.step[i]) - m
@@ -158,13 +187,13 @@ class Index:
             if self.texts[i] in plain[left : high + m + k + 1]:
                 found[i] = 0
             elif k:
-                edits = banded(self.codes[i], text[left : high + m + k + 1], low - k - left, high + k - left, k)
-                if edits <= k:
+                edits = banded(self.codes[i], text[left : high + m + k + 1], low - k - left, high + k - left, least - 1)
+                if edits < least:
                     found[i] = edits
 
 
-def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> list[list[tuple[int, str]]]:
-    """The block filters; each is collected alone when its index is built."""
+def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
+    """Blocks of items, dealt by a hash; each is collected alone when its index is built."""
     chars = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
     n = -(-chars // (BLOCK_CHARS // 2)) or 1
     rows = benchmark.select(F.col(item_id).alias("id"), F.col(text).alias("text"))
@@ -195,20 +224,35 @@ def scan(text: Column, index: Index) -> Column:
     return look(text)
 
 
-def found_items(docs: DataFrame, benchmark: DataFrame, q: int = 10, error: float = 0.08, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> Column:
-    """A struct of all items that each text holds, with their edits."""
-    parts = []
+def _indexes(benchmark: DataFrame, q: int, error: float, item_id: str, item_text: str) -> Iterator[Index]:
     for rows in blocks(benchmark, item_id, item_text):
         rows = sorted((r for r in rows if r[1]), key=lambda r: (r[0] is None, r[0], r[1]))
-        parts.append(scan(F.col(text), Index([r[0] for r in rows], [r[1] for r in rows], q, error)))
-    return F.struct(F.concat(*(p["items"] for p in parts)).alias("items"), F.concat(*(p["edits"] for p in parts)).alias("edits"))
-
-
-def flag(docs: DataFrame, benchmark: DataFrame, into: str = "leak", **options) -> DataFrame:
-    """``docs`` with the struct ``into`` of found items and their edits."""
-    return docs.withColumn(into, found_items(docs, benchmark, **options))
+        yield Index([r[0] for r in rows], [r[1] for r in rows], q, error)
+
+
+def flag(docs: DataFrame, benchmark: DataFrame, into: str = "leak", q: int = 10, error: float = 0.08, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` with the struct ``into`` of all items that each text holds, in order of ids, and their edits."""
+    indexes = _indexes(benchmark, q, error, item_id, item_text)
+    index, other = next(indexes), next(indexes, None)
+    if other is None:
+        return docs.withColumn(into, scan(F.col(text), index))
+    found = None
+    for index in chain((index, other), indexes):
+        texts = docs.select(digest(F.col(text)).alias("key"), scan(F.col(text), index).alias("leak")).where(F.size("leak.items") > 0)
+        hits = saved(texts.dropDuplicates(["key"]), "leaks")
+        found = hits if found is None else found.unionByName(hits)
+    one = found.select("key", F.explode(F.arrays_zip("leak.items", "leak.edits")).alias("at"))
+    inside = F.struct(F.col("at.items").isNull().alias("none"), F.col("at.items").alias("item"), F.col("at.edits").alias("edits"))
+    named = one.groupBy("key").agg(F.array_sort(F.collect_list(inside)).alias("at"))  # at most the benchmark's items for each text
+    key = unused(docs, "key")
+    joined = docs.withColumn(key, digest(F.col(text))).join(named.select(F.col("key").alias(key), F.col("at").alias(f"{key}_at")), key, "left")
+    leak = F.struct(
+        F.coalesce(F.col(f"{key}_at")["item"], F.array().cast("array<bigint>")).alias("items"), F.coalesce(F.col(f"{key}_at")["edits"], F.array().cast("array<int>")).alias("edits")
+    )
+    return joined.withColumn(into, leak).select(*dict.fromkeys([*docs.columns, into]))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
-    return docs.where(F.size(found_items(docs, benchmark, **options)["items"]) == 0)
+    into = unused(docs, "leak")
+    return flag(docs, benchmark, into, **options).where(F.size(F.col(into)["items"]) == 0).select(*docs.columns)
