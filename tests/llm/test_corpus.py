@@ -267,12 +267,12 @@ def small_model():
     book = lm_scoring.Book(words, [counts[w] for w in words], 30, sum(counts.values()) - known - 30, [spelled[c] for c in range(256)])
     bits = 10
     table = np.zeros((lm_scoring.PREDICTORS, 2 << bits), np.int64)
-    for _, contexts, node, bit in lm_scoring.encode(every, book).steps(book):
-        for k, slot in enumerate(lm_scoring.slots(contexts, node, book, bits)):
-            np.add.at(table[k], slot * 2 + bit, 1)
+    for _, _, contexts, step in lm_scoring.encode(every, book).steps(book):
+        for k, slot in enumerate(lm_scoring.slots(contexts, step, bits)):
+            np.add.at(table[k], slot * 2 + (step & np.uint64(1)).astype(int), 1)
     packed = np.stack([lm_scoring.quantised(t).view("<u2") for t in table])
     weights, refine = lm_scoring.fit(texts[:8], book, packed)
-    return lm_scoring.Model(book, packed, weights, lm_scoring.costs(refine)), every
+    return lm_scoring.Model.of(book, packed, weights, refine), every
 
 
 def plain_score(model, words):
@@ -292,17 +292,18 @@ def plain_score(model, words):
     def so_far(part):
         return hash32(sum((c + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(part)) % (1 << 64))
 
-    def bits_cost(code, symbol, contexts, add):
+    def bits_cost(code, symbol, contexts):
         cost = 0
         for i in range(int(code.start[symbol]), int(code.start[symbol] + code.length[symbol])):
-            node, bit = int(code.node[i]) + add, int(code.bit[i])
-            place, level, inputs = int(book.places[node]), 0, [float(book.prior[node])]
+            step = int(code.steps[i])
+            bit, local, place, prior, group = step & 1, step >> 1 & 7, step >> 4 & 7, step >> 8 & 0xFFFF, step >> 32
+            level, inputs = 0, [(prior - (prior >> 15 << 16)) / 1024]
             for k, c in enumerate(contexts):
-                h = ((c + (place >> 3)) & mask) * 0x9E3779B1 & mask
-                pair = int(model.table[k][(h >> (32 - model.bits + 3)) << 3 | place & 7])
-                inputs.append(float(lm_scoring.STRETCH[pair]))
-                level = max(level, int(lm_scoring.LEVEL[k][pair]))
-            gate = int(book.gate[node]) + level
+                h = ((c + group) & mask) * 0x9E3779B1 & mask
+                said = int(model.says[k][(h >> (32 - model.bits + 3)) << 3 | local])
+                inputs.append(float(lm_scoring.VALUES[said & 63]))
+                level = max(level, 3 * k + (said >> 6) if said >> 6 else 0)
+            gate = place * lm_scoring.LEVELS + level
             mixed = np.float32(0)
             for w, x in zip(model.weights[gate], inputs, strict=True):
                 mixed += np.float32(w) * np.float32(x)
@@ -319,12 +320,12 @@ def plain_score(model, words):
         running = b"\0" * 8 + running if i else running
         tail = (running[-2] | running[-3] << 8) if i else 0
         last = (int(book.hashes[book.index[words[i - 1]]]) if words[i - 1] in book.index else so_far(words[i - 1])) if i else 0
-        total += bits_cost(book.words, symbol, [both(f, 0, 11), both(tail, 0, 13), both(last, 0, 17)], 0)
+        total += bits_cost(book.words, symbol, [both(f, 0, 11), both(tail, 0, 13), both(last, 0, 17)])
         if not symbol:
             for j, c in enumerate(w + b" "):
                 seen = running + w[:j]
                 two, four = seen[-1] | seen[-2] << 8, seen[-1] | seen[-2] << 8 | seen[-3] << 16 | seen[-4] << 24
-                total += bits_cost(book.bytes, c, [both(f, two, 23), both(four, 0, 31), both(so_far(w[:j]), 0, 37)], book.byte_nodes)
+                total += bits_cost(book.bytes, c, [both(f, two, 23), both(four, 0, 31), both(so_far(w[:j]), 0, 37)])
     assert whole
     return total
 
