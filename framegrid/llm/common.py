@@ -85,6 +85,12 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(part, F.lit("\x01"), F.coalesce(F.md5(text), F.lit("\x02")))))
 
 
+def whole_row(df: DataFrame, doc_id: str, text: str) -> Column:
+    """Equal for rows that are equal in all columns; 128 bits."""
+    others = F.to_json(F.struct(F.lit(0), *(F.col(f"`{c}`") for c in df.columns if c not in (doc_id, text))))
+    return F.unhex(F.md5(F.concat(F.hex(row_key(F.col(doc_id), F.col(text))), others)))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` begins with it, whatever its case."""
     taken = [c.lower() for c in df.columns]

@@ -4,8 +4,9 @@ Each language has probabilities of the pieces of a fixed public vocabulary. A wo
 segmentations into pieces, found by the forward algorithm; a text's is the product over its words. Probabilities come
 from expectation maximisation over a sample of labelled texts with a bound for each language.
 
-Words are lower-cased runs between white space; runs over ``RUN`` characters are scored in parts of that length, and a
-character that the vocabulary lacks counts alike in all languages.
+Words are lower-cased runs between white space, scored whole whatever their length; a character that the vocabulary lacks
+counts alike in all languages. For fitting, runs over ``PART`` characters are taken in parts of that length, all of them.
+Expected counts are summed in a fixed number of sorted parts of the sample, so a model does not depend on partitions.
 
 Cases: a null text or one without a letter is ``und`` with score 0, as is every text where nothing is labelled; texts
 are read whole; ties go to the language that sorts first; repeated rows are judged alike; null languages are not
@@ -31,8 +32,11 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_TEXTS = 4_000
 #: Words whose scores a task keeps at hand.
 MOST_KNOWN = 300_000
+#: More languages than this raise an error.
 MOST_LANGUAGES = 500
-LONGEST, RUN = 16, 256
+LONGEST, RUN, PART = 16, 256, 40
+#: Parts that the sample is dealt into.
+SAMPLE_PARTS = 16
 UNKNOWN = 1e-6
 _B = 0x100000001B3
 _MASK = (1 << 64) - 1
@@ -91,8 +95,35 @@ class Lattice:
             found.append(at)
         return starts, lengths, found
 
+    def walk_long(self, word: str, p: np.ndarray) -> np.ndarray:
+        """As ``walk`` for one long word: all pieces that end at a character at once, rescaled at each."""
+        _, lengths, found = self.places([word])
+        n = int(lengths[0])
+        ends = np.full((n + 1, len(found)), self.none, np.int32)
+        for k, at in enumerate(found):
+            ends[k + 1 :, k] = at[: n - k]
+        before = np.zeros((len(found), p.shape[1]))  # forward sums, the latest first
+        before[0] = 1
+        scale = 0.0
+        for j in range(1, n + 1):
+            total = (before * p[ends[j]]).sum(axis=0)
+            most = total.max()
+            scale += np.log(most)
+            before[1:] = before[:-1] / most
+            before[0] = total / most
+        return np.log(before[0]) + scale
+
     def walk(self, words: list[str], p: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """log probability of each word under each column of p; with weights, also the expected pieces."""
+        if weight is None and max(map(len, words), default=0) > RUN:
+            out = np.empty((len(words), p.shape[1]))
+            short = [i for i, w in enumerate(words) if len(w) <= RUN]
+            if short:
+                out[short] = self.walk([words[i] for i in short], p)[0]
+            for i, w in enumerate(words):
+                if len(w) > RUN:
+                    out[i] = self.walk_long(w, p)
+            return out, None
         starts, lengths, found = self.places(words)
         order = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[order], lengths[order]
@@ -145,10 +176,12 @@ class Lattice:
 
 
 def words_of(text: str) -> list[str]:
-    words = text.lower().split()
-    if max(map(len, words), default=0) > RUN:
-        return [w[i : i + RUN] for w in words for i in range(0, len(w), RUN)]
-    return words
+    return text.lower().split()
+
+
+def parts_of(text: str) -> list[str]:
+    """Words for fitting: sums over so few characters need no scale."""
+    return [w[i : i + PART] for w in words_of(text) for i in range(0, len(w), PART)]
 
 
 @dataclass
@@ -204,7 +237,7 @@ def _tally(pieces: list[str], languages: list[str], p: np.ndarray):
             counts: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if text and lang in place:
-                    counts.setdefault(lang, Counter()).update(w for w in words_of(text) if len(w) < 40)
+                    counts.setdefault(lang, Counter()).update(parts_of(text))
             known = list(dict.fromkeys(w for c in counts.values() for w in c))
             if known:
                 at = {w: i for i, w in enumerate(known)}
@@ -233,10 +266,11 @@ def learn(labelled: DataFrame, rounds: int = 2, sample_texts: int = SAMPLE_TEXTS
     if not languages:
         return Model([], pieces, np.zeros((len(pieces) + 2, 0)))
     part = F.element_at(F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, sample_texts / totals[k])))), F.col("lang"))
-    sample = saved(rows.where(F.pmod("at", F.lit(1 << 20)) < part * (1 << 20)).select("lang", "text"), "sample")
+    sample = saved(rows.where(F.pmod("at", F.lit(1 << 20)) < part * (1 << 20)), "sample")
     counts = np.ones((len(pieces) + 2, len(languages)))
     for _ in range(rounds):
-        tallied = sample.mapInArrow(_tally(pieces, languages, _probabilities(counts)), "piece long, lang long, n long")
+        dealt = sample.repartition(SAMPLE_PARTS, "at").sortWithinPartitions("at", "lang", "text").select("lang", "text")
+        tallied = dealt.mapInArrow(_tally(pieces, languages, _probabilities(counts)), "piece long, lang long, n long")
         counts = np.zeros_like(counts)
         for r in tallied.groupBy("piece", "lang").agg(F.sum("n").alias("n")).collect():  # pieces times languages at most
             counts[r.piece, r.lang] = r["n"] / 1024

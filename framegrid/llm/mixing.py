@@ -5,8 +5,9 @@ its source's cumulative tokens divided by the source's target; all sendings are
 budget. Cumulative sums run over hash blocks, so a source with a third of all rows is spread over many tasks.
 
 Cases: a null text has size 0, and so takes nothing; a null source is a source of its own, sorted last; null ids are
-shuffled as empty ones; repeated rows are separate documents; when nothing has a size, targets are 0; an empty table
-gives an empty result. Equal finish times are cut together, so reruns agree.
+shuffled as empty ones; repeated rows are separate documents, but are counted before they are queued, so a row of which
+there are many is one entry; when nothing has a size, targets are 0; an empty table gives an empty result; further columns
+may have any name, and ``sent`` keeps them. Equal finish times are cut together, so reruns agree.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegrid.llm.common import WORD_PATTERN, row_key, saved
+from framegrid.llm.common import WORD_PATTERN, saved, unused, whole_row
 
 WEIGHTS = (5, 2, 1)
 #: How often a document is sent at most; targets stop at so many times their source's size.
 MOST_EPOCHS = 3
 SEED = "mix"
-BLOCK_ROWS = 20_000
+#: Expected entries of a block of a source, and the most among which the cut is found in one task.
+BLOCK_ROWS, CUT_ROWS = 4_000, 100_000
 #: Sources are listed on the driver: one row each, never one for each document.
 MOST_SOURCES = 1_000_000
 
@@ -54,7 +56,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id
     sized = saved(
         docs.select(
             F.col(doc_id).alias("doc_id"),
-            row_key(F.col(doc_id), F.col(text)).alias("row"),
+            whole_row(docs, doc_id, text).alias("row"),
             name.alias("name"),
             n_words(F.col(text)).alias("size"),
             F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))).alias("at"),
@@ -69,19 +71,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id
         digits += 1
     goals = targets([t["size"] for t in totals], [weights[i % len(weights)] for i in range(len(totals))])
     goal = spark.createDataFrame([(t.name, t["size"], g) for t, g in zip(totals, goals, strict=True)], "name string, source_size long, target double")
-    blocked = sized.withColumn("block", F.substring("at", 1, digits))
+    entries = sized.groupBy("name", "at", "doc_id", "size", "row").agg(F.count("*").alias("n"))
+    blocked = entries.withColumn("block", F.substring("at", 1, digits))
     before = Window.partitionBy("name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         blocked.groupBy("name", "block")
-        .agg(F.sum("size").alias("sum"))
+        .agg(F.sum(F.col("size") * F.col("n")).alias("sum"))
         .select("name", "block", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("start"))
         .join(goal, "name")
     )
-    inside = Window.partitionBy("name", "block").orderBy("at", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("name", "block").orderBy("at", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     queued = saved(
-        blocked.withColumn("upto", F.sum("size").over(inside))
+        blocked.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0)))
         .join(starts, ["name", "block"])
-        .withColumn("upto", F.col("start") + F.col("upto"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+        .withColumn("upto", F.col("start") + F.col("before") + F.col("copy") * F.col("size"))
         .select("doc_id", "row", "name", "size", "source_size", "target", "upto"),
         "queued",
     )
@@ -98,28 +102,41 @@ def finish(epoch: int) -> Column:
 
 
 def cut(queued: DataFrame, budget: int) -> float:
-    """The last finish time up to which all sendings together stay within the budget."""
-    sent = queued.where("target > 0").select(F.explode(F.array(*(finish(e) for e in range(MOST_EPOCHS)))).alias("finish"), "size")
-    parts = max(1, int(queued.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = saved(
-        sent.repartitionByRange(parts, "finish").sortWithinPartitions("finish").withColumn("part", F.spark_partition_id()), "sent"
-    )
-    end, before = float("-inf"), 0
-    for r in ordered.groupBy("part").agg(F.sum("size").alias("sum"), F.max("finish").alias("last")).orderBy("last").collect():  # a row for each part
-        if before + r["sum"] > budget:
+    """The last finish time up to which all sendings together stay within the budget.
+
+    Sendings are range-partitioned; the range that the budget ends in is partitioned again until it is small.
+    """
+    rows = queued.where("target > 0").select(F.explode(F.array(*(finish(e) for e in range(MOST_EPOCHS)))).alias("finish"), "size")
+    parts = max(2, int(queued.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    end, before, n = float("-inf"), 0, None
+    while True:
+        ordered = saved(rows.repartitionByRange(parts, "finish").withColumn("part", F.spark_partition_id()), "sent")
+        sums = ordered.groupBy("part").agg(F.count("*").alias("n"), F.sum("size").alias("sum"), F.min("finish").alias("first"), F.max("finish").alias("last"))
+        for r in sums.orderBy("last").collect():  # a row for each part
+            if before + r["sum"] > budget:
+                break
+            end, before = r["last"], before + r["sum"]
+        else:
+            return end
+        if r["first"] == r["last"]:
+            return end
+        part = ordered.where(F.col("part") == r.part)
+        if r.n <= CUT_ROWS:
             upto = Window.orderBy("finish").rowsBetween(Window.unboundedPreceding, 0)
-            part = ordered.where(F.col("part") == r.part).groupBy("finish").agg(F.sum("size").alias("sum"))
-            found = part.withColumn("upto", before + F.sum("sum").over(upto)).where(F.col("upto") <= budget).agg(F.max("finish")).first()[0]
+            summed = part.groupBy("finish").agg(F.sum("size").alias("sum")).withColumn("upto", before + F.sum("sum").over(upto))
+            found = summed.where(F.col("upto") <= budget).agg(F.max("finish")).first()[0]
             return end if found is None else found
-        end, before = r.last, before + r["sum"]
-    return end
+        rows = part.select("finish", "size")
+        if r.n == n:  # one finish time holds nearly all
+            rows = rows.groupBy("finish").agg(F.sum("size").alias("size"))
+        n = r.n
 
 
 def sent(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` themselves, each as often as the mix takes it."""
-    among = Window.partitionBy("_row").orderBy(F.lit(0))
-    taken = mix(docs, weights, doc_id, text, source).where("times > 0").select(F.col("row").alias("_row"), "times")
-    taken = taken.groupBy("_row").agg(F.collect_list("times").alias("_times"))
-    rows = docs.withColumn("_row", row_key(F.col(doc_id), F.col(text))).join(taken, "_row")
-    rows = rows.withColumn("_at", F.row_number().over(among)).withColumn("_n", F.get("_times", F.col("_at") - 1))
-    return rows.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).select(*docs.columns)
+    key, row = unused(docs, "key"), unused(docs, "row")
+    taken = mix(docs, weights, doc_id, text, source).groupBy("row").agg(F.sum("times").alias("times")).where("times > 0")
+    taken = taken.select(F.col("row").alias(key), F.sequence(F.lit(1).cast("long"), "times").alias(f"{key}_times"))
+    whole = docs.select(whole_row(docs, doc_id, text).alias(key), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row))
+    once = whole.groupBy(key).agg(F.first(row).alias(row))  # rows with one key are equal
+    return once.join(taken, key).withColumn(f"{key}_at", F.explode(f"{key}_times")).select(*(F.col(row)[c].alias(c) for c in docs.columns))

@@ -11,9 +11,12 @@ bitmaps give a bound on the similarity that no pair at the limit or above fails,
 exactly, first a spanning forest of the nearest pairs, then all that is left between classes. Large buckets are dealt out
 by pairs of blocks.
 
+Weights are 1: the similarity that counts is that of sets. ``counted`` gives a shingle the weight of its occurrences, each
+with a region of its own, and ``signature`` takes any weights.
+
 Cases: texts of one to four words are one element; a text without words equals only equal texts; null texts equal only
 rows with the same doc_id; null ids are allowed and sort last; repeated rows share a class; an empty table gives an empty
-result; further columns are not read by ``classes`` and kept by ``distinct``.
+result; further columns, whatever their names, are not read by ``classes`` and kept by ``distinct``.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framegrid.llm.common import row_key, saved, utf8
+from framegrid.llm.common import row_key, saved, unused, utf8
 from framegrid.llm.components import components
 
 SHINGLE = 5
@@ -52,10 +55,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
+    """Sorted distinct 64-bit hashes of a text's shingles; ``counted``, those of each of a shingle's occurrences."""
 
-    def __init__(self, size: int = SHINGLE) -> None:
-        self.size = size
+    def __init__(self, size: int = SHINGLE, counted: bool = False) -> None:
+        self.size, self.counted = size, counted
         self.known: dict[bytes, int] = {}
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -75,26 +78,48 @@ class Shingler:
             out = np.full(len(words) - n + 1, n, np.uint64)
             for i in range(n):
                 out = mix(out * _GOLDEN + h[i : len(words) - n + 1 + i])
-        return np.unique(out)
+        if not self.counted:
+            return np.unique(out)
+        out, times = np.unique(out, return_counts=True)
+        return np.unique(cells(out, times.astype(float))[0])
+
+
+def cells(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit regions of weighted elements, with the part of each that its weight covers; the first is the element's own."""
+    many = np.ceil(weights).astype(np.int64)
+    nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    whole = np.repeat(elements, many)
+    with np.errstate(over="ignore"):
+        further = mix(whole ^ mix(nth.astype(np.uint64) * _GOLDEN))
+    return np.where(nth == 0, whole, further), np.minimum(1.0, np.repeat(weights, many) - nth)
+
 
+def signature(elements: np.ndarray, t: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """The id of the earliest dart in each of t coordinates; without weights, all are 1.
 
-def signature(elements: np.ndarray, t: int) -> np.ndarray:
-    """The id of the earliest dart in each of t coordinates; unit weights."""
-    n = len(elements)
-    limit = t * (np.log(t) + 2) / n
+    Darts fall on an element's region, weight by rank, as a Poisson process; those beyond its weight miss.
+    """
+    part = np.ones(len(elements))
+    total = float(len(elements))
+    if weights is not None:
+        elements, part = cells(elements, weights)
+        total = float(part.sum())
+    limit = t * (np.log(t) + 2) / total
     while True:
         wide = int(limit + 3 * np.sqrt(limit) + 3)
-        ids, ranks, left, base, at = [], [], elements, np.zeros(n), 0
+        ids, ranks, left, least, base, at = [], [], elements, part, np.zeros(len(elements)), 0
         while len(left):
             with np.errstate(over="ignore"):
                 dart = mix(left[:, None] + np.arange(at + 1, at + wide + 1, dtype=np.uint64) * _GOLDEN)
             gap = -np.log1p(-(mix(dart) >> _U(11)).astype(np.float64) * 2.0**-53)
             rank = np.cumsum(gap, axis=1) + base[:, None]
             in_reach = rank <= limit
+            if weights is not None:
+                in_reach &= (mix(dart ^ _GOLDEN) >> _U(11)).astype(np.float64) * 2.0**-53 <= least[:, None]
             ids.append(dart[in_reach])
             ranks.append(rank[in_reach])
             more = rank[:, -1] <= limit
-            left, base, at = left[more], rank[more, -1], at + wide
+            left, least, base, at = left[more], least[more], rank[more, -1], at + wide
         dart, rank = np.concatenate(ids), np.concatenate(ranks)
         coordinate = (dart % _U(t)).astype(np.int64)
         first = np.full(t, np.inf)
@@ -121,9 +146,9 @@ def parity(elements: np.ndarray) -> bytes:
     return np.packbits(odd.astype(bool)).tobytes()
 
 
-def _sign(bands: int, rows: int):
+def _sign(bands: int, rows: int, shingle: int, counted: bool):
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
+        shingles = Shingler(shingle, counted)
         for batch in it:
             keys, counts, found, odd = [], [], [], []
             for row, text in zip(batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
@@ -143,9 +168,9 @@ def _sign(bands: int, rows: int):
     return sign
 
 
-def _similar(least: float):
+def _similar(least: float, shingle: int, counted: bool):
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
+        shingles = Shingler(shingle, counted)
         last: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
         for batch in it:
             keep, how = [], []
@@ -218,12 +243,12 @@ def _across(similarity: float, forest: bool):
     return across
 
 
-def links(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows with their set_key, verified pairs of set_keys)."""
+def links(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, counted: bool = False, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(rows with their set_key, verified pairs of set_keys); ``counted``, a shingle weighs as often as it occurs."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
     id_type = dict(keyed.dtypes)["doc_id"]
     signed = saved(
-        keyed.mapInArrow(_sign(bands, rows), f"doc_id {id_type}, row binary, set_key binary, n_shingles long, bands array<bigint>, parity binary"), "signed"
+        keyed.mapInArrow(_sign(bands, rows, shingle, counted), f"doc_id {id_type}, row binary, set_key binary, n_shingles long, bands array<bigint>, parity binary"), "signed"
     )
     one = [F.min("row").alias("row"), *(F.first(c).alias(c) for c in ("bands", "n_shingles", "parity"))]
     sets = saved(signed.where("bands is not null").groupBy("set_key").agg(*one), "sets")
@@ -235,7 +260,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, r
     first = saved(mates.join(degree, "set_key").groupBy("bucket").agg(most), "hubs")
     starred = mates.join(first, "bucket").select("set_key", F.explode(F.array_distinct(F.array("least", "hub"))).alias("to"))
     tried = saved(_pairs(starred), "tried")
-    found = _verified(tried, keyed, sets, similarity)
+    found = _verified(tried, keyed, sets, similarity, shingle, counted)
 
     # two members have met as least member or hub; larger buckets may hold classes that have not met
     open_ = mates.where("n > 2").select("bucket", "set_key", "n")
@@ -249,7 +274,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, r
         blocks = dealt.select("bucket", "set_key", "root", "n_shingles", "parity", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
         near = saved(blocks.groupBy("bucket", "a", "b").applyInPandas(_across(similarity, forest), "bucket long, set_key binary, to binary"), "near")
         fresh = saved(_pairs(near).join(tried, ["u", "v"], "left_anti"), "fresh")
-        found = found.unionByName(_verified(fresh, keyed, sets, similarity))
+        found = found.unionByName(_verified(fresh, keyed, sets, similarity, shingle, counted))
         tried = tried.unionByName(fresh)
         open_ = open_.join(near.select("bucket").distinct(), "bucket", "left_semi")  # the others' pairs are all settled
     return signed.drop("bands", "parity"), found
@@ -259,7 +284,7 @@ def _pairs(starred: DataFrame) -> DataFrame:
     return starred.where("set_key != to").select(F.greatest("set_key", "to").alias("u"), F.least("set_key", "to").alias("v")).distinct()
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, keyed: DataFrame, sets: DataFrame, similarity: float, shingle: int, counted: bool) -> DataFrame:
     """The pairs whose texts are similar enough; only texts of pairs are moved."""
     pairs = saved(pairs, "candidates")
     ends = pairs.select(F.explode(F.array("u", "v")).alias("set_key")).distinct()
@@ -268,13 +293,13 @@ def _verified(pairs: DataFrame, keyed: DataFrame, sets: DataFrame, similarity: f
     sides = pairs.join(texts.select(F.col("set_key").alias("u"), F.col("text").alias("u_text")), "u").join(
         texts.select(F.col("set_key").alias("v"), F.col("text").alias("v_text")), "v"
     )
-    checked = sides.select("u", "v", "v_text", "u_text").mapInArrow(_similar(similarity), "u binary, v binary, similarity double")
+    checked = sides.select("u", "v", "v_text", "u_text").mapInArrow(_similar(similarity, shingle, counted), "u binary, v binary, similarity double")
     return saved(checked, "links")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, row, class_id (the class's least doc_id), n_links (of the row's shingle set) and keeper, for each row."""
-    signed, linked = links(docs, similarity, bands, rows, doc_id, text)
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, counted: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, row, class_id (the class's least doc_id), n_links (of the row's shingle set, among the pairs that were compared) and keeper, for each row."""
+    signed, linked = links(docs, similarity, bands, rows, shingle, counted, doc_id, text)
     root = components(linked)
     count = linked.select(F.explode(F.array("u", "v")).alias("set_key")).groupBy("set_key").agg(F.count("*").alias("n_links"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row")))
@@ -293,8 +318,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
 
 
 def distinct(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of ``docs`` for each class, the one with the least doc_id, with its columns."""
-    keepers = classes(docs, doc_id=doc_id, text=text, **options).where("keeper").select(F.col("row").alias("_row")).distinct()
-    rows = docs.withColumn("_row", row_key(F.col(doc_id), F.col(text))).join(keepers, "_row")
-    again = Window.partitionBy("_row").orderBy(F.lit(0))
-    return rows.withColumn("_again", F.row_number().over(again)).where("_again = 1").select(*docs.columns)
+    """One row of ``docs`` for each class, one with the least doc_id, with its columns; of several, the one that sorts first as JSON."""
+    key, row = unused(docs, "key"), unused(docs, "row")
+    keepers = classes(docs, doc_id=doc_id, text=text, **options).where("keeper").select(F.col("row").alias(key)).distinct()
+    whole = docs.select(row_key(F.col(doc_id), F.col(text)).alias(key), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row))
+    others = F.to_json(F.struct(F.lit(0), *(F.col(row)[c].alias(c) for c in docs.columns if c not in (doc_id, text))))
+    once = whole.groupBy(key).agg(F.min_by(row, others).alias(row))  # in part before the shuffle, so that a repeated row is not gathered
+    return once.join(keepers, key, "left_semi").select(*(F.col(row)[c].alias(c) for c in docs.columns))

@@ -23,9 +23,9 @@ def _held_out(modulus: int, remainder: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
 
 
-def op2_segment_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op2_segment_unigrams(spark: SparkSession, sf_dir: str, vocabulary: str = language_id.VOCABULARY) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
-    model = language_id.learn(docs.where("not held_out"))
+    model = language_id.learn(docs.where("not held_out"), vocabulary=vocabulary)
     found = language_id.identify(docs.select("doc_id", "held_out", "text"), model)
     return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), "language.score")
 
@@ -107,9 +107,12 @@ from kept"""
 
 #: The rules of the contract.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-#: Labels of the listed domains, each under the three suffixes.
-LISTED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
-LISTED_SUFFIXES = ["example.com", "example.net", "example.org"]
+#: Labels of the listed domains, each under all suffixes.
+LISTED_LABELS = (
+    "ad-server ads-track adult-x banner-farm bet-now casino-win cheap-pills click-bait coupon-spam crypto-double free-bets free-money "
+    "link-farm malware-drop phish-login pop-under scam-shop spam-farm tracker-pixel warez-zone"
+).split()
+LISTED_SUFFIXES = ["biz", "com", "example.com", "example.net", "example.org", "info", "net", "org"]
 LISTED = [f"{label}.{suffix}" for label in LISTED_LABELS for suffix in LISTED_SUFFIXES]
 
 

@@ -5,11 +5,12 @@ one, so that equal windows hold equal anchors at equal places. Anchors are group
 text only is dropped. Each remaining group gets the words around its anchors, sorts the suffixes after them and the
 reversed words before them, and so has both trees' nodes at every depth; a pair of nodes that together span a window is
 a repeat, with the least document that holds it. A prefix with over ``MOST_CONTEXTS`` different surroundings is
-lengthened to the whole window, where one minimum by window is left to take. Equal surroundings are one leaf, and equal
-texts one text, so copies are never gathered in a task.
+lengthened: its windows are halved by where they begin, and each half has a longer run of words in common (16, then 33,
+42, 46, 48, 49), which groups the surroundings anew; where it is the whole window, one minimum is left to take. Equal
+surroundings are one leaf, and equal texts one text, so copies are never gathered in a task.
 
 Cases: null and empty texts have no words; texts shorter than a window lose nothing; within a text or among rows of one
-doc_id nothing is removed; null ids count as the greatest; repeated rows get equal results; texts of any length are read
+doc_id, whatever their texts, nothing is removed; null ids count as the greatest; repeated rows get equal results; texts of any length are read
 whole; an empty table gives an empty result; further columns are not read.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -87,8 +89,8 @@ def _index(window: int, prefix: int):
     return index
 
 
-_CONTEXT = "kind int, id bigint, tid int, text binary, place int, gram bigint, context binary, left int"
-_FIELDS = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("tid", pa.int32()), ("text", pa.binary()), ("place", pa.int32()), ("gram", pa.int64()), ("context", pa.binary()), ("left", pa.int32())])
+_CONTEXT = "kind int, id bigint, tid binary, text binary, place int, gram bigint, context binary, left int"
+_FIELDS = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("tid", pa.binary()), ("text", pa.binary()), ("place", pa.int32()), ("gram", pa.int64()), ("context", pa.binary()), ("left", pa.int32())])
 #: Rows of kind 0 are anchors and name their surroundings; of kind 1, surroundings, once in a task; of kind 2, texts.
 ANCHOR, CONTEXT, TEXT = 0, 1, 2
 
@@ -139,8 +141,10 @@ def _nodes(gram: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def earlier_windows(gram: np.ndarray, least: np.ndarray, left: np.ndarray, contexts: list[bytes], window: int, before: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bit o stands for the window that begins o words before the anchor: those that fit, and those that a document before the leaf's own holds."""
+def earlier_windows(
+    gram: np.ndarray, least: np.ndarray, left: np.ndarray, low: np.ndarray, high: np.ndarray, contexts: list[bytes], window: int, before: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows low to high, bit o stands for the window that begins o words before the anchor: those that fit, and those that a document before the leaf's own holds."""
     known: dict[bytes, int] = {}
     after_words = np.zeros((len(gram), window), np.int32)
     before_words = np.zeros((len(gram), before), np.int32)
@@ -153,7 +157,7 @@ def earlier_windows(gram: np.ndarray, least: np.ndarray, left: np.ndarray, conte
     after, ahead = _nodes(gram, after_words), _nodes(gram, before_words)
     fits, earlier = np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
     for o in range(before + 1):
-        ok = np.flatnonzero((left >= o) & (right >= window - o))
+        ok = np.flatnonzero((left >= o) & (right >= window - o) & (low <= o) & (o <= high))
         if not len(ok):
             continue
         pair = ahead[o][ok] * (len(gram) + 1) + after[window - o][ok]
@@ -172,8 +176,8 @@ def _trees(window: int, before: int):
     """Rows (gram, context, least, left, text), sorted by gram, whole grams in a partition."""
 
     def done(rows: pa.Table) -> pa.RecordBatch:
-        gram, least, left = (rows.column(c).to_numpy() for c in ("gram", "least", "left"))
-        fits, earlier = earlier_windows(gram, least, left, rows.column("text").to_pylist(), window, before)
+        gram, least, left, low, high = (rows.column(c).to_numpy() for c in ("gram", "least", "left", "low", "high"))
+        fits, earlier = earlier_windows(gram, least, left, low, high, rows.column("text").to_pylist(), window, before)
         return pa.RecordBatch.from_arrays(
             [rows.column("context").combine_chunks().cast(pa.binary()), pa.array(least), pa.array(fits), pa.array(earlier)], ["context", "least", "fits", "earlier"]
         )
@@ -197,25 +201,35 @@ def _trees(window: int, before: int):
     return trees
 
 
-def _windows(window: int, before: int):
-    """Each window of the surroundings with its own key: the prefix lengthened to the end."""
+def halves(low: int, high: int) -> list[tuple[int, int]]:
+    middle = (low + high) // 2
+    return [(low, middle), (middle + 1, high)]
 
-    def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_LONGER = "gram bigint, whole binary, context binary, least bigint, left int, low int, high int, text binary"
+
+
+def _lengthen(window: int):
+    """Surroundings to one row for each half of their windows, with the words that the half has in common as the new prefix."""
+
+    def lengthen(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            keys, contexts, bits, least = [], [], [], []
-            for context, m, left, part in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("context", "least", "left", "text")), strict=True):
-                words = part.split()
-                for o in range(left + 1):
-                    if len(words) >= left - o + window:
-                        keys.append(xxhash.xxh3_128_digest(b" ".join(words[left - o : left - o + window])))
-                        contexts.append(context)
-                        bits.append(1 << o)
-                        least.append(m)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(contexts, pa.binary()), pa.array(bits, pa.int64()), pa.array(least, pa.int64())], ["key", "context", "bit", "least"]
-            )
+            rows = []
+            fields = ("context", "least", "left", "low", "high", "text")
+            for context, least, left, low, high, text in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in fields), strict=True):
+                words = text.split()
+                right = len(words) - left
+                for a, b in halves(low, high):
+                    if max(a, window - right) <= min(b, left):  # a window of this half fits
+                        core = b" ".join(words[left - a : left + window - b])
+                        gram = xxhash.xxh3_64_intdigest(core, seed=a * 64 + b) - (1 << 63)
+                        rows.append((gram, xxhash.xxh3_128_digest(core) if a == b else None, context, least, left, a, b, text))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            names = [f.split()[0] for f in _LONGER.split(", ")]
+            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return windows
+    return lengthen
 
 
 def _cut(window: int):
@@ -255,36 +269,38 @@ def removals(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, doc_id
     texts = saved(
         indexed.where(F.col("n_words") >= window).groupBy("key").agg(
             F.min(order).alias("id"), F.first("places").alias("places"), F.first("grams").alias("grams")
-        ).withColumn("tid", F.hash("key")),
+        ).withColumn("tid", F.col("key")),
         "texts",
     )
     spots = texts.select("id", "tid", F.explode(F.arrays_zip("places", "grams")).alias("at")).select("id", "tid", F.col("at.places").alias("place"), F.col("at.grams").alias("gram"))
     shared = saved(spots.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("gram"), "shared")
     wanted = saved(spots.join(shared, "gram").groupBy("id", "tid").agg(F.collect_list("place").alias("places")), "wanted")
-    rows = source.where("text is not null").withColumns({"id": order, "tid": F.hash("key")}).join(wanted, ["id", "tid"])
+    rows = source.where("text is not null").withColumns({"id": order, "tid": F.col("key")}).join(wanted, ["id", "tid"])
     around = saved(rows.select("id", "tid", "text", "places").mapInArrow(_contexts(window, prefix), _CONTEXT), "around", ["kind"])
 
-    contexts = around.where(f"kind = {CONTEXT}").select("gram", "context", F.col("id").alias("least"), "left", "text")
-    counts = contexts.groupBy("gram").agg(F.approx_count_distinct("context", 0.05).alias("n"))
-    large = saved(counts.where(F.col("n") > MOST_CONTEXTS).select("gram"), "large")
-    whole, small = None, contexts
-    if not large.isEmpty():
-        whole, small = contexts.join(large, "gram", "left_semi"), contexts.join(large, "gram", "left_anti")
-    once = lambda part: part.groupBy("gram", "context").agg(F.min("least").alias("least"), F.first("left").alias("left"), F.first("text").alias("text"))
+    all_windows, part = (F.lit(None).cast("binary").alias("whole"), F.lit(0).alias("low"), F.lit(before).alias("high")), []
+    pending = around.where(f"kind = {CONTEXT}").select("gram", "context", F.col("id").alias("least"), "left", "text", *all_windows)
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    leaves = _gathered(small, parts).mapInArrow(_trees(window, before), _RESULT)
-    if whole is not None:
-        by_window = saved(once(whole).mapInArrow(_windows(window, before), "key binary, context binary, bit bigint, least bigint"), "by-window")
-        first = saved(by_window.groupBy("key").agg(F.min("least").alias("first")), "first")
-        found = by_window.join(first, "key").groupBy("context").agg(
-            F.min("least").alias("least"), F.bit_or("bit").alias("fits"), F.coalesce(F.bit_or(F.when(F.col("first") < F.col("least"), F.col("bit"))), F.lit(0)).cast("long").alias("earlier")
-        )
-        leaves = leaves.unionByName(found)
+    while True:
+        counts = pending.where("whole is null").groupBy("gram").agg(F.approx_count_distinct("context", 0.05).alias("n"))
+        large = saved(counts.where(F.col("n") > MOST_CONTEXTS).select("gram"), "large")
+        last = large.isEmpty()
+        small = pending.where("whole is null") if last else pending.where("whole is null").join(large, "gram", "left_anti")
+        part.append(_gathered(small, parts).mapInArrow(_trees(window, before), _RESULT))
+        if part[1:]:
+            part.append(_earliest(pending.where("whole is not null")))
+        if last:
+            break
+        pending = saved(_once(pending.join(large, "gram", "left_semi")).mapInArrow(_lengthen(window), _LONGER), "longer")
+    leaves = part[0]
+    if part[1:]:
+        split = reduce(DataFrame.unionByName, part[1:])
+        leaves = leaves.unionByName(split.groupBy("context").agg(F.min("least").alias("least"), *(F.bit_or(c).alias(c) for c in ("fits", "earlier"))))
     bits = F.when(F.col("id") > F.col("least"), F.col("fits")).otherwise(F.col("earlier"))
     marked = around.where(f"kind = {ANCHOR}").select("id", "tid", "place", "context").join(saved(leaves, "leaves"), "context").withColumn("bits", bits)
     marks = marked.where("bits != 0").groupBy("id", "tid").agg(F.collect_set(F.struct("place", "bits")).alias("marks"))
     held = around.where(f"kind = {TEXT}").select("id", "tid", "text").join(marks, ["id", "tid"])
-    cut = held.select("id", "tid", "text", "marks").mapInArrow(_cut(window), "id bigint, tid int, n_removed bigint, sha string, spans array<bigint>")
+    cut = held.select("id", "tid", "text", "marks").mapInArrow(_cut(window), "id bigint, tid binary, n_removed bigint, sha string, spans array<bigint>")
     cut = saved(cut.dropDuplicates(["id", "tid"]), "cut")
 
     judged = texts.select("key", "id", "tid").join(cut.withColumnRenamed("sha", "cut_sha"), ["id", "tid"], "left").select("key", F.col("id").alias("first_id"), "n_removed", "cut_sha", "spans")
@@ -299,8 +315,22 @@ def removals(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, doc_id
     )
 
 
+_KEPT = ("least", "left", "low", "high", "text")
+
+
+def _once(contexts: DataFrame) -> DataFrame:
+    """One row for each prefix and surroundings, with the least document."""
+    return contexts.groupBy("gram", "context").agg(F.min("least").alias("least"), *(F.first(c).alias(c) for c in _KEPT[1:]))
+
+
 def _gathered(contexts: DataFrame, parts: int) -> DataFrame:
-    """One row for each surroundings, whole grams in a partition, in order."""
-    dealt = contexts.repartition(parts, "gram")
-    once = dealt.groupBy("gram", "context").agg(F.min("least").alias("least"), F.first("left").alias("left"), F.first("text").alias("text"))
-    return once.sortWithinPartitions("gram").select("gram", "context", "least", "left", "text")
+    """One row for each surroundings, whole prefixes in a partition, in order."""
+    return _once(contexts.repartition(parts, "gram")).sortWithinPartitions("gram").select("gram", "context", *_KEPT)
+
+
+def _earliest(windows: DataFrame) -> DataFrame:
+    """Prefixes that are whole windows: their least document, by sums alone."""
+    first = windows.groupBy("whole").agg(F.min("least").alias("first"))
+    bit = F.expr("shiftleft(bigint(1), low)")
+    earlier = F.when(F.col("first") < F.col("least"), bit).otherwise(F.lit(0).cast("bigint"))
+    return windows.join(first, "whole").select("context", "least", bit.alias("fits"), earlier.alias("earlier"))

@@ -4,8 +4,9 @@ Level 1 encodes the listed keys, level 2 those keys of the corpus that level 1 w
 listed keys that level 2 takes for unlisted, and so on until a level has no false positives. Over the key universe it
 was built from, membership is exact, and a query tests literals: no join, no Python.
 
-Cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed; an empty table gives
-an empty result; repeated rows are judged alike; further columns stay outside the result of ``judge`` unless selected.
+Cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed; urls of any length are
+read whole; an empty table gives an empty result; repeated rows are judged alike; the input's columns stay in the result
+of ``judge``, but for those named host, path, rule, listed or verdict, which it replaces.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from framegrid.llm.common import saved
 
 #: Bits that one binary of bitmap_construct_agg holds.
 PAGE_BITS = 32768
-#: No level may be larger: 2 ** 28 bits are 32 MB of literal in a plan.
+#: No level may be larger (an error says so): 2 ** 28 bits are 32 MB, once in a plan.
 MAX_BITS = 1 << 28
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -35,11 +36,13 @@ class Level:
         return [F.pmod(F.xxhash64(key, F.lit(self.seed * 64 + i)), F.lit(self.bits)) for i in range(self.hashes)]
 
     def might_hold(self, key: Column) -> Column:
-        found = F.lit(True)
-        for at in self.positions(key):
-            byte = F.conv(F.hex(F.substring(F.lit(self.data), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-            found = found & (F.getbit(byte, (at % 8).cast("int")) == 1)
-        return found
+        data = F.lit(self.data)  # stands once in a plan, however many hashes there are
+
+        def is_set(at: Column) -> Column:
+            byte = F.conv(F.hex(F.substring(data, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+            return F.getbit(byte, (at % 8).cast("int")) == 1
+
+        return F.forall(F.array(*self.positions(key)), is_set)
 
 
 def _level(keys: DataFrame, n: int, bits_per_key: int, hashes: int, seed: int) -> Level:
