@@ -58,6 +58,12 @@ def parse_time(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, r"_(\d+\.?\d*)s\.jpg$", 1), F.lit("")).cast("double")
 
 
+def frame_number(name: Column) -> Column:
+    """The sequence number in a frame's file name; other names come last."""
+    number = F.nullif(F.regexp_extract(name, r"^frame_(\d+)_", 1), F.lit("")).cast("long")
+    return F.coalesce(number, F.lit((1 << 63) - 1))
+
+
 def is_frame(name: Column) -> Column:
     return F.startswith(name, F.lit("frame_")) & F.endswith(name, F.lit(".jpg"))
 

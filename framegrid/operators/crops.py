@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from framegrid.functions.vision import crop_resize
+from framegrid.functions.vision import crop_resize, roi_features
 
 #: frame to the four fractions of its box
 Predictor = Callable[[np.ndarray], tuple[float, float, float, float]]
@@ -26,10 +26,15 @@ def _predict(parts: Iterator[pd.DataFrame], make: Callable[[], Predictor]) -> It
         yield part.assign(**{c: [float(b[i]) for b in boxes] for i, c in enumerate("ltrb")})
 
 
+def _features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        yield part.assign(features=[roi_features(_pixels(r)).tolist() for r in part.itertuples()])
+
+
 def _crop(parts: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
     for part in parts:
         data = [crop_resize(_pixels(r), (r.box["l"], r.box["t"], r.box["r"], r.box["b"]), size).tobytes() for r in part.itertuples()]
-        yield pd.DataFrame({"document": part["document"], "file": part["file"], "height": size, "width": size, "data": data})
+        yield part[["document", "frame_index", "fps", "w", "h"]].assign(height=size, width=size, data=data)
 
 
 def predict_boxes(frames: DataFrame, make: Callable[[], Predictor]) -> DataFrame:
@@ -38,7 +43,13 @@ def predict_boxes(frames: DataFrame, make: Callable[[], Predictor]) -> DataFrame
     return frames.mapInPandas(partial(_predict, make=make), f"{fields}, l double, t double, r double, b double")
 
 
+def with_features(frames: DataFrame) -> DataFrame:
+    """Add the features that a box forest reads."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema)
+    return frames.mapInPandas(_features, f"{fields}, features array<double>")
+
+
 def crop(boxed: DataFrame, size: int = 186) -> DataFrame:
-    """Rows of (document, file, box, width, height, data) to squares."""
-    narrow = boxed.select("document", "file", "box", "width", "height", "data")
-    return narrow.mapInPandas(partial(_crop, size=size), "document string, file string, height int, width int, data binary")
+    """Rows of (document, frame_index, fps, box, w, h, width, height, data) to squares; whole frames go no further."""
+    narrow = boxed.select("document", "frame_index", "fps", "box", "w", "h", "width", "height", "data")
+    return narrow.mapInPandas(partial(_crop, size=size), "document string, frame_index bigint, fps double, w int, h int, height int, width int, data binary")

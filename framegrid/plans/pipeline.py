@@ -1,21 +1,24 @@
 """The three stages as one run over a document, and its command line.
 
-    python -m framegrid.plans.pipeline --document NAME --apply-root FOLDER --symbols FILE
+    python -m framegrid.plans.pipeline --document NAME --apply-root FOLDER --symbols FILE --predictor module:factory
 """
 
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framegrid.config import Grid, Sampling, Table
 from framegrid.functions import exprs as E
-from framegrid.functions.vision import RingDetector
-from framegrid.operators import archive, crops, detect, fill, locate, sampling
+from framegrid.functions import vision
+from framegrid.operators import archive, crops, detect, fill, locate, roi_model, sampling
+from framegrid.plans import stage2
 from framegrid.schemas import EXTRACTION_LOG_HEADER, GRID_RESULT_HEADER
 from framegrid.sources import files, sheets, sinks
 from framegrid.sources.video import VideoFrames
@@ -28,27 +31,43 @@ class Conf:
     template: str | None = None
     decoder: str = "framegrid.sources.video:ArrayDecoder"
     predictor: Callable[[], crops.Predictor] | None = None
-    detector: Callable[[], detect.Detector] = RingDetector
+    forest: dict | None = None  # models of roi_model.train, in place of a predictor
+    detector: Callable[[], detect.Detector] = vision.RingDetector
+    encoder: Callable[[np.ndarray], bytes] = vision.png
+    limit: int | None = None
+    workers: int | None = None
     sampling: Sampling = field(default_factory=Sampling)
     grid: Grid = field(default_factory=Grid)
     table: Table = field(default_factory=Table)
 
 
-def extract(spark: SparkSession, video: str, document: str, conf: Conf) -> DataFrame:
-    """Sampled frames of a recording with log columns and, where normal, their crop's source."""
-    if conf.predictor is None:
-        raise ValueError("stage 1 needs a box predictor")
+def extract(spark: SparkSession, video: str, document: str, conf: Conf, store: str) -> DataFrame:
+    """Sampled frames of a recording with log columns and crops.
+
+    Whole frames stay in the task that decodes them: boxes are predicted and crops cut there and stored once; numbering and
+    the size check run on narrow columns, and the crops are joined to them.
+    """
+    if conf.predictor is None and conf.forest is None:
+        raise ValueError("stage 1 needs a box predictor or a box forest")
     spark.dataSource.register(VideoFrames)
     read = spark.read.format("video_frames").option("decoder", conf.decoder)
-    frames = read.option("start_s", conf.sampling.start_s).option("interval_s", conf.sampling.interval_s).load(video)
-    timed = crops.predict_boxes(frames.withColumn("document", F.lit(document)), conf.predictor).withColumn(
-        "timestamp", F.col("frame_index") / E.fps(F.col("fps"), conf.sampling)
-    )
-    return sampling.number_frames(sampling.check_sizes(sampling.with_boxes(timed), conf.sampling))
-
-
-def locate_and_fill(spark: SparkSession, positions: DataFrame, out: str, conf: Conf) -> dict:
-    """Stage 3 over (document, ord, file, time_s, status, px, py): grid results, the filled table and the archive."""
+    for name in ("start_s", "end_s", "interval_s", "default_fps"):
+        if (value := getattr(conf.sampling, name)) is not None:
+            read = read.option(name, value)
+    frames = read.load(video).withColumn("document", F.lit(document))
+    if conf.predictor is not None:
+        boxed = crops.predict_boxes(frames, conf.predictor)
+    else:
+        boxed = roi_model.predict(crops.with_features(frames), conf.forest).drop("features")
+    crops.crop(sampling.with_boxes(boxed), conf.sampling.target_size).write.mode("overwrite").parquet(store)
+    stored = spark.read.parquet(store)
+    narrow = stored.select("document", "frame_index", "w", "h", (F.col("frame_index") / E.fps(F.col("fps"), conf.sampling)).alias("timestamp"))
+    numbered = sampling.number_frames(sampling.check_sizes(narrow, conf.sampling))
+    return numbered.join(stored.select("document", "frame_index", "height", "width", "data"), ["document", "frame_index"])
+
+
+def locate_and_fill(spark: SparkSession, positions: DataFrame, out: str, conf: Conf, frames: str | None = None) -> dict:
+    """Stage 3 over (document, ord, file, time_s, status, px, py): grid results, the filled table and the archive, with screenshots from ``frames``."""
     labelled = locate.events(positions, files.symbols(spark, conf.symbols), conf.grid, conf.table)
     columns, rows = sheets.axes(conf.template) if conf.template else (conf.table.columns, conf.table.rows)
     table = Table(conf.table.start_s, conf.table.cell_s, conf.table.rows, columns, conf.table.empty, conf.table.unmapped, conf.table.separator)
@@ -60,34 +79,28 @@ def locate_and_fill(spark: SparkSession, positions: DataFrame, out: str, conf: C
     sheets.fill(conf.template, f"{out}/filled.xlsx", filled, (headers, [str(i + 1) for i in range(rows)]))
     unmapped = archive.unmapped(placed, table)
     sinks.csv(unmapped.drop("document").orderBy("file", "row", "col"), f"{out}/{table.unmapped}", None)
-    return {"table_path": f"{out}/filled.xlsx", "un_count": placed.where(F.col("event") == table.unmapped).count(), "filled_cells": len(filled)}
+    copied = sinks.copy_files(unmapped, frames, f"{out}/{table.unmapped}") if frames else 0
+    return {"copied": copied, "table_path": f"{out}/filled.xlsx", "un_count": placed.where(F.col("event") == table.unmapped).count(), "filled_cells": len(filled)}
 
 
-def run(spark: SparkSession, document: str, conf: Conf, encode: Callable | None = None) -> dict:
-    """Stages 1 to 3; between them only what the contract stores."""
-    home = f"{conf.apply_root}/{document}"
-    sampled = extract(spark, files.one_video(spark, home), document, conf).cache()
+def run(spark: SparkSession, document: str, conf: Conf) -> dict:
+    """Stages 1 to 3; between them only what the contract stores. Frames that are recorded are not detected again."""
+    home, began = f"{conf.apply_root}/{document}", time.time()
+    frames = f"{home}/subproject1"
+    sampled = extract(spark, files.one_video(spark, home), document, conf, f"{frames}/_crops")
     t = F.col("timestamp")
     log = sampled.orderBy("seq").select(
         "seq", E.mmss(t).alias("mmss"), E.tenths(t).alias("time_s"), F.when(F.col("anomaly"), "").otherwise(E.frame_name(F.col("seq"), t)).alias("file"),
         E.size_label(F.col("w"), F.col("h")).alias("size"), E.frame_status(F.col("anomaly")).alias("status"),
     )
-    sinks.csv(log, f"{home}/subproject1/extraction_log", EXTRACTION_LOG_HEADER)
-    normal = crops.crop(sampled.where(~F.col("anomaly")).withColumn("file", E.frame_name(F.col("seq"), t)), conf.sampling.target_size)
-    if encode:
-        sinks.save_images(normal, f"{home}/subproject1", encode)
-    images = normal.select("document", "file", F.struct("height", "width", F.lit(3).alias("nChannels"), "data").alias("image"))
-    recorded = detect.detect(images, conf.detector).withColumn("ord", F.xxhash64("file")).cache()
-    sinks.csv(recorded.orderBy("file").select("file", "time_s", "status", "px", "py"), f"{home}/subproject2/hero_position")
-    sinks.csv(archive.empty_frames(recorded).drop("document").orderBy("file"), f"{home}/subproject2/{conf.table.empty}")
+    sinks.csv(log, f"{frames}/extraction_log", EXTRACTION_LOG_HEADER)
+    sinks.save_images(sampled.where(~F.col("anomaly")).withColumn("file", E.frame_name(F.col("seq"), t)), frames, conf.encoder)
     counts = sampled.agg(F.count("*").alias("total"), F.count_if("anomaly").alias("anomaly")).first()
-    states = {r.status: r["count"] for r in recorded.groupBy("status").count().collect()}
-    last = locate_and_fill(spark, recorded, f"{home}/subproject3", conf)
-    return {
-        "stage1": {"total": counts.total, "anomaly": counts.anomaly, "normal": counts.total - counts.anomaly},
-        "stage2": {"found": states.get("found", 0), "empty": states.get("empty", 0), "total": states.get("found", 0) + states.get("empty", 0)},
-        "stage3": last,
-    }
+    first = {"total": counts.total, "anomaly": counts.anomaly, "normal": counts.total - counts.anomaly, "seconds": time.time() - began}
+    second = stage2.detect_frames(spark, frames, f"{home}/subproject2", conf.detector, document, conf.limit, conf.workers, conf.table)
+    at = time.time()
+    third = locate_and_fill(spark, stage2.recorded(spark, f"{home}/subproject2"), f"{home}/subproject3", conf, frames)
+    return {"stage1": first, "stage2": second, "stage3": third | {"seconds": time.time() - at}, "seconds": time.time() - began}
 
 
 def main() -> None:
@@ -98,11 +111,18 @@ def main() -> None:
     args.add_argument("--template")
     args.add_argument("--decoder", default=Conf.decoder)
     args.add_argument("--predictor", required=True, help="module:factory of the box predictor")
+    args.add_argument("--detector", default="framegrid.functions.vision:RingDetector", help="module:factory of the detector")
+    args.add_argument("--encoder", default="framegrid.functions.vision:png", help="module:function that encodes a crop")
+    args.add_argument("--limit", type=int, help="most frames to detect in this run")
+    args.add_argument("--workers", type=int, help="tasks that detect")
+    args.add_argument("--start", type=float, default=Sampling.start_s)
+    args.add_argument("--end", type=float)
+    args.add_argument("--interval", type=float, default=Sampling.interval_s)
     a = args.parse_args()
-    import importlib
-
-    module, _, name = a.predictor.partition(":")
-    conf = Conf(a.apply_root, a.symbols, a.template, a.decoder, getattr(importlib.import_module(module), name))
+    conf = Conf(
+        a.apply_root, a.symbols, a.template, a.decoder, stage2.named(a.predictor), detector=stage2.named(a.detector), encoder=stage2.named(a.encoder),
+        limit=a.limit, workers=a.workers, sampling=Sampling(start_s=a.start, end_s=a.end, interval_s=a.interval),
+    )
     spark = SparkSession.builder.appName("framegrid").getOrCreate()
     for stage, result in run(spark, a.document, conf).items():
         print(stage, result)

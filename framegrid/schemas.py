@@ -1,9 +1,5 @@
 """Schemas of the stored artifacts, in column order."""
 
-SYMBOL_MAP = "row int, col int, symbol string"
-HERO_POSITION = "file string, time_s double, status string, px int, py int"
-EXTRACTION_LOG = "seq int, mmss string, time_s double, file string, size string, status string"
-GRID_RESULT = "file string, time_s double, row int, col int, status string, px int, py int, symbol string"
 FRAME = "document string, frame_index bigint, fps double, width int, height int, data binary"
 
 #: The headers of the CSV files.

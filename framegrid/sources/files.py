@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framegrid.schemas import SYMBOL_MAP_HEADER
 
 
 def _text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header as text, a byte-order mark allowed; ``ord`` keeps the order of lines of a file."""
-    return spark.read.option("header", True).csv(path).withColumn("ord", F.monotonically_increasing_id())
+    """A CSV with a header as text, a byte-order mark allowed; ``ord`` keeps the order of lines.
+
+    Such files are small, one document's worth, and are read as one split each, files in order of their names.
+    """
+    whole = spark.read.option("header", True).option("multiLine", True).csv(path)
+    numbered = whole.select("*", F.input_file_name().alias("_from")).withColumn("_line", F.monotonically_increasing_id())
+    order = Window.orderBy("_from", "_line")
+    return numbered.withColumn("ord", F.row_number().over(order).cast("long") - 1).drop("_from", "_line")
 
 
 def positions(spark: SparkSession, path: str, document: str) -> DataFrame:
@@ -25,9 +31,10 @@ def symbols(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.coalesce("symbol", F.lit("")).alias("symbol"), "ord")
 
 
-def images(spark: SparkSession, folder: str, document: str) -> DataFrame:
-    """Decoded frames of a folder; what cannot be decoded has width -1."""
-    read = spark.read.format("image").option("dropInvalid", False).option("pathGlobFilter", "frame_*.jpg").load(folder)
+def images(spark: SparkSession, folder: str, document: str, names: list[str] | None = None) -> DataFrame:
+    """Decoded frames of a folder, or those named; what cannot be decoded has width -1."""
+    at = folder if names is None else [f"{folder}/{n}" for n in names]
+    read = spark.read.format("image").option("dropInvalid", False).option("pathGlobFilter", "frame_*.jpg").load(at)
     return read.select(F.lit(document).alias("document"), F.element_at(F.split("image.origin", "/"), -1).alias("file"), "image")
 
 

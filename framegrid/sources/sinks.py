@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 BOM = "﻿"
 
@@ -31,37 +31,51 @@ def csv(df: DataFrame, path: str, header: list[str] | None = None) -> None:
     named.coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
+def filesystem(path: str):
+    """The file system of a path or address, and the path in it; for tasks, so it must be one that all executors share."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def _write(path: str, content: bytes) -> None:
+    """Written under another name first, so that a task that is run twice leaves no half a file."""
+    at, inside = filesystem(path)
+    folder, _, name = inside.rpartition("/")
+    at.create_dir(folder, recursive=True)
+    half = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    with at.open_output_stream(half) as f:
+        f.write(content)
+    at.move(half, inside)
+
+
 def copy_files(names: DataFrame, source: str, target: str) -> int:
     """Copy the named files that exist from one folder to another; tasks copy, the driver only counts."""
-    spark = names.sparkSession
-    there = spark.read.format("binaryFile").load(source).withColumn("file", F.element_at(F.split("path", "/"), -1))
 
-    def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        os.makedirs(target, exist_ok=True)
+    def copy(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for file, content in zip(part["file"], part["content"], strict=True):
-                with open(os.path.join(target, file), "wb") as f:
-                    f.write(content)
-            yield pd.DataFrame({"file": part["file"]})
+            done = []
+            for file in part["file"]:
+                at, inside = filesystem(f"{source}/{file}")
+                if at.get_file_info(inside).is_file:
+                    with at.open_input_stream(inside) as f:
+                        _write(f"{target}/{file}", f.read())
+                    done.append(file)
+            yield pd.DataFrame({"file": done}, dtype="object")
 
-    wanted = there.join(names.select("file").distinct(), "file", "left_semi").select("file", "content")
-    return wanted.mapInPandas(write, "file string").count()
+    return names.select("file").distinct().mapInPandas(copy, "file string").count()
 
 
 def save_images(images: DataFrame, target: str, encode: Callable[[np.ndarray], bytes]) -> int:
     """Write (file, height, width, data) rows as files by an encoder plug-in."""
 
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        os.makedirs(target, exist_ok=True)
         for part in parts:
             for row in part.itertuples():
                 pixels = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, 3)
-                with open(os.path.join(target, row.file), "wb") as f:
-                    f.write(encode(pixels))
+                _write(f"{target}/{row.file}", encode(pixels))
             yield pd.DataFrame({"file": part["file"]})
 
     return images.select("file", "height", "width", "data").mapInPandas(write, "file string").count()

@@ -39,6 +39,44 @@ class ArrayDecoder:
             yield i, np.asarray(self.frames[i])
 
 
+class Y4mDecoder:
+    """An uncompressed YUV4MPEG2 recording of 8 bits, 4:2:0 or 4:4:4, to blue-green-red frames; frames are found by their place."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path.removeprefix("file:")
+        with open(self.path, "rb") as f:
+            head = f.readline()
+            self.start = f.tell()
+            f.seek(0, 2)
+            size = f.tell() - self.start
+        fields = {x[:1]: x[1:] for x in head.decode("ascii").split()[1:]}
+        self.width, self.height = int(fields["W"]), int(fields["H"])
+        top, _, below = fields.get("F", "0:1").partition(":")
+        self.fps = int(top) / int(below) if int(below) else 0.0
+        self.halved = not fields.get("C", "420").startswith("444")
+        self.small = (-(-self.height // 2), -(-self.width // 2)) if self.halved else (self.height, self.width)
+        self.bytes = len(b"FRAME\n") + self.height * self.width + 2 * self.small[0] * self.small[1]
+        self.total_frames = size // self.bytes
+
+    def read(self, start: int, stop: int, step: int) -> Iterator[tuple[int, np.ndarray]]:
+        with open(self.path, "rb") as f:
+            for i in range(start, min(stop, self.total_frames), step):
+                f.seek(self.start + i * self.bytes)
+                raw = f.read(self.bytes)
+                if not raw.startswith(b"FRAME\n") or len(raw) < self.bytes:
+                    return
+                yield i, self.pixels(np.frombuffer(raw, np.uint8, offset=6).astype(float))
+
+    def pixels(self, planes: np.ndarray) -> np.ndarray:
+        n, m = self.height * self.width, self.small[0] * self.small[1]
+        y = 1.164 * (planes[:n].reshape(self.height, self.width) - 16)
+        u, v = (planes[n + k * m : n + (k + 1) * m].reshape(self.small) - 128 for k in (0, 1))
+        if self.halved:
+            u, v = (np.repeat(np.repeat(x, 2, 0), 2, 1)[: self.height, : self.width] for x in (u, v))
+        colours = np.stack([y + 2.018 * u, y - 0.391 * u - 0.813 * v, y + 1.596 * v], axis=-1)
+        return np.clip(np.rint(colours), 0, 255).astype(np.uint8)
+
+
 def decoder(name: str, path: str):
     module, _, cls = name.partition(":")
     return getattr(importlib.import_module(module), cls)(path)
@@ -67,7 +105,8 @@ class VideoReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.paths = options["path"].split(",")
         self.decoder = options.get("decoder", "framegrid.sources.video:ArrayDecoder")
-        self.conf = Sampling(start_s=float(options.get("start_s", 40)), interval_s=float(options.get("interval_s", 3)))
+        given = {k: float(options[k]) for k in ("start_s", "end_s", "interval_s", "default_fps") if options.get(k) not in (None, "", "None")}
+        self.conf = Sampling(**given)
         self.samples = int(options.get("samples_per_task", 64))
 
     def partitions(self) -> list[FrameRange]:

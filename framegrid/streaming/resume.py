@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framegrid.functions import exprs as E
 from framegrid.operators import archive, detect
 
 
@@ -24,5 +25,5 @@ def run(spark: SparkSession, frames: str, out: str, checkpoint: str, document: s
 
 
 def rebuild_archive(spark: SparkSession, out: str) -> DataFrame:
-    """The archive of empty frames from all that is recorded; files order their records."""
-    return archive.empty_frames(spark.read.parquet(out).withColumn("ord", F.xxhash64("file", "time_s")))
+    """The archive of empty frames from all that is recorded, in order of frames."""
+    return archive.empty_frames(spark.read.parquet(out).withColumn("ord", E.frame_number(F.col("file"))))

@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import struct
-import zlib
-
 import numpy as np
 import pytest
 
 from framegrid.functions import vision
-from framegrid.operators import locate
-from framegrid.plans import pipeline
+from framegrid.operators import locate, roi_model
+from framegrid.plans import pipeline, stage2
 from framegrid.sources import files, sheets, sinks, video
 from framegrid.streaming import resume, windows
 
 
-def png(pixels: np.ndarray) -> bytes:
-    """A PNG of blue-green-red pixels."""
-    rows = b"".join(b"\0" + line.tobytes() for line in pixels[..., ::-1])
-    part = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-    head = struct.pack(">IIBBBBB", pixels.shape[1], pixels.shape[0], 8, 2, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(rows)) + part(b"IEND", b"")
-
-
 def spot(x: int, y: int, size: int = 64) -> np.ndarray:
     image = np.zeros((size, size, 3), np.uint8)
     image[y - 1 : y + 2, x - 1 : x + 2] = (60, 220, 60)
@@ -69,13 +58,13 @@ def test_sheet(tmp_path):
 def test_resumable_detection(spark, tmp_path):
     frames, out, check = (str(tmp_path / x) for x in ("frames", "out", "check"))
     (tmp_path / "frames").mkdir()
-    (tmp_path / "frames/frame_0000_40.0s.jpg").write_bytes(png(spot(20, 30)))
-    (tmp_path / "frames/frame_0001_43.0s.jpg").write_bytes(png(np.zeros((64, 64, 3), np.uint8)))
+    (tmp_path / "frames/frame_0000_40.0s.jpg").write_bytes(vision.png(spot(20, 30)))
+    (tmp_path / "frames/frame_0001_43.0s.jpg").write_bytes(vision.png(np.zeros((64, 64, 3), np.uint8)))
     (tmp_path / "frames/frame_0002_46.0s.jpg").write_bytes(b"no image")
     rows = {r.file: r for r in resume.run(spark, frames, out, check, "d", centre).collect()}
     assert [rows[f].status for f in sorted(rows)] == ["found", "empty", "unreadable"]
     assert (rows["frame_0000_40.0s.jpg"].px, rows["frame_0000_40.0s.jpg"].py, rows["frame_0000_40.0s.jpg"].time_s) == (20, 30, 40.0)
-    (tmp_path / "frames/frame_0003_49.0s.jpg").write_bytes(png(spot(5, 5)))
+    (tmp_path / "frames/frame_0003_49.0s.jpg").write_bytes(vision.png(spot(5, 5)))
     assert resume.run(spark, frames, out, check, "d", centre).count() == 4
     assert [r.file for r in resume.rebuild_archive(spark, out).collect()] == ["frame_0001_43.0s.jpg"]
     assert files.frame_listing(spark, frames, "d").count() == 4
@@ -115,16 +104,84 @@ def whole_frame():
     return lambda frame: (0.0, 0.0, 1.0, 1.0)
 
 
+def fails():
+    def detector(image):
+        raise AssertionError("detected again")
+
+    return detector
+
+
 def test_whole_run(spark, tmp_path):
     home = tmp_path / "doc/video_footage"
     home.mkdir(parents=True)
+    frames = [spot(20, 30)] * 600
+    frames[430] = np.zeros((64, 64, 3), np.uint8)
     with (home / "a.mp4").open("wb") as f:
-        np.save(f, np.stack([spot(20, 30)] * 600))
+        np.save(f, np.stack(frames))
     (tmp_path / "map.csv").write_text("行,列,符号\n9,6,s\n", encoding="utf-8")
-    conf = pipeline.Conf(str(tmp_path), str(tmp_path / "map.csv"), predictor=whole_frame, detector=centre)
+    conf = pipeline.Conf(str(tmp_path), str(tmp_path / "map.csv"), predictor=whole_frame, detector=centre, limit=3)
+    result = pipeline.run(spark, "doc", conf)
+    assert {k: v for k, v in result["stage1"].items() if k != "seconds"} == {"total": 7, "anomaly": 0, "normal": 7}
+    assert (result["stage2"]["found"], result["stage2"]["empty"], result["stage2"]["remaining"], result["stage2"]["new"]) == (2, 1, 4, 3)
+    conf.limit = None
     result = pipeline.run(spark, "doc", conf)
-    assert result["stage1"] == {"total": 7, "anomaly": 0, "normal": 7}
-    assert result["stage2"]["found"] == 7
-    assert result["stage3"]["filled_cells"] == 2 and result["stage3"]["un_count"] in (0, 7)
+    assert (result["stage2"]["found"], result["stage2"]["empty"], result["stage2"]["remaining"], result["stage2"]["new"]) == (6, 1, 0, 4)
+    assert result["stage2"]["copied"] == 1 and [p.name for p in (tmp_path / "doc/subproject2/EM").glob("*.jpg")] == ["frame_0001_43.0s.jpg"]
+    conf.detector = fails
+    again = pipeline.run(spark, "doc", conf)
+    assert again["stage2"]["new"] == 0 and again["stage2"]["found"] == 6 and again["seconds"] > 0
+    assert result["stage3"]["filled_cells"] == 2 and result["stage3"]["un_count"] in (0, 6)
+    assert result["stage3"]["copied"] == (6 if result["stage3"]["un_count"] else 0)
     cells = sheets._cells(str(tmp_path / "doc/subproject3/filled.xlsx"))
     assert sum(len(v.split("_")) for (r, c), v in cells.items() if r > 1 and c > 1) == 7
+
+
+def test_no_frames(spark, tmp_path):
+    (tmp_path / "frames").mkdir()
+    for folder in ("frames", "nowhere"):
+        with pytest.raises(FileNotFoundError):
+            stage2.detect_frames(spark, str(tmp_path / folder), str(tmp_path / "out"), centre)
+
+
+def test_end_and_default_rate_reach_the_reader(spark, tmp_path):
+    with (tmp_path / "a.npy").open("wb") as f:
+        np.save(f, np.stack([spot(20, 30)] * 600))
+    spark.dataSource.register(video.VideoFrames)
+    read = spark.read.format("video_frames").option("start_s", 40.0).option("interval_s", 3.0)
+    assert sorted(r.frame_index for r in read.option("end_s", 46.0).load(str(tmp_path / "a.npy")).collect()) == [400, 430, 460]
+    conf = pipeline.Conf("", "", predictor=whole_frame, sampling=pipeline.Sampling(end_s=46.0))
+    assert pipeline.extract(spark, str(tmp_path / "a.npy"), "d", conf, str(tmp_path / "crops")).count() == 3
+    assert video.VideoReader({"path": "x", "default_fps": "25.0"}).conf.default_fps == 25.0
+
+
+def test_box_forest_in_the_run(spark, tmp_path):
+    frames = [spot(20 + i % 5, 30) for i in range(600)]
+    with (tmp_path / "a.npy").open("wb") as f:
+        np.save(f, np.stack(frames))
+    features = [(vision.roi_features(x).tolist(), 0.0, 0.0, 1.0, 1.0) for x in frames[:20]]
+    forest = roi_model.train(spark.createDataFrame(features, "features array<double>, l double, t double, r double, b double"), trees=2, depth=2)
+    conf = pipeline.Conf("", "", forest=forest)
+    rows = pipeline.extract(spark, str(tmp_path / "a.npy"), "d", conf, str(tmp_path / "crops")).collect()
+    assert len(rows) == 7 and all(len(r.data) == 186 * 186 * 3 and not r.anomaly for r in rows)
+
+
+def test_uncompressed_recording(tmp_path):
+    def planes(y, u, v):
+        return b"FRAME\n" + bytes([y]) * 12 + bytes([u]) * 4 + bytes([v]) * 4
+
+    (tmp_path / "a.y4m").write_bytes(b"YUV4MPEG2 W4 H3 F30000:1001 Ip C420jpeg\n" + planes(16, 128, 128) + planes(235, 128, 128) + planes(81, 90, 240) + b"FRAME\ncut")
+    opened = video.Y4mDecoder(f"file:{tmp_path / 'a.y4m'}")
+    assert (opened.total_frames, round(opened.fps, 2)) == (3, 29.97)
+    got = dict(opened.read(0, 9, 1))
+    assert (got[0] == 0).all() and (got[1] == 255).all() and got[2].shape == (3, 4, 3)
+    assert got[2][0, 0, 2] > 250 and got[2][0, 0, 0] < 5 and got[2][0, 0, 1] < 5  # red
+    assert [i for i, _ in opened.read(0, 3, 2)] == [0, 2]
+
+
+def test_fused_detector():
+    image = np.zeros((60, 60, 3), np.uint8)
+    yy, xx = np.mgrid[:60, :60]
+    image[np.abs(np.hypot(yy - 30, xx - 25) - 12) < 1.2] = (60, 220, 60)
+    template = image[30 - 15 : 30 + 16, 25 - 15 : 25 + 16]
+    assert vision.RingDetector()(image) is None  # 0.3 of coverage alone is below the least score
+    assert vision.RingDetector(ncc=vision.TemplateScorer([template] * 5))(image) == (25, 30)

@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 
@@ -17,6 +22,20 @@ def test_matches_sql(spark, against_sql, name):
     against_sql(registry.queries()[name](spark, DATA), registry.oracle_sql()[name])
 
 
+def test_without_the_training_data_part(tmp_path):
+    """With its folder and tests gone, and the corpus pipeline there or not, the rest imports and names its queries."""
+    root = Path(entry.__file__).resolve().parent
+    for name in ("framegrid", "tests"):
+        shutil.copytree(root / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for f in root.glob("*.py"):
+        shutil.copy(f, tmp_path / f.name)
+    say = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    for _ in range(2):
+        got = subprocess.run([sys.executable, "-c", say], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True)
+        assert got.stdout.split() == [str(len(registry.queries())), str(len(registry.oracle_sql())), "False"]
+        (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["document", "col_idx", "row_idx", "cell"]
     assert set(registry.queries()) <= set(entry.queries())
