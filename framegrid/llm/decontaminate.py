@@ -221,7 +221,7 @@ def scan(text: Column, index: Index) -> Column:
         rows = [{"items": [ids[i] for i in sorted(f)], "edits": [f[i] for i in sorted(f)]} for f in out]
         return pa.array(rows, pa.struct([("items", pa.list_(pa.int64())), ("edits", pa.list_(pa.int32()))]))
 
-    return look(text)
+    return look.asNondeterministic()(text)  # so that a filter on the findings does not look again
 
 
 def _indexes(benchmark: DataFrame, q: int, error: float, item_id: str, item_text: str) -> Iterator[Index]:

@@ -10,7 +10,8 @@ Expected counts are summed in a fixed number of sorted parts of the sample, so a
 
 Cases: a null text or one without a letter is ``und`` with score 0, as is every text where nothing is labelled; texts
 are read whole; ties go to the language that sorts first; repeated rows are judged alike; null languages are not
-learned; an empty table gives an empty result; the input's columns stay as they are.
+learned; an empty table gives an empty result; the input's columns stay as they are, but for one with the result's name,
+which is replaced.
 """
 
 from __future__ import annotations
@@ -104,14 +105,13 @@ class Lattice:
             ends[k + 1 :, k] = at[: n - k]
         before = np.zeros((len(found), p.shape[1]))  # forward sums, the latest first
         before[0] = 1
-        scale = 0.0
+        log = np.zeros(p.shape[1])
         for j in range(1, n + 1):
             total = (before * p[ends[j]]).sum(axis=0)
-            most = total.max()
-            scale += np.log(most)
-            before[1:] = before[:-1] / most
-            before[0] = total / most
-        return np.log(before[0]) + scale
+            log += np.log(total)
+            before[1:] = before[:-1] / total
+            before[0] = 1
+        return log
 
     def walk(self, words: list[str], p: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """log probability of each word under each column of p; with weights, also the expected pieces."""

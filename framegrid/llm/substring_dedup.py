@@ -329,8 +329,8 @@ def _gathered(contexts: DataFrame, parts: int) -> DataFrame:
 
 
 def _earliest(windows: DataFrame) -> DataFrame:
-    """Prefixes that are whole windows: their least document, by sums alone."""
-    first = windows.groupBy("whole").agg(F.min("least").alias("first"))
+    """Prefixes that are whole windows: their least document, by sums alone; they are stored, so that the join with a common window can be split."""
+    first = saved(windows.groupBy("whole").agg(F.min("least").alias("first")), "first")
     bit = F.expr("shiftleft(bigint(1), low)")
     earlier = F.when(F.col("first") < F.col("least"), bit).otherwise(F.lit(0).cast("bigint"))
     return windows.join(first, "whole").select("context", "least", bit.alias("fits"), earlier.alias("earlier"))

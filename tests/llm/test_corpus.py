@@ -269,6 +269,42 @@ def test_differencing():
     assert sorted(sums) == [14, 16]  # the classic example of the differencing method
 
 
+def plain_differencing(sizes, k):
+    """The method with the groups themselves: sums of the k sets that are left."""
+    parts = [(i, [(s, frozenset([i]))] + [(0, frozenset())] * (k - 1)) for i, s in enumerate(sizes)]
+    spread = lambda p: p[0][0] - p[-1][0]
+    n = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (-spread(p[1]), p[0]))
+        (_, a), (_, b) = parts[:2]
+        joined = [(x + y, s | t) for (x, s), (y, t) in zip(a, reversed(b), strict=True)]
+        parts = [*parts[2:], (n, sorted(joined, key=lambda p: -p[0]))]
+        n += 1
+    return [set(s) for _, s in parts[0][1]]
+
+
+@pytest.mark.parametrize("k", [2, 3, 8])
+def test_differencing_against_sets(k):
+    rng = np.random.default_rng(k)
+    for n in (1, 2, 7, 40):
+        sizes = sorted(rng.integers(1, 1000, n).tolist(), reverse=True)
+        goes = [g[0] for g in sharding.differencing([(s, *(0,) * (k - 1)) for s in sizes], k)]
+        got = sorted(sum(s for s, g in zip(sizes, goes, strict=True) if g == x) for x in range(k))
+        assert got == sorted(sum(sizes[i] for i in part) for part in plain_differencing(sizes, k))
+
+
+def test_op3_against_sets(spark):
+    """The whole query: its shards' bytes are those of the plain method over the groups of equal texts."""
+    groups = Counter()
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").collect():
+        groups[r.text] += len((r.text or "").encode()) + 1
+    digests = {t: hashlib.md5((t or "").encode()).digest() if t is not None else b"" for t in groups}
+    order = sorted(groups, key=lambda t: (-groups[t], digests[t]))
+    want = sorted(sum(groups[order[i]] for i in part) for part in plain_differencing([groups[t] for t in order], 8))
+    got = queries.op3_karmarkar_karp(spark, DATA).groupBy("shard").agg(F.sum("size").alias("bytes")).collect()
+    assert sorted(r.bytes for r in got) == want
+
+
 @pytest.mark.parametrize("bucket", [16384, 5])
 def test_shards(docs, clashing, empty, monkeypatch, bucket):
     monkeypatch.setattr(sharding, "BUCKET_GROUPS", bucket)
