@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import zipfile
+
 import numpy as np
 import pytest
 
@@ -55,6 +58,27 @@ def test_sheet(tmp_path):
     assert cells[4, 3] == "a_b<&" and cells[3, 2] == "old" and cells[1, 2] == "00:40"
 
 
+def test_other_sheets_and_styles_stay(tmp_path):
+    base, out = str(tmp_path / "base.xlsx"), str(tmp_path / "out.xlsx")
+    sheets.fill(None, base, [(0, 0, "old"), (2, 1, "far")], (["00:40", "02:10"], ["1", "2"]))
+    with zipfile.ZipFile(base) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    parts["xl/worksheets/sheet2.xml"] = parts["xl/worksheets/sheet1.xml"]  # the table is in the second part, under its name
+    parts["xl/worksheets/sheet1.xml"] = parts["xl/worksheets/sheet1.xml"].replace(b"old", b"notes")
+    parts["xl/workbook.xml"] = parts["xl/workbook.xml"].replace(b"<sheets>", b'<sheets><sheet name="Notes" sheetId="7" r:id="r1"/>').replace(b'sheetId="1" r:id="r1"', b'sheetId="1" r:id="r9"')
+    parts["xl/_rels/workbook.xml.rels"] = parts["xl/_rels/workbook.xml.rels"].replace(b"<Relationship Id=", b'<Relationship Id="r9" Type="sheet" Target="worksheets/sheet2.xml"/><Relationship Id=', 1)
+    with zipfile.ZipFile(base, "w") as z:
+        for n, content in parts.items():
+            z.writestr(n, content)
+    sheets.fill(base, out, [(1, 0, "new"), (0, 0, "over"), (0, 3, "below")])
+    assert sheets._cells(out) == sheets._cells(base) | {(2, 3): "new", (2, 2): "over", (5, 2): "below"}
+    assert sheets._cells(out, "Notes") == sheets._cells(base, "Notes") and "notes" in sheets._cells(out, "Notes").values()
+    with zipfile.ZipFile(out) as z:
+        assert z.read("xl/worksheets/sheet1.xml") == parts["xl/worksheets/sheet1.xml"] and z.read("xl/styles.xml").count(b'numFmtId="49"') == 2
+        row = re.search(rb'<row r="2".*?</row>', z.read("xl/worksheets/sheet2.xml"), re.S)[0]
+        assert re.findall(rb'r="([A-Z]+)2"', row) == [b"A", b"B", b"C"]
+
+
 def test_resumable_detection(spark, tmp_path):
     frames, out, check = (str(tmp_path / x) for x in ("frames", "out", "check"))
     (tmp_path / "frames").mkdir()
