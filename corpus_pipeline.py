@@ -1,6 +1,10 @@
 """Corpus pipeline: quality rules, near-duplicates, decontamination, mixing, sharding.
 
 Each stage takes what its predecessor kept; ``run`` writes every stage to the shared folder as Parquet and reads it back.
+
+Cases: null and empty texts fail the quality rules; null ids sort last among near-duplicates; a null source is a source of
+its own; repeated rows are one class, of which one row stays; further columns, whatever their names, are kept by all stages
+but the last; texts are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,7 +52,7 @@ STAGES = [
     ("mixing", mixing_sources),
     ("sharding", shard_assignment),
 ]
-#: SQL has neither zstandard ratios nor dart signatures; the tests compare with brute force.
+#: SQL has neither zstandard ratios nor edit distances to parts of a text; tests/llm/test_pipeline.py compares with plain stages.
 ORACLE_SQL = None
 
 
