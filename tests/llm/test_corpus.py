@@ -8,7 +8,6 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
-import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -482,18 +481,3 @@ def test_held_out_texts_score_above_the_base(spark):
     docs = spark.createDataFrame([(i, text(), i % 7 == 2) for i in range(210)], "doc_id long, text string, held_out boolean")
     got = [r for r in lm_scoring.scores(docs).collect() if r.held_out]
     assert len(got) == 30 and sum(r.score for r in got) > 0.6 * sum(r.base_score for r in got)
-
-
-def test_pipeline(spark):
-    out = corpus_pipeline.run(spark, DATA).collect()
-    docs = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
-    stage = spark.read.parquet(f"{DATA}/documents.parquet")
-    sizes = []
-    for _, f in corpus_pipeline.STAGES[:4]:
-        before = stage
-        stage = spark.createDataFrame(f(spark, before, DATA).collect(), before.schema)
-        assert stage.columns == before.columns
-        sizes.append(stage.count())
-    assert sizes[0] >= sizes[1] >= sizes[2] > 0 and len(out) == sizes[3]
-    assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in stage.collect())
-    assert all(r["size"] == len(docs[r.doc_id].text.encode()) + 1 for r in out)
