@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegrid.llm import common, decontaminate, html_extract, language_id, lm_scoring, mixing, near_dups, quality, sharding, substring_dedup, url_filters
+from framegrid.llm import (
+    byte_bpe, common, decontaminate, fill_in_middle, html_extract, language_id, lm_scoring, mixing, near_dups, quality, sharding, substring_dedup,
+    token_alignment, url_filters,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,9 +156,57 @@ def op10_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.select("doc_id", (F.size("leak.items") > 0).alias("contaminated"), F.col("leak.items").alias("item_ids"), F.col("leak.edits").alias("edits"))
 
 
+def op11_run_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.transform(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    back = fill_in_middle.restored(F.col("form"), F.col("output"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    )
+
+
+OP11_SQL = """
+with drawn as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as d from documents),
+numbers as (
+  select doc_id, t, n, cast('0x' || substr(d, 1, 8) as bigint) % (n + 1) as x, cast('0x' || substr(d, 9, 8) as bigint) % (n + 1) as y,
+         cast('0x' || substr(d, 17, 8) as bigint) % 100 as c, cast('0x' || substr(d, 25, 8) as bigint) % 100 as f from drawn),
+formed as (
+  select *, least(x, y) as a, greatest(x, y) as b,
+         case when n = 0 or c >= 90 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain' when f < 20 then 'spm' else 'psm' end as form
+  from numbers),
+parts as (select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix from formed)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts"""
+
+#: Places of the public tokenizers' files; parameters of the queries.
+TOKENIZERS = "/opt/tokenizers"
+#: The pattern by which the public byte-level vocabularies split texts; a fixed value.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def op12_elementary_intervals(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    a = token_alignment.ByteLevel.read(f"{tokenizers}/byte_bpe_50k.json", PATTERN)
+    b = token_alignment.Pieces.read(f"{tokenizers}/piece_bpe_32k.model")
+    return token_alignment.links(_table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_two_tier_bpe(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    model = byte_bpe.read_vocabulary(f"{tokenizers}/byte_bpe_multi_50k.tiktoken", PATTERN)
+    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model, packed=True).drop("text")
+    return byte_bpe.decode(encoded, model).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_compression_bands": op1_compression_bands, "op2_segment_unigrams": op2_segment_unigrams, "op3_karmarkar_karp": op3_karmarkar_karp, "op4_context_mixing": op4_context_mixing, "op5_fair_queueing": op5_fair_queueing, "op6_suffix_trees": op6_suffix_trees, "op7_url_filter": op7_url_filter, "op8_dart_minhash": op8_dart_minhash, "op9_scoring_subsequence": op9_scoring_subsequence, "op10_qgram_lemma": op10_qgram_lemma}
+    found = (
+        op1_compression_bands, op2_segment_unigrams, op3_karmarkar_karp, op4_context_mixing, op5_fair_queueing, op6_suffix_trees, op7_url_filter,
+        op8_dart_minhash, op9_scoring_subsequence, op10_qgram_lemma, op11_run_lengths, op12_elementary_intervals, op13_two_tier_bpe,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_fair_queueing": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op7_url_filter": _op7_sql()}
+    return {"op5_fair_queueing": OP5_SQL, "op6_suffix_trees": OP6_SQL, "op7_url_filter": _op7_sql(), "op11_run_lengths": OP11_SQL}
