@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 
@@ -11,7 +13,11 @@ import numpy as np
 GREEN, CYAN = (45, 95, 50, 55), (95, 112, 40, 55)
 RADII = range(10, 15)
 LEAST_RING, MOST_INSIDE, NMS_RADIUS = 0.60, 0.30, 6
+#: Cyan needs a higher coverage; the contract does not say how much.
+LEAST_CYAN = 0.70
 ACCEPT, COVERAGE_WEIGHT = 1.05, 0.3
+#: A patch reaches so far from its centre; the largest ring fits.
+PATCH = 15
 
 
 def _cubic(n: int, m: int) -> np.ndarray:
@@ -47,9 +53,9 @@ def hsv(image: np.ndarray) -> np.ndarray:
     return np.stack([np.rint((h % 360) / 2) % 180, np.rint(s), v], axis=-1)
 
 
-def mask(image: np.ndarray, colour: tuple[int, int, int, int]) -> np.ndarray:
+def mask(image: np.ndarray, colour: tuple[int, int, int, int], pixels: np.ndarray | None = None) -> np.ndarray:
     low, high, s, v = colour
-    x = hsv(image)
+    x = hsv(image) if pixels is None else pixels
     return (x[..., 0] >= low) & (x[..., 0] <= high) & (x[..., 1] >= s) & (x[..., 2] >= v)
 
 
@@ -64,47 +70,98 @@ def closing(m: np.ndarray) -> np.ndarray:
     return _around(_around(m, False), True)
 
 
-def _shifted_share(m: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Share of the offsets at which the mask is set, for each centre; outside counts as unset."""
-    far = int(np.abs(offsets).max())
-    padded = np.pad(m, far).astype(float)
-    h, w = m.shape
-    return sum(padded[far + dy : far + dy + h, far + dx : far + dx + w] for dy, dx in offsets) / len(offsets)
+def _kernels() -> list[np.ndarray]:
+    """Rings of all radii, then the discs inside them, on a square of 33."""
+    yy, xx = np.mgrid[-16:17, -16:17]
+    d = np.hypot(yy, xx)
+    return [np.abs(d - r) < 0.5 for r in RADII] + [d < r - 3 for r in RADII]
+
+
+@functools.lru_cache(maxsize=4)
+def _transformed(height: int, width: int) -> np.ndarray:
+    """The kernels' transforms, turned round, for correlation with a mask of this size and a border of 16."""
+    return np.stack([np.conj(np.fft.rfft2(k.astype(float), (height + 32, width + 32))) for k in _kernels()])
 
 
 def ring_coverage(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best share of a ring that is set over the radii, and the share of the disc inside that radius."""
-    yy, xx = np.mgrid[-16:17, -16:17]
-    d = np.hypot(yy, xx)
-    ring = [_shifted_share(m, np.argwhere(np.abs(d - r) < 0.5) - 16) for r in RADII]
-    inside = [_shifted_share(m, np.argwhere(d < r - 3) - 16) for r in RADII]
-    best = np.argmax(ring, axis=0)
-    return np.take_along_axis(np.array(ring), best[None], 0)[0], np.take_along_axis(np.array(inside), best[None], 0)[0]
+    """Best share of a ring that is set over the radii, and the share of the disc inside that radius; outside counts as unset.
 
+    Set pixels are counted by one transform of the mask and one back for each kernel, rounded to whole numbers.
+    """
+    h, w = m.shape
+    spectrum = np.fft.rfft2(np.pad(m.astype(float), 16))
+    counts = np.rint(np.fft.irfft2(spectrum * _transformed(h, w), (h + 32, w + 32)))[:, :h, :w]
+    shares = counts / np.array([k.sum() for k in _kernels()])[:, None, None]
+    n = len(RADII)
+    best = np.argmax(shares[:n], axis=0)[None]
+    return np.take_along_axis(shares[:n], best, 0)[0], np.take_along_axis(shares[n:], best, 0)[0]
 
-def peaks(coverage: np.ndarray, inside: np.ndarray, radius: int = NMS_RADIUS) -> list[tuple[int, int, float]]:
-    """Valid (px, py, coverage) centres by falling coverage, none within ``radius`` of a better one."""
-    at = np.argwhere((coverage >= LEAST_RING) & (inside <= MOST_INSIDE))
-    order = sorted(at.tolist(), key=lambda p: (-coverage[p[0], p[1]], p))
+
+def apart(found: list[tuple[int, int, float]], radius: int = NMS_RADIUS) -> list[tuple[int, int, float]]:
+    """Of (px, py, coverage) by falling coverage those with no better one within ``radius``."""
     kept: list[tuple[int, int, float]] = []
-    for y, x in order:
+    for x, y, c in sorted(found, key=lambda p: (-p[2], p[1], p[0])):
         if all((x - a) ** 2 + (y - b) ** 2 > radius**2 for a, b, _ in kept):
-            kept.append((x, y, float(coverage[y, x])))
+            kept.append((x, y, c))
     return kept
 
 
+def valid(coverage: np.ndarray, inside: np.ndarray, least: float = LEAST_RING) -> list[tuple[int, int, float]]:
+    """(px, py, coverage) where the ring is set and its inside is not."""
+    at = np.argwhere((coverage >= least) & (inside <= MOST_INSIDE))
+    return [(x, y, float(coverage[y, x])) for y, x in at.tolist()]
+
+
+def peaks(coverage: np.ndarray, inside: np.ndarray, radius: int = NMS_RADIUS, least: float = LEAST_RING) -> list[tuple[int, int, float]]:
+    """Valid centres by falling coverage, none within ``radius`` of a better one."""
+    return apart(valid(coverage, inside, least), radius)
+
+
+def candidates(image: np.ndarray) -> list[tuple[int, int, float]]:
+    """Centres of green rings, and of cyan ones above their higher bar, apart from each other."""
+    pixels = hsv(image)
+    found = []
+    for colour, least in ((GREEN, LEAST_RING), (CYAN, LEAST_CYAN)):
+        m = mask(image, colour, pixels)
+        if m.any():
+            found += valid(*ring_coverage(closing(m)), least)
+    return apart(found)
+
+
+def patch(image: np.ndarray, x: int, y: int) -> np.ndarray:
+    """The square around a centre, edges repeated."""
+    padded = np.pad(image, ((PATCH, PATCH), (PATCH, PATCH), (0, 0)), mode="edge")
+    return padded[y : y + 2 * PATCH + 1, x : x + 2 * PATCH + 1]
+
+
+def patch_features(image: np.ndarray, x: int, y: int) -> np.ndarray:
+    """Of the square around a centre: 64 grey means of an 8 x 8 grid, shares of both colours by five rings of distance, mean and deviation of hue, saturation and value."""
+    part = patch(image, x, y)
+    grey = part.astype(float) @ np.array([0.114, 0.587, 0.299])
+    cuts = np.array_split(np.arange(len(part)), 8)
+    grid = [grey[r[0] : r[-1] + 1, c[0] : c[-1] + 1].mean() for r in cuts for c in cuts]
+    yy, xx = np.mgrid[-PATCH : PATCH + 1, -PATCH : PATCH + 1]
+    ring = np.minimum(np.hypot(yy, xx) / 3.5, 4).astype(int)
+    pixels = hsv(part)
+    shares = [mask(part, colour, pixels)[ring == k].mean() for colour in (GREEN, CYAN) for k in range(5)]
+    colours = pixels.reshape(-1, 3)
+    return np.concatenate([grid, shares, colours.mean(axis=0), colours.std(axis=0)])
+
+
 class RingDetector:
-    """The ring centre with the highest fused score; scorers of template and class are plug-ins, silent by default."""
+    """The candidate with the highest fused score, if it reaches ``accept``; both scorers take (image, x, y)."""
+
+    def __init__(self, ncc: Callable[..., float], probability: Callable[..., float], accept: float = ACCEPT) -> None:
+        self.ncc, self.probability, self.accept = ncc, probability, accept
 
-    def __init__(self, colour=GREEN, ncc=None, probability=None, accept: float = ACCEPT) -> None:
-        self.colour, self.accept = colour, accept
-        self.ncc, self.probability = ncc or (lambda *_: 0.0), probability or (lambda *_: 0.0)
+    def scored(self, image: np.ndarray) -> list[tuple[float, int, int]]:
+        """(fused score, px, py) of all candidates, by falling coverage."""
+        return [(self.ncc(image, x, y) + self.probability(image, x, y) + COVERAGE_WEIGHT * c, x, y) for x, y, c in candidates(image)]
 
     def __call__(self, image: np.ndarray) -> tuple[int, int] | None:
-        found = peaks(*ring_coverage(closing(mask(image, self.colour))))
-        scored = [(self.ncc(image, x, y) + self.probability(image, x, y) + COVERAGE_WEIGHT * c, -i, (x, y)) for i, (x, y, c) in enumerate(found)]
-        best = max(scored, default=None)
-        return best[2] if best and best[0] >= self.accept else None
+        found = self.scored(image)
+        best = max(range(len(found)), key=lambda i: (found[i][0], -i), default=None)
+        return found[best][1:] if best is not None and found[best][0] >= self.accept else None
 
 
 class TemplateScorer:
@@ -139,13 +196,26 @@ class CentroidDetector:
 
 
 def roi_features(frame: np.ndarray) -> np.ndarray:
-    """192 means of a 16 x 12 grey grid, a 24-bin grey histogram, and mean and deviation of hue, saturation and value."""
+    """The 233 features of a frame: 192 means of a 16 x 12 grey grid, a 24-bin grey histogram, mean and deviation of hue, saturation and value,
+    and eleven more: mean and deviation of the gradient (2), shares of green, cyan and grey pixels (3), density of edges over the frame and
+    in its upper left quarter (2), width and height in thousands (2), and where in that quarter the strongest upright and level edges lie (2).
+    """
     grey = frame.astype(float) @ np.array([0.114, 0.587, 0.299])
-    rows, cols = np.array_split(np.arange(grey.shape[0]), 12), np.array_split(np.arange(grey.shape[1]), 16)
-    grid = [grey[r[0] : r[-1] + 1, c[0] : c[-1] + 1].mean() for r in rows for c in cols]
+    h, w = grey.shape
+    rows, cols = np.array_split(np.arange(h), 12), np.array_split(np.arange(w), 16)
+    part = lambda r, c: grey[r[0] : r[-1] + 1, c[0] : c[-1] + 1].mean() if len(r) and len(c) else 0.0
+    grid = [part(r, c) for r in rows for c in cols]
     histogram = np.histogram(grey, bins=24, range=(0, 256))[0] / grey.size
-    colour = hsv(frame).reshape(-1, 3)
-    return np.concatenate([grid, histogram, colour.mean(axis=0), colour.std(axis=0)])
+    pixels = hsv(frame)
+    colour = pixels.reshape(-1, 3)
+    across, down = np.abs(np.diff(grey, axis=1, append=grey[:, -1:])), np.abs(np.diff(grey, axis=0, append=grey[-1:]))
+    slope = across + down
+    edge = slope > 48
+    high, wide = max(1, h // 2), max(1, w // 2)
+    shares = [mask(frame, GREEN, pixels).mean(), mask(frame, CYAN, pixels).mean(), (pixels[..., 1] < 30).mean()]
+    places = [int(np.argmax(across[:high, :wide].sum(axis=0))) / w, int(np.argmax(down[:high, :wide].sum(axis=1))) / h]
+    others = [slope.mean(), slope.std(), *shares, edge.mean(), edge[:high, :wide].mean(), w / 1000, h / 1000, *places]
+    return np.concatenate([grid, histogram, colour.mean(axis=0), colour.std(axis=0), others])
 
 
 def png(pixels: np.ndarray) -> bytes:

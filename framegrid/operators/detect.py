@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framegrid.functions import exprs as E
+from framegrid.sources.sinks import filesystem
 
 #: image (height x width x 3, blue first) to (px, py) or None
 Detector = Callable[[np.ndarray], tuple[int, int] | None]
@@ -44,6 +45,29 @@ def detect(images: DataFrame, make: Callable[[], Detector]) -> DataFrame:
     return positions(found)
 
 
+def _detect_files(parts: Iterator[pd.DataFrame], folder: str, make: Callable[[], Detector], read, counter) -> Iterator[pd.DataFrame]:
+    detector = make()
+    for part in parts:
+        rows = []
+        for document, file in zip(part["document"], part["file"], strict=True):
+            at, inside = filesystem(f"{folder}/{file}")
+            with at.open_input_stream(inside) as f:
+                pixels = read(f.read())
+            found = None if pixels is None else detector(pixels)
+            rows.append((document, file, pixels is not None, *(found or (None, None))))
+            if counter is not None:
+                counter.add(1)
+        yield pd.DataFrame(rows, columns=["document", "file", "readable", "px", "py"]).astype({"px": "Int32", "py": "Int32"})
+
+
+def detect_files(names: DataFrame, folder: str, make: Callable[[], Detector], read: Callable[[bytes], np.ndarray | None], counter=None) -> DataFrame:
+    """Rows of (document, file) to positions: a task reads, decodes and detects its own files, so only names are ever dealt out."""
+    found = names.select("document", "file").mapInPandas(
+        partial(_detect_files, folder=folder, make=make, read=read, counter=counter), "document string, file string, readable boolean, px int, py int"
+    )
+    return positions(found)
+
+
 def positions(found: DataFrame) -> DataFrame:
     """Name the state and parse the time of each detection."""
     return found.select(

@@ -1,24 +1,44 @@
-"""Boxes from features: a random forest for each of the four fractions, trained and applied by Spark."""
+"""Boxes from features: one forest whose leaves hold all four fractions, trained by Spark, stored as a file, shipped to tasks."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import partial
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framegrid.functions.vision import roi_features
+from framegrid.operators import forest
+from framegrid.sources import models
 
 SIDES = ("l", "t", "r", "b")
 
 
-def train(labelled: DataFrame, trees: int = 300, depth: int = 14, seed: int = 0) -> dict[str, RandomForestRegressionModel]:
+def train(labelled: DataFrame, growth: forest.Growth = forest.Growth()) -> forest.Forest:
     """Fit on rows of (features array<double>, l, t, r, b)."""
-    rows = labelled.withColumn("vector", array_to_vector("features"))
-    forest = RandomForestRegressor(featuresCol="vector", numTrees=trees, maxDepth=depth, seed=seed)
-    return {s: forest.copy({forest.labelCol: s, forest.predictionCol: s + "_predicted"}).fit(rows) for s in SIDES}
+    return forest.train(labelled.select("features", F.array(*SIDES).alias("target")), growth)
+
+
+class BoxPredictor:
+    """A frame to the four fractions of its box."""
+
+    def __init__(self, model: forest.Forest) -> None:
+        self.model = model
+
+    def __call__(self, frame: np.ndarray) -> tuple[float, float, float, float]:
+        return tuple(self.model.predict(roi_features(frame)[None])[0].tolist())
+
+
+def read(path: str) -> BoxPredictor:
+    return BoxPredictor(forest.load(path))
+
+
+def _made(load: Callable[[], object]):
+    return load()
 
 
-def predict(frames: DataFrame, models: dict[str, RandomForestRegressionModel]) -> DataFrame:
-    """Add the predicted fractions; the label columns, if any, are replaced."""
-    rows = frames.drop(*SIDES).withColumn("vector", array_to_vector("features"))
-    for s in SIDES:
-        rows = models[s].transform(rows).withColumnRenamed(s + "_predicted", s)
-    return rows.drop("vector")
+def ship(spark: SparkSession, path: str) -> Callable[[], BoxPredictor]:
+    """A stored forest as a factory of predictors: sent to each node once, read once in each worker."""
+    return partial(_made, models.ship(spark, path, read))

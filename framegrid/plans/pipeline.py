@@ -1,6 +1,6 @@
 """The three stages as one run over a document, and its command line.
 
-    python -m framegrid.plans.pipeline --document NAME --apply-root FOLDER --symbols FILE --predictor module:factory
+    python -m framegrid.plans.pipeline --document NAME --apply-root FOLDER --symbols FILE --forest FILE --model FILE
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from framegrid.config import Grid, Sampling, Table
 from framegrid.functions import exprs as E
-from framegrid.functions import vision
-from framegrid.operators import archive, crops, detect, fill, locate, roi_model, sampling
+from framegrid.functions import jpeg
+from framegrid.operators import archive, crops, detect, fill, locate, ring_model, roi_model, sampling
 from framegrid.plans import stage2
 from framegrid.schemas import EXTRACTION_LOG_HEADER, GRID_RESULT_HEADER
 from framegrid.sources import files, sheets, sinks
-from framegrid.sources.video import VideoFrames
+from framegrid.sources import video as video_source
 
 
 @dataclass
@@ -29,11 +29,13 @@ class Conf:
     apply_root: str
     symbols: str
     template: str | None = None
-    decoder: str = "framegrid.sources.video:ArrayDecoder"
+    decoder: str = "framegrid.sources.video:recording"
     predictor: Callable[[], crops.Predictor] | None = None
-    forest: dict | None = None  # models of roi_model.train, in place of a predictor
-    detector: Callable[[], detect.Detector] = vision.RingDetector
-    encoder: Callable[[np.ndarray], bytes] = vision.png
+    forest: str | None = None  # a box forest that roi_model stored, in place of a predictor
+    detector: Callable[[], detect.Detector] | None = None
+    model: str | None = None  # a ring detector that ring_model stored, in place of a detector
+    encoder: Callable[[np.ndarray], bytes] = jpeg.jpeg
+    say: Callable[[str], None] | None = None  # is given lines of progress
     limit: int | None = None
     workers: int | None = None
     sampling: Sampling = field(default_factory=Sampling)
@@ -49,16 +51,13 @@ def extract(spark: SparkSession, video: str, document: str, conf: Conf, store: s
     """
     if conf.predictor is None and conf.forest is None:
         raise ValueError("stage 1 needs a box predictor or a box forest")
-    spark.dataSource.register(VideoFrames)
+    video_source.register(spark)
     read = spark.read.format("video_frames").option("decoder", conf.decoder)
     for name in ("start_s", "end_s", "interval_s", "default_fps"):
         if (value := getattr(conf.sampling, name)) is not None:
             read = read.option(name, value)
     frames = read.load(video).withColumn("document", F.lit(document))
-    if conf.predictor is not None:
-        boxed = crops.predict_boxes(frames, conf.predictor)
-    else:
-        boxed = roi_model.predict(crops.with_features(frames), conf.forest).drop("features")
+    boxed = crops.predict_boxes(frames, conf.predictor or roi_model.ship(spark, conf.forest))
     crops.crop(sampling.with_boxes(boxed), conf.sampling.target_size).write.mode("overwrite").parquet(store)
     stored = spark.read.parquet(store)
     narrow = stored.select("document", "frame_index", "w", "h", (F.col("frame_index") / E.fps(F.col("fps"), conf.sampling)).alias("timestamp"))
@@ -78,13 +77,17 @@ def locate_and_fill(spark: SparkSession, positions: DataFrame, out: str, conf: C
     headers = [r.header for r in fill.time_axis(spark, table).where("row_idx = 0").orderBy("col_idx").collect()]
     sheets.fill(conf.template, f"{out}/filled.xlsx", filled, (headers, [str(i + 1) for i in range(rows)]))
     unmapped = archive.unmapped(placed, table)
-    sinks.csv(unmapped.drop("document").orderBy("file", "row", "col"), f"{out}/{table.unmapped}", None)
-    copied = sinks.copy_files(unmapped, frames, f"{out}/{table.unmapped}") if frames else 0
+    copied = sinks.rebuild(
+        f"{out}/{table.unmapped}",
+        lambda to: (sinks.csv(unmapped.drop("document").orderBy("file", "row", "col"), to), sinks.copy_files(unmapped, frames, to) if frames else 0)[1],
+    )
     return {"copied": copied, "table_path": f"{out}/filled.xlsx", "un_count": placed.where(F.col("event") == table.unmapped).count(), "filled_cells": len(filled)}
 
 
 def run(spark: SparkSession, document: str, conf: Conf) -> dict:
     """Stages 1 to 3; between them only what the contract stores. Frames that are recorded are not detected again."""
+    if conf.detector is None and conf.model is None:
+        raise ValueError("stage 2 needs a detector or a stored ring detector")
     home, began = f"{conf.apply_root}/{document}", time.time()
     frames = f"{home}/subproject1"
     sampled = extract(spark, files.one_video(spark, home), document, conf, f"{frames}/_crops")
@@ -97,7 +100,8 @@ def run(spark: SparkSession, document: str, conf: Conf) -> dict:
     sinks.save_images(sampled.where(~F.col("anomaly")).withColumn("file", E.frame_name(F.col("seq"), t)), frames, conf.encoder)
     counts = sampled.agg(F.count("*").alias("total"), F.count_if("anomaly").alias("anomaly")).first()
     first = {"total": counts.total, "anomaly": counts.anomaly, "normal": counts.total - counts.anomaly, "seconds": time.time() - began}
-    second = stage2.detect_frames(spark, frames, f"{home}/subproject2", conf.detector, document, conf.limit, conf.workers, conf.table)
+    make = conf.detector or ring_model.ship(spark, conf.model)
+    second = stage2.detect_frames(spark, frames, f"{home}/subproject2", make, document, conf.limit, conf.workers, conf.table, say=conf.say)
     at = time.time()
     third = locate_and_fill(spark, stage2.recorded(spark, f"{home}/subproject2"), f"{home}/subproject3", conf, frames)
     return {"stage1": first, "stage2": second, "stage3": third | {"seconds": time.time() - at}, "seconds": time.time() - began}
@@ -110,9 +114,13 @@ def main() -> None:
     args.add_argument("--symbols", required=True)
     args.add_argument("--template")
     args.add_argument("--decoder", default=Conf.decoder)
-    args.add_argument("--predictor", required=True, help="module:factory of the box predictor")
-    args.add_argument("--detector", default="framegrid.functions.vision:RingDetector", help="module:factory of the detector")
-    args.add_argument("--encoder", default="framegrid.functions.vision:png", help="module:function that encodes a crop")
+    boxes = args.add_mutually_exclusive_group(required=True)
+    boxes.add_argument("--forest", help="a stored box forest")
+    boxes.add_argument("--predictor", help="module:factory of another box predictor")
+    rings = args.add_mutually_exclusive_group(required=True)
+    rings.add_argument("--model", help="a stored ring detector")
+    rings.add_argument("--detector", help="module:factory of another detector")
+    args.add_argument("--encoder", default="framegrid.functions.jpeg:jpeg", help="module:function that encodes a crop")
     args.add_argument("--limit", type=int, help="most frames to detect in this run")
     args.add_argument("--workers", type=int, help="tasks that detect")
     args.add_argument("--start", type=float, default=Sampling.start_s)
@@ -120,8 +128,8 @@ def main() -> None:
     args.add_argument("--interval", type=float, default=Sampling.interval_s)
     a = args.parse_args()
     conf = Conf(
-        a.apply_root, a.symbols, a.template, a.decoder, stage2.named(a.predictor), detector=stage2.named(a.detector), encoder=stage2.named(a.encoder),
-        limit=a.limit, workers=a.workers, sampling=Sampling(start_s=a.start, end_s=a.end, interval_s=a.interval),
+        a.apply_root, a.symbols, a.template, a.decoder, stage2.named(a.predictor) if a.predictor else None, a.forest,
+        stage2.named(a.detector) if a.detector else None, a.model, stage2.named(a.encoder), print, limit=a.limit, workers=a.workers, sampling=Sampling(start_s=a.start, end_s=a.end, interval_s=a.interval),
     )
     spark = SparkSession.builder.appName("framegrid").getOrCreate()
     for stage, result in run(spark, a.document, conf).items():

@@ -1,6 +1,8 @@
-"""Stage 2 over a folder of frames: detect what is not recorded yet, record it, rebuild the archive; and its command line.
+"""Stage 2 over a folder of frames: detect what is not recorded yet, record it batch by batch, rebuild the archive; and its command line.
 
-    python -m framegrid.plans.stage2 FRAMES OUTPUT [--limit N] [--workers N] [--detector module:factory]
+    python -m framegrid.plans.stage2 FRAMES OUTPUT --model FILE [--limit N] [--workers N]
+
+``--model`` is what ``framegrid.plans.train`` stores; ``--detector module:factory`` names any other detector.
 """
 
 from __future__ import annotations
@@ -10,61 +12,59 @@ import importlib
 import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import numpy as np
+from pyspark.sql import SparkSession
 
 from framegrid.config import Table
-from framegrid.functions import exprs as E
-from framegrid.functions.vision import RingDetector
-from framegrid.operators import archive, detect
-from framegrid.operators.progress import Progress
+from framegrid.functions import images
+from framegrid.operators import archive, detect, locate, ring_model
+from framegrid.operators.progress import Live
 from framegrid.sources import files, sinks
+from framegrid.sources import frames as names_source
+from framegrid.streaming import resume
 
-RECORDED = "document string, file string, time_s double, status string, px int, py int"
+recorded = resume.recorded
 
 
-def recorded(spark: SparkSession, output: str) -> DataFrame:
-    """All that is recorded in the stage's folder, with the frames' numbers as ``ord``."""
-    try:
-        found = spark.read.schema(RECORDED).parquet(f"{output}/recorded")
-    except AnalysisException:
-        found = spark.createDataFrame([], RECORDED)
-    return found.withColumn("ord", E.frame_number(F.col("file")))
+def import_positions(spark: SparkSession, output: str, document: str) -> int:
+    """Take over a position file that an earlier run left, where nothing is recorded; how many rows."""
+    if resume.recorded(spark, output).limit(1).count():
+        return 0
+    at, inside = sinks.filesystem(f"{output}/hero_position.csv")
+    if not at.get_file_info(inside).is_file:
+        return 0
+    rows = locate.typed_positions(files.positions(spark, f"{output}/hero_position.csv", document))
+    return resume.commit(rows, output, resume.next_run(output), 0)
 
 
 def detect_frames(
-    spark: SparkSession, frames: str, output: str, make: Callable[[], detect.Detector] = RingDetector, document: str = "",
-    limit: int | None = None, workers: int | None = None, table: Table = Table(),
+    spark: SparkSession, frames: str, output: str, make: Callable[[], detect.Detector], document: str = "", limit: int | None = None,
+    workers: int | None = None, table: Table = Table(), files_per_batch: int = 256, read: Callable[[bytes], np.ndarray | None] = images.read,
+    say: Callable[[str], None] | None = None,
 ) -> dict:
-    """Detect at most ``limit`` frames not recorded yet, in ``workers`` tasks; each run's results are added at once.
+    """Detect at most ``limit`` frames not recorded yet, in ``workers`` tasks; each batch is recorded once, when it is done.
 
-    One document's frames are listed by name on the driver; pixels are not.
+    Frames are listed, dealt out and limited by their names in Spark; a position file in the output folder counts as recorded.
+    ``say`` is given a line for every 20 frames while tasks run.
     """
     began = time.time()
-    try:
-        listing = files.frame_listing(spark, frames, document).cache()
-        total = listing.count()
-    except AnalysisException:
-        total = 0
-    if not total:
+    if next(names_source.names(frames), None) is None:
         raise FileNotFoundError(f"no frames (frame_*.jpg) in {frames}")
-    names = [r.file for r in detect.todo(listing, recorded(spark, output), limit).orderBy("file").select("file").collect()]
-    progress = Progress()
-    if names:
-        images = files.images(spark, frames, document, names)
-        found = detect.detect(images.repartition(workers) if workers else images, make)
-        sinks.append(progress.watch(found), f"{output}/recorded")
-    every = recorded(spark, output)
+    import_positions(spark, output, document)
+    with Live(spark, say=say or (lambda line: None)) as live:
+        new = resume.run(spark, frames, output, make, document, limit, workers, files_per_batch, read, live.counter)
+        seconds = time.time() - live.began
+    every = resume.recorded(spark, output)
     sinks.csv(every.orderBy("ord", "file").select("file", "time_s", "status", "px", "py"), f"{output}/hero_position")
     empty = archive.empty_frames(every)
-    sinks.csv(empty.drop("document").orderBy("file"), f"{output}/{table.empty}")  # clears the folder
-    copied = sinks.copy_files(archive.on_disk(empty, listing), frames, f"{output}/{table.empty}")
+    listing = files.frame_listing(spark, frames, document)
+    copied = sinks.rebuild(
+        f"{output}/{table.empty}", lambda to: (sinks.csv(empty.drop("document").orderBy("file"), to), sinks.copy_files(archive.on_disk(empty, listing), frames, to))[1]
+    )
     state = detect.summary(every, listing).first()
-    listing.unpersist()
     return {
-        "found": state.found, "empty": state.empty, "total": state.total, "remaining": state.remaining, "new": len(names), "copied": copied,
-        "seconds": time.time() - began, "frames_a_second": progress.rates()["rows_a_second"] if names else 0.0,
+        "found": state.found, "empty": state.empty, "total": state.total, "remaining": state.remaining, "new": new, "copied": copied,
+        "seconds": time.time() - began, "frames_a_second": new / max(seconds, 1e-9),
     }
 
 
@@ -81,10 +81,13 @@ def main() -> None:
     args.add_argument("--document", default="")
     args.add_argument("--limit", type=int)
     args.add_argument("--workers", type=int)
-    args.add_argument("--detector", default="framegrid.functions.vision:RingDetector")
+    which = args.add_mutually_exclusive_group(required=True)
+    which.add_argument("--model", help="a stored ring detector")
+    which.add_argument("--detector", help="module:factory of another detector")
     a = args.parse_args()
     spark = SparkSession.builder.appName("framegrid stage 2").getOrCreate()
-    for name, value in detect_frames(spark, a.frames, a.output, named(a.detector), a.document, a.limit, a.workers).items():
+    make = ring_model.ship(spark, a.model) if a.model else named(a.detector)
+    for name, value in detect_frames(spark, a.frames, a.output, make, a.document, a.limit, a.workers, say=print).items():
         print(name, value)
 
 

@@ -40,7 +40,7 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def _write(path: str, content: bytes) -> None:
+def write_file(path: str, content: bytes) -> None:
     """Written under another name first, so that a task that is run twice leaves no half a file."""
     at, inside = filesystem(path)
     folder, _, name = inside.rpartition("/")
@@ -51,6 +51,35 @@ def _write(path: str, content: bytes) -> None:
     at.move(half, inside)
 
 
+def rebuild(folder: str, build: Callable[[str], int]) -> int:
+    """Build a folder anew beside the old one and put it in its place; where ``build`` fails, the old one stays whole.
+
+    The old folder is moved aside for the moment of the exchange; should a run end just there, the next one moves it back first.
+    """
+    at, inside = filesystem(folder)
+    parent, _, name = inside.rpartition("/")
+    aside = f"{parent}/_{name}.before"
+    is_there = lambda path: at.get_file_info(path).type.name == "Directory"
+    if is_there(aside):
+        if is_there(inside):
+            at.delete_dir(aside)
+        else:
+            at.move(aside, inside)
+    made = f"_{name}.{uuid.uuid4().hex}"
+    try:
+        result = build(f"{folder.removesuffix(name)}{made}")
+        if is_there(inside):
+            at.move(inside, aside)
+        at.move(f"{parent}/{made}", inside)
+    except BaseException:
+        if is_there(f"{parent}/{made}"):
+            at.delete_dir(f"{parent}/{made}")
+        raise
+    if is_there(aside):
+        at.delete_dir(aside)
+    return result
+
+
 def copy_files(names: DataFrame, source: str, target: str) -> int:
     """Copy the named files that exist from one folder to another; tasks copy, the driver only counts."""
 
@@ -61,7 +90,7 @@ def copy_files(names: DataFrame, source: str, target: str) -> int:
                 at, inside = filesystem(f"{source}/{file}")
                 if at.get_file_info(inside).is_file:
                     with at.open_input_stream(inside) as f:
-                        _write(f"{target}/{file}", f.read())
+                        write_file(f"{target}/{file}", f.read())
                     done.append(file)
             yield pd.DataFrame({"file": done}, dtype="object")
 
@@ -75,7 +104,7 @@ def save_images(images: DataFrame, target: str, encode: Callable[[np.ndarray], b
         for part in parts:
             for row in part.itertuples():
                 pixels = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, 3)
-                _write(f"{target}/{row.file}", encode(pixels))
+                write_file(f"{target}/{row.file}", encode(pixels))
             yield pd.DataFrame({"file": part["file"]})
 
     return images.select("file", "height", "width", "data").mapInPandas(write, "file string").count()

@@ -2,20 +2,26 @@
 
 A decoder is made with a path and has ``fps``, ``total_frames`` and ``read(start, stop, step)``, which yields
 (frame index, height x width x 3 array) and ends early where decoding fails. Only sampled frames are asked for, and long
-recordings are split into ranges, so one recording is decoded by many tasks.
+recordings are split into ranges, so one recording is decoded by many tasks. Conditions on ``frame_index`` reach the source:
+frames outside of them are not decoded.
 """
 
 from __future__ import annotations
 
 import importlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
+)
 
 from framegrid.config import Sampling
 from framegrid.schemas import FRAME
+from framegrid.sources.mp4 import Mp4Decoder
+from framegrid.sources.sinks import filesystem
 
 
 @dataclass
@@ -94,6 +100,14 @@ class Y4mDecoder:
         return np.clip(np.rint(colours), 0, 255).astype(np.uint8)
 
 
+def recording(path: str):
+    """The decoder that fits the file's first bytes: an array, an uncompressed recording, or else an MP4."""
+    fs, inside = filesystem(path)
+    with fs.open_input_stream(inside) as f:
+        head = f.read(16)
+    return (ArrayDecoder if head.startswith(b"\x93NUMPY") else Y4mDecoder if head.startswith(b"YUV4MPEG2") else Mp4Decoder)(path)
+
+
 def decoder(name: str, path: str):
     module, _, cls = name.partition(":")
     return getattr(importlib.import_module(module), cls)(path)
@@ -106,6 +120,12 @@ def plan(fps: float, total: int, conf: Sampling) -> tuple[int, int, int]:
     return int(conf.start_s * rate), int(end * rate), max(1, round(rate * conf.interval_s))
 
 
+def register(spark: SparkSession) -> None:
+    """Make the source known; its pushdown of conditions needs a setting of the session."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(VideoFrames)
+
+
 class VideoFrames(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -121,20 +141,46 @@ class VideoFrames(DataSource):
 class VideoReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.paths = options["path"].split(",")
-        self.decoder = options.get("decoder", "framegrid.sources.video:ArrayDecoder")
+        self.decoder = options.get("decoder", "framegrid.sources.video:recording")
         given = {k: float(options[k]) for k in ("start_s", "end_s", "interval_s", "default_fps") if options.get(k) not in (None, "", "None")}
         self.conf = Sampling(**given)
         self.samples = int(options.get("samples_per_task", 64))
+        self.least, self.most, self.only = 0, None, None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
+        """Bounds and lists of frame indices are kept by the source; all else goes back to Spark."""
+        for f in filters:
+            value = getattr(f, "value", None)
+            if getattr(f, "attribute", None) != ("frame_index",) or value is None or isinstance(f, In) and None in value:
+                yield f
+            elif isinstance(f, GreaterThan | GreaterThanOrEqual):
+                self.least = max(self.least, value + isinstance(f, GreaterThan))
+            elif isinstance(f, LessThan | LessThanOrEqual):
+                most = value - isinstance(f, LessThan)
+                self.most = most if self.most is None else min(self.most, most)
+            elif isinstance(f, EqualTo | In):
+                wanted = frozenset([value] if isinstance(f, EqualTo) else value)
+                self.only = wanted if self.only is None else self.only & wanted
+            else:
+                yield f
 
     def partitions(self) -> list[FrameRange]:
         out = []
         for path in self.paths:
             opened = decoder(self.decoder, path)
             first, last, step = plan(opened.fps, opened.total_frames, self.conf)
+            last = last if self.most is None else min(last, self.most)
+            if self.only is not None:
+                wanted = sorted(i for i in self.only if max(first, self.least) <= i <= last and (i - first) % step == 0)
+                out += [FrameRange(path, i, i + 1) for i in wanted]
+                continue
+            first += max(0, -(-(self.least - first) // step)) * step
             out += [FrameRange(path, at, min(at + step * self.samples, last + 1)) for at in range(first, last + 1, step * self.samples)]
         return out
 
-    def read(self, partition: FrameRange) -> Iterator[tuple]:
+    def read(self, partition: FrameRange | None) -> Iterator[tuple]:
+        if partition is None:  # Spark's stand-in where nothing is planned
+            return
         opened = decoder(self.decoder, partition.path)
         step = plan(opened.fps, opened.total_frames, self.conf)[2]
         for i, frame in opened.read(partition.start, partition.stop, step):

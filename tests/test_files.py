@@ -9,10 +9,10 @@ import numpy as np
 import pytest
 
 from framegrid.functions import vision
-from framegrid.operators import locate, roi_model
-from framegrid.plans import pipeline, stage2
+from framegrid.operators import forest, locate
+from framegrid.plans import pipeline, stage2, train
 from framegrid.sources import files, sheets, sinks, video
-from framegrid.streaming import resume, windows
+from framegrid.streaming import windows
 
 
 def spot(x: int, y: int, size: int = 64) -> np.ndarray:
@@ -79,22 +79,6 @@ def test_other_sheets_and_styles_stay(tmp_path):
         assert re.findall(rb'r="([A-Z]+)2"', row) == [b"A", b"B", b"C"]
 
 
-def test_resumable_detection(spark, tmp_path):
-    frames, out, check = (str(tmp_path / x) for x in ("frames", "out", "check"))
-    (tmp_path / "frames").mkdir()
-    (tmp_path / "frames/frame_0000_40.0s.jpg").write_bytes(vision.png(spot(20, 30)))
-    (tmp_path / "frames/frame_0001_43.0s.jpg").write_bytes(vision.png(np.zeros((64, 64, 3), np.uint8)))
-    (tmp_path / "frames/frame_0002_46.0s.jpg").write_bytes(b"no image")
-    rows = {r.file: r for r in resume.run(spark, frames, out, check, "d", centre).collect()}
-    assert [rows[f].status for f in sorted(rows)] == ["found", "empty", "unreadable"]
-    assert (rows["frame_0000_40.0s.jpg"].px, rows["frame_0000_40.0s.jpg"].py, rows["frame_0000_40.0s.jpg"].time_s) == (20, 30, 40.0)
-    (tmp_path / "frames/frame_0003_49.0s.jpg").write_bytes(vision.png(spot(5, 5)))
-    assert resume.run(spark, frames, out, check, "d", centre).count() == 4
-    assert [r.file for r in resume.rebuild_archive(spark, out).collect()] == ["frame_0001_43.0s.jpg"]
-    assert files.frame_listing(spark, frames, "d").count() == 4
-    assert sinks.copy_files(resume.rebuild_archive(spark, out), frames, str(tmp_path / "EM")) == 1
-
-
 def test_stream_of_windows(spark, tmp_path):
     rows = spark.sql("select timestamp_seconds(id) as ts, id % 2 as user_id from range(0, 60)")
     rows.write.parquet(str(tmp_path / "in"))
@@ -120,8 +104,7 @@ def test_image_primitives():
     hole = np.ones((5, 5), bool)
     hole[2, 2] = False
     assert vision.closing(hole).all()
-    assert len(vision.roi_features(spot(20, 20))) == 192 + 24 + 6
-    assert vision.RingDetector()(np.zeros((60, 60, 3), np.uint8)) is None
+    assert len(vision.roi_features(spot(20, 20))) == len(vision.roi_features(spot(5, 5, 9))) == 192 + 24 + 6 + 11
 
 
 def whole_frame():
@@ -170,7 +153,7 @@ def test_no_frames(spark, tmp_path):
 def test_end_and_default_rate_reach_the_reader(spark, tmp_path):
     with (tmp_path / "a.npy").open("wb") as f:
         np.save(f, np.stack([spot(20, 30)] * 600))
-    spark.dataSource.register(video.VideoFrames)
+    video.register(spark)
     read = spark.read.format("video_frames").option("start_s", 40.0).option("interval_s", 3.0)
     assert sorted(r.frame_index for r in read.option("end_s", 46.0).load(str(tmp_path / "a.npy")).collect()) == [400, 430, 460]
     conf = pipeline.Conf("", "", predictor=whole_frame, sampling=pipeline.Sampling(end_s=46.0))
@@ -182,9 +165,10 @@ def test_box_forest_in_the_run(spark, tmp_path):
     frames = [spot(20 + i % 5, 30) for i in range(600)]
     with (tmp_path / "a.npy").open("wb") as f:
         np.save(f, np.stack(frames))
-    features = [(vision.roi_features(x).tolist(), 0.0, 0.0, 1.0, 1.0) for x in frames[:20]]
-    forest = roi_model.train(spark.createDataFrame(features, "features array<double>, l double, t double, r double, b double"), trees=2, depth=2)
-    conf = pipeline.Conf("", "", forest=forest)
+    (tmp_path / "boxes.csv").write_text("frame_index,l,t,r,b\n" + "".join(f"{i},0.0,0.0,1.0,1.0\n" for i in range(0, 60, 3)))
+    made = train.box(spark, str(tmp_path / "a.npy"), str(tmp_path / "boxes.csv"), str(tmp_path / "box.npz"), forest.Growth(trees=2, depth=2))
+    assert made["trees"] == 2
+    conf = pipeline.Conf("", "", forest=str(tmp_path / "box.npz"))
     rows = pipeline.extract(spark, str(tmp_path / "a.npy"), "d", conf, str(tmp_path / "crops")).collect()
     assert len(rows) == 7 and all(len(r.data) == 186 * 186 * 3 and not r.anomaly for r in rows)
 
@@ -200,12 +184,3 @@ def test_uncompressed_recording(tmp_path):
     assert (got[0] == 0).all() and (got[1] == 255).all() and got[2].shape == (3, 4, 3)
     assert got[2][0, 0, 2] > 250 and got[2][0, 0, 0] < 5 and got[2][0, 0, 1] < 5  # red
     assert [i for i, _ in opened.read(0, 3, 2)] == [0, 2]
-
-
-def test_fused_detector():
-    image = np.zeros((60, 60, 3), np.uint8)
-    yy, xx = np.mgrid[:60, :60]
-    image[np.abs(np.hypot(yy - 30, xx - 25) - 12) < 1.2] = (60, 220, 60)
-    template = image[30 - 15 : 30 + 16, 25 - 15 : 25 + 16]
-    assert vision.RingDetector()(image) is None  # 0.3 of coverage alone is below the least score
-    assert vision.RingDetector(ncc=vision.TemplateScorer([template] * 5))(image) == (25, 30)

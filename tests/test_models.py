@@ -1,13 +1,13 @@
-"""Model artifacts, progress and the box forest."""
+"""Model artifacts and progress."""
 
 from __future__ import annotations
 
 import pickle
-import random
+import time
 
 from pyspark.sql import functions as F
 
-from framegrid.operators import progress, roi_model
+from framegrid.operators import progress
 from framegrid.sources import models
 
 
@@ -30,10 +30,19 @@ def test_progress(spark):
     assert (rates["rows"], rates["found"], rates["empty"], rates["unreadable"]) == (10, 3, 7, 0) and rates["rows_a_second"] > 0
 
 
-def test_box_forest(spark):
-    rng = random.Random(0)
-    rows = [([x, y], x / 10, y / 10, x / 10 + 0.2, y / 10 + 0.2) for x, y in ((rng.random(), rng.random()) for _ in range(200))]
-    df = spark.createDataFrame(rows, "features array<double>, l double, t double, r double, b double")
-    fitted = roi_model.predict(df, roi_model.train(df, trees=5, depth=5))
-    error = fitted.withColumn("x", F.get("features", F.lit(0))).agg(F.avg(F.abs(F.col("l") - F.col("x") / 10))).first()[0]
-    assert error < 0.02
+def test_lines_while_the_job_runs(spark):
+    lines: list[tuple[float, str]] = []
+    with progress.Live(spark, every=20, say=lambda x: lines.append((time.time(), x)), wait=0.02) as live:
+        counter = live.counter
+
+        def slow(parts):
+            for part in parts:
+                for _ in range(len(part)):
+                    time.sleep(0.01)
+                    counter.add(1)
+                yield part
+
+        spark.range(0, 160, 1, 16).mapInPandas(slow, "id long").write.format("noop").mode("overwrite").save()
+        ended = time.time()
+    counts = [int(x.split()[0]) for _, x in lines]
+    assert counts == sorted(counts) and counts[-1] == 160 and len(counts) >= 3 and sum(at < ended for at, _ in lines) >= 2
