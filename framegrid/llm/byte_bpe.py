@@ -4,7 +4,7 @@ The vocabulary gives each byte string a rank, which is its id. A pattern splits
 pre-tokens of many texts at once as one array of bytes: a 64-bit hash of each finds its bucket, the bucket's displacement its
 slot, of which there are exactly as many as entries, and the bytes in the slot are compared. What the vocabulary does not
 hold goes to the second tier: the bytes are a linked list, a heap gives the adjacent pair of least rank, the leftmost of
-equals, until no pair is an entry. A word that a task has merged is kept until its table is full.
+equals, until no pair is an entry. A word that a task has merged is kept, also for its next tasks, until its table is full.
 
 Cases: a null text counts as empty and gives no ids; a text that is not valid UTF-8 has its bad bytes replaced by U+FFFD;
 long texts are split in parts between matches, so memory follows the longest match and not the text; repeated rows give the
@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Code points of texts that are taken together, and matches of a long text.
-GROUP_CHARS, GROUP_MATCHES = 1 << 19, 1 << 16
-#: Bytes of words that a task keeps with their ids.
-KEPT_BYTES = 1 << 23
+GROUP_CHARS, GROUP_MATCHES = 1 << 20, 1 << 18
+#: Bytes of words that a worker keeps with their ids.
+KEPT_BYTES = 1 << 27
 #: A vocabulary goes to every task, so its size has a bound.
 MOST_VOCABULARY_BYTES = 1 << 26
 #: Entries per bucket of the hash, and displacements that are tried at a time.
@@ -124,7 +124,13 @@ class Vocabulary:
     later: frozenset[int]  # letters and digits of later Unicode versions
 
     def encoder(self) -> Encoder:
-        return Encoder(self)
+        """One for each worker, which goes on using it, and the words it has kept, in its next tasks."""
+        if "_encoder" not in self.__dict__:
+            self.__dict__["_encoder"] = Encoder(self)
+        return self.__dict__["_encoder"]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_encoder"}
 
     def decoder(self) -> Decoder:
         return Decoder(self)
@@ -163,11 +169,11 @@ class Splitter:
     def __init__(self, pattern: str, later: Iterable[int]) -> None:
         self.pattern = regex.compile(pattern)
         self.plain = dict.fromkeys(later, PLAIN_SIGN)
-        self.signs = regex.compile("[" + "".join(map(regex.escape, map(chr, sorted(self.plain)))) + "]") if self.plain else None
+        self.later = frozenset(map(chr, later))
 
     def __call__(self, text: str) -> Iterator[list[str]]:
         plain = text
-        if self.signs and not text.isascii() and self.signs.search(text):
+        if not text.isascii() and not self.later.isdisjoint(set(text)):
             plain = text.translate(self.plain)
         if plain is text and len(text) <= GROUP_CHARS:
             yield self.pattern.findall(text)
@@ -177,26 +183,38 @@ class Splitter:
             yield block
 
 
-def merged(piece: bytes, rank: dict[bytes, int]) -> list[int]:
-    """The ids of a piece: always the pair of least rank is joined, the leftmost of equals."""
+def pairs_of_bytes(rank: dict[bytes, int]) -> list[int | None]:
+    """The ranks of all pairs of bytes, None where they are no entry."""
+    return [rank.get(bytes((a, b))) for a in range(256) for b in range(256)]
+
+
+def merged(piece: bytes, rank: dict[bytes, int], pairs: list[int | None]) -> list[int]:
+    """The ids of a piece: always the pair of least rank is joined, the leftmost of equals.
+
+    The heap holds a pair's rank, begin and end as one number.
+    """
     n = len(piece)
-    end = list(range(1, n + 1))  # the end of the part that begins here; the part after it begins there
+    bits = n.bit_length()
+    ones = (1 << bits) - 1
+    end = list(range(1, n + 1))  # the end of the part that begins here, where the part after it begins; 0 for a part that was joined
     before = list(range(-1, n - 1))
-    alive = bytearray(b"\1" * n)
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank.get(piece[i : i + 2])) is not None]
+    get = rank.get
+    heap = [(r << bits | i) << bits | i + 2 for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False)) if (r := pairs[a << 8 | b]) is not None]
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, j = heapq.heappop(heap)
-        if not alive[i] or (k := end[i]) >= n or end[k] != j:
+        key = pop(heap)
+        i, j = key >> bits & ones, key & ones
+        k = end[i]
+        if not k or k >= n or end[k] != j:
             continue  # one of the two parts has been joined since
-        alive[k] = 0
-        end[i] = j
+        end[k], end[i] = 0, j
         if j < n:
             before[j] = i
-            if (r := rank.get(piece[i : end[j]])) is not None:
-                heapq.heappush(heap, (r, i, end[j]))
-        if (h := before[i]) >= 0 and (r := rank.get(piece[h:j])) is not None:
-            heapq.heappush(heap, (r, h, j))
+            if (r := get(piece[i : end[j]])) is not None:
+                push(heap, (r << bits | i) << bits | end[j])
+        if (h := before[i]) >= 0 and (r := get(piece[h:j])) is not None:
+            push(heap, (r << bits | h) << bits | j)
     out, i = [], 0
     while i < n:
         out.append(rank[piece[i : end[i]]])
@@ -209,6 +227,7 @@ class Encoder:
         self.model = model
         self.split = Splitter(model.pattern, model.later)
         self.rank = {e: int(i) for e, i in zip(model.entries, model.ids, strict=True)}
+        self.pairs = pairs_of_bytes(self.rank)
         self.kept: dict[str, list[int]] = {}
         self.kept_bytes = 0
 
@@ -216,24 +235,26 @@ class Encoder:
         if self.kept_bytes > KEPT_BYTES:
             self.kept, self.kept_bytes = {}, 0
         for w in set(words).difference(self.kept):
-            self.kept[w] = ids = merged(w.encode(), self.rank)
-            self.kept_bytes += 160 + len(w) + 32 * len(ids)
+            self.kept[w] = ids = merged(w.encode(), self.rank, self.pairs)
+            self.kept_bytes += 240 + len(w) + 8 * len(ids)
         return [self.kept[w] for w in words]
 
     def pieces(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of pre-tokens one after the other, and how many each has."""
-        held = pa.array(tokens, pa.large_string())
-        ends = np.frombuffer(held.buffers()[1], np.int64)[: len(tokens) + 1]
-        lengths = np.diff(ends)
-        found = self.model.hash.find(np.frombuffer(held.buffers()[2], np.uint8)[: ends[-1]], ends[:-1], lengths)
-        missed = np.flatnonzero(found < 0)
-        n = np.ones(len(tokens), np.int64)
-        ids = self._words([tokens[i] for i in missed])
+        """The ids of pre-tokens one after the other, and how many each has; equal pre-tokens are looked up once."""
+        held = pa.array(tokens, pa.large_string()).dictionary_encode()
+        words, place = held.dictionary, held.indices.to_numpy(zero_copy_only=False)
+        ends = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
+        found = self.model.hash.find(np.frombuffer(words.buffers()[2], np.uint8)[: ends[-1]], ends[:-1], np.diff(ends))
+        hit, missed = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
+        ids = self._words(words.take(pa.array(missed)).to_pylist())
+        n = np.ones(len(words), np.int64)
         n[missed] = [len(x) for x in ids]
-        out = np.empty(int(n.sum()), np.uint32)
-        out[np.repeat(found >= 0, n)] = self.model.ids[found[found >= 0]]
-        out[np.repeat(found < 0, n)] = np.fromiter(chain.from_iterable(ids), np.uint32)
-        return out, n
+        first = np.cumsum(n) - n
+        flat = np.empty(int(n.sum()), np.uint32)
+        flat[first[hit]] = self.model.ids[found[hit]]
+        flat[np.repeat(found < 0, n)] = np.fromiter(chain.from_iterable(ids), np.uint32)
+        every = n[place]
+        return flat[np.repeat(first[place], every) + _within(np.cumsum(every) - every, every)], every
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts one after the other, and how many each has."""

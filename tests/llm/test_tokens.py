@@ -136,7 +136,7 @@ def test_merges_by_heap():
             a, b = rng.sample(sorted(k for k in rank if set(k) <= set(b"abc")), 2)
             rank.setdefault(a + b, len(rank))
         piece = bytes(rng.choices(b"abc", k=rng.randrange(1, 60)))
-        assert byte_bpe.merged(piece, rank) == plain_merge(piece, rank)
+        assert byte_bpe.merged(piece, rank, byte_bpe.pairs_of_bytes(rank)) == plain_merge(piece, rank)
 
 
 def random_texts() -> list[str]:
