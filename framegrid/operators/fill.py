@@ -31,6 +31,14 @@ def time_axis(spark: SparkSession, table: Table = Table()) -> DataFrame:
     return cells.select("col_idx", "row_idx", header.alias("header"), start.alias("start_s"), (start + table.cell_s).alias("end_s"))
 
 
+def cell_bounds(placed: DataFrame, table: Table = Table()) -> DataFrame:
+    """The cells that events fall in: header, first second, second after the last, and how many events."""
+    start = table.start_s + table.column_s * F.col("col_idx") + table.cell_s * F.col("row_idx")
+    header = E.mmss(table.start_s + table.column_s * F.col("col_idx"))
+    counted = placed.groupBy("col_idx", "row_idx").agg(F.count("*").alias("events"))
+    return counted.select("col_idx", "row_idx", header.alias("header"), start.alias("start_s"), (start + table.cell_s).alias("end_s"), "events")
+
+
 def filled_grid(cells: DataFrame, documents: DataFrame, template: Column, table: Table = Table()) -> DataFrame:
     """Every cell of every document's table: its fill, else what the template holds."""
     blank = documents.select("document", F.inline(axis_columns(table)))

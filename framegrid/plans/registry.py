@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from framegrid.functions import exprs as E
 from framegrid.operators import archive, detect, fill, locate, sampling
+from framegrid.sources import sinks
 from framegrid.sources import tables as T
-from framegrid.streaming import windows
+from framegrid.streaming import cells, windows
 
 #: How many pending frames the limited resume query takes.
 RESUME_LIMIT = 100
@@ -69,8 +70,15 @@ def cell_strings(spark: SparkSession, d: str) -> DataFrame:
     return fill.cell_strings(locate.placed(_events(spark, d)))
 
 
+def streamed_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The cells again, from a stream over the events whose watermark closes them."""
+    closed = cells.cells(T.samples(spark, d, stream=True), T.symbols(spark, d), late="0 seconds")
+    home = sinks.scratch(spark, "cells")
+    return cells.run(closed, f"{home}/closed", f"{home}/state")
+
+
 def time_axis(spark: SparkSession, d: str) -> DataFrame:
-    return fill.time_axis(spark)
+    return fill.cell_bounds(locate.placed(_events(spark, d)))
 
 
 def filled_grid(spark: SparkSession, d: str) -> DataFrame:
@@ -176,7 +184,7 @@ def fused_argmax(spark: SparkSession, d: str) -> DataFrame:
 
 _NAMES = [
     pixel_to_grid, time_cell, format_time, parse_time, frame_name, load_positions, symbol_map, symbol_lookup, event_labels,
-    placed_events, cell_strings, time_axis, filled_grid, pivot_table, em_archive, un_archive, archive_semi, done_set, resume_todo,
+    placed_events, cell_strings, streamed_cells, time_axis, filled_grid, pivot_table, em_archive, un_archive, archive_semi, done_set, resume_todo,
     resume_limit, append_results, detect_status, frame_sampling, roi_box, size_anomaly, extraction_log, stage1_summary,
     stage2_summary, stage3_summary, frame_listing, exactly_one_source, tumbling_15s, jump_score, fused_argmax,
 ]
@@ -247,8 +255,9 @@ def oracle_sql() -> dict[str, str]:
         "event_labels": f"""with {_EV} select document, ord, time_s, "row", col, status, px, py, symbol, event from ev""",
         "placed_events": f"with {_EV} select document, ord, col_idx, row_idx, event from placed",
         "cell_strings": f"with {_EV} select * from cell",
-        "time_axis": """select cast(i // 6 as int) as col_idx, cast(i % 6 as int) as row_idx, printf('%02d:%02d', (40 + 90 * (i // 6)) // 60, (40 + 90 * (i // 6)) % 60) as header,
-            cast(40 + 90 * (i // 6) + 15 * (i % 6) as int) as start_s, cast(55 + 90 * (i // 6) + 15 * (i % 6) as int) as end_s from range(102) r(i)""",
+        "streamed_cells": f"with {_EV} select * from cell",
+        "time_axis": f"""with {_EV} select col_idx, row_idx, printf('%02d:%02d', (40 + 90 * col_idx) // 60, (40 + 90 * col_idx) % 60) as header,
+            40 + 90 * col_idx + 15 * row_idx as start_s, 55 + 90 * col_idx + 15 * row_idx as end_s, count(*) as events from placed group by all""",
         "filled_grid": f"""with {_EV}, axis as (select cast(i // 6 as int) as col_idx, cast(i % 6 as int) as row_idx from range(102) r(i))
             select d.document, a.col_idx, a.row_idx, coalesce(cell, case when a.row_idx = 0 then '-' end) as cell
             from (select distinct document from obs) d cross join axis a left join cell c on c.document = d.document and c.col_idx = a.col_idx and c.row_idx = a.row_idx""",

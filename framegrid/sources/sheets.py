@@ -1,30 +1,42 @@
-"""The table template as an .xlsx file: reading its axes and filling a copy, with the standard library."""
+"""The table template as an .xlsx file: reading its axes and filling a copy, on the file system that the path names."""
 
 from __future__ import annotations
 
+import io
 import re
 import zipfile
 from collections.abc import Iterable
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
+from framegrid.sources.sinks import filesystem, write_file
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _LINK = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 #: The sheet that holds the table.
 SHEET = "Sheet1"
 
 
+def _opened(path: str) -> zipfile.ZipFile:
+    """A sheet is one document's table, so it is held in memory."""
+    at, inside = filesystem(path)
+    with at.open_input_stream(inside) as f:
+        return zipfile.ZipFile(io.BytesIO(f.read()))
+
+
 def _column(i: int) -> str:
     return (chr(64 + (i - 1) // 26) if i > 26 else "") + chr(65 + (i - 1) % 26)
 
 
 def _sheet_path(z: zipfile.ZipFile, name: str) -> str:
-    """The part that holds the named sheet, or the first sheet where none has that name."""
+    """The part that holds the named sheet."""
     book = ElementTree.fromstring(z.read("xl/workbook.xml"))
     links = ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))
     targets = {x.attrib["Id"]: x.attrib["Target"] for x in links}
     sheets = book.findall("m:sheets/m:sheet", _NS)
-    chosen = next((x for x in sheets if x.attrib["name"] == name), sheets[0])
+    chosen = next((x for x in sheets if x.attrib["name"] == name), None)
+    if chosen is None:
+        raise KeyError(f"no sheet {name!r}, only {', '.join(repr(x.attrib['name']) for x in sheets)}")
     target = targets[chosen.attrib[f"{{{_LINK}}}id"]]
     return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
@@ -38,7 +50,7 @@ def _place(reference: str) -> tuple[int, int]:
 
 
 def _cells(path: str, name: str = SHEET) -> dict[tuple[int, int], str]:
-    with zipfile.ZipFile(path) as z:
+    with _opened(path) as z:
         strings = []
         if "xl/sharedStrings.xml" in z.namelist():
             strings = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))]
@@ -72,7 +84,8 @@ def _fill_copy(template: str, path: str, wanted: dict[tuple[int, int], str]) ->
     main = _NS["m"]
     ElementTree.register_namespace("", main)
     ElementTree.register_namespace("r", _LINK)
-    with zipfile.ZipFile(template) as z, zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+    held = io.BytesIO()
+    with _opened(template) as z, zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
         at = _sheet_path(z, SHEET)
         style, styles = _text_style(z)
         root = ElementTree.fromstring(z.read(at))
@@ -81,8 +94,8 @@ def _fill_copy(template: str, path: str, wanted: dict[tuple[int, int], str]) ->
         for (r, c), text in sorted(wanted.items()):
             if r not in rows:
                 rows[r] = ElementTree.SubElement(data, f"{{{main}}}row", {"r": str(r)})
-            held = {_place(x.attrib["r"])[1]: x for x in rows[r]}
-            cell = held.get(c)
+            there = {_place(x.attrib["r"])[1]: x for x in rows[r]}
+            cell = there.get(c)
             if cell is None:
                 cell = ElementTree.SubElement(rows[r], f"{{{main}}}c", {"r": f"{_column(c)}{r}"})
             for x in list(cell):
@@ -99,6 +112,7 @@ def _fill_copy(template: str, path: str, wanted: dict[tuple[int, int], str]) ->
                 out.writestr(name, styles)
             else:
                 out.writestr(name, z.read(name))
+    write_file(path, held.getvalue())
 
 
 def _text_style(z: zipfile.ZipFile) -> tuple[int | None, bytes | None]:
@@ -131,6 +145,8 @@ def _new(path: str, held: dict[tuple[int, int], str]) -> None:
         "xl/styles.xml": f'<styleSheet xmlns="{main}"><fonts count="1"><font/></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf numFmtId="49" applyNumberFormat="1"/></cellXfs></styleSheet>',
         "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>',
     }
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for name, text in parts.items():
             z.writestr(name, f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>{text}')
+    write_file(path, out.getvalue())

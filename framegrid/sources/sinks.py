@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 BOM = "﻿"
 
@@ -31,6 +32,14 @@ def csv(df: DataFrame, path: str, header: list[str] | None = None) -> None:
     named.coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder of the session's shared one; in local mode, where the session names none, one of the machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{named or tempfile.mkdtemp(prefix='framegrid-')}/framegrid-core/{name}-{uuid.uuid4().hex}"
+
+
 def filesystem(path: str):
     """The file system of a path or address, and the path in it; for tasks, so it must be one that all executors share."""
     from pyarrow import fs

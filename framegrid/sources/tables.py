@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # a pattern, as a stream takes a file or a folder of files only by one
+    return spark.readStream.schema(table.schema).parquet(f"{sf_dir}/{{{name}}}.parquet") if stream else table
 
 
-def samples(spark: SparkSession, d: str) -> DataFrame:
+def samples(spark: SparkSession, d: str, stream: bool = False) -> DataFrame:
     """Positions: a user is a document, event_id the line order, the time of day folded into 1,600 s."""
     seconds = F.expr("(unix_micros(cast(ts as timestamp)) div 100000) % 16000") / F.lit(10.0)
     pair = F.expr("event_id div 2")
     status = F.when(F.col("event_type") == "error", "empty").when(F.col("event_type") == "signup", "unreadable").otherwise("found")
-    return read(spark, d, "events").select(
+    return read(spark, d, "events", stream).select(
         F.col("user_id").alias("document"), F.col("event_id").alias("ord"), seconds.alias("time_s"), status.alias("status"),
         F.expr("cast((event_id * 37) % 186 as int)").alias("px"), F.expr("cast((user_id * 53 + event_id * 11) % 186 as int)").alias("py"),
         F.concat(F.format_string("frame_%04d_", pair), (pair % 1600).cast("string"), F.lit(".0s.jpg")).alias("file"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import random
 import re
 import zipfile
 
@@ -9,10 +11,10 @@ import numpy as np
 import pytest
 
 from framegrid.functions import vision
-from framegrid.operators import forest, locate
+from framegrid.operators import fill, forest, locate
 from framegrid.plans import pipeline, stage2, train
 from framegrid.sources import files, sheets, sinks, video
-from framegrid.streaming import windows
+from framegrid.streaming import cells, windows
 
 
 def spot(x: int, y: int, size: int = 64) -> np.ndarray:
@@ -52,7 +54,9 @@ def test_one_video(spark, tmp_path):
 def test_sheet(tmp_path):
     base, out = str(tmp_path / "base.xlsx"), str(tmp_path / "out.xlsx")
     sheets.fill(None, base, [(0, 1, "old")], (["00:40", "02:10"], ["1", "2", "3"]))
-    assert sheets.axes(base) == (2, 3)
+    assert sheets.axes(base) == sheets.axes(f"file://{base}") == (2, 3)
+    with pytest.raises(KeyError, match="Sheet1"):  # what there is instead
+        sheets._cells(base, "Sheet2")
     sheets.fill(base, out, [(1, 2, "a_b<&")])
     cells = sheets._cells(out)
     assert cells[4, 3] == "a_b<&" and cells[3, 2] == "old" and cells[1, 2] == "00:40"
@@ -88,6 +92,30 @@ def test_stream_of_windows(spark, tmp_path):
     assert sorted(map(tuple, spark.table("tumbled").collect())) == sorted(map(tuple, windows.tumbling(rows).collect()))
 
 
+def test_streamed_cells(spark, tmp_path):
+    """Batches in any order of time, late rows among them: the cells are the batch's own; what is later than allowed is left out."""
+    rng = random.Random(3)
+    fields = "document long, ord long, file string, time_s double, status string, px int, py int"
+    rows = [(i % 3, i, f"f{i}", round(30 + i * 1.7 + rng.random() * 5, 1), "found" if i % 4 else "empty", (i * 37) % 186, (i * 53) % 186) for i in range(600)]
+    symbols = spark.createDataFrame([(r, c, f"s{r}{c}" if (r + c) % 3 else "", 20 * r + c) for r in range(20) for c in range(20)], "row int, col int, symbol string, ord long")
+    after = (9, 10_000, "end", 5000.0, "empty", None, None)  # outside of the table: it only moves the watermark
+    (tmp_path / "in").mkdir()
+    got = None
+    for k in range(0, 600, 100):
+        part = rows[k : k + 100]
+        rng.shuffle(part)
+        spark.createDataFrame(part, fields).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = cells.cells(spark.readStream.schema(fields).parquet(str(tmp_path / "in")), symbols, late="1 minute")
+        before, got = got, cells.run(stream, str(tmp_path / "out"), str(tmp_path / "state")).count()
+        assert before is None or got > before  # cells are given as they close
+    late = (0, 700, "late", 45.0, "found", 5, 5)
+    spark.createDataFrame([late, after], fields).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    result = cells.run(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+    samples = spark.createDataFrame(rows, fields)
+    want = fill.cell_strings(locate.placed(locate.events(samples, symbols)))
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_frame_plan():
     assert video.plan(60.4, 50000, pipeline.Sampling())[2] == 181
     assert video.plan(0, 3000, pipeline.Sampling()) == (1200, 3000, 90)
@@ -96,6 +124,21 @@ def test_frame_plan():
 def test_image_primitives():
     image = np.arange(10 * 12 * 3, dtype=np.uint8).reshape(10, 12, 3)
     assert (vision.crop_resize(image, (0, 0, 9, 9), 10) == image[:, :10]).all()
+    for size in (5, 7, 20, 24):  # other sizes against worked weights, one place at a time
+        got = vision.crop_resize(image, (1, 2, 9, 8), size)
+        part = image[2:9, 1:10].astype(float)
+
+        def weight(d):
+            d = abs(d)
+            return 1.25 * d**3 - 2.25 * d**2 + 1 if d <= 1 else -0.75 * d**3 + 3.75 * d**2 - 6 * d + 3 if d < 2 else 0.0
+
+        for y, x in ((0, 0), (size // 2, size // 3), (size - 1, size - 1)):
+            v, u = (y + 0.5) * 7 / size - 0.5, (x + 0.5) * 9 / size - 0.5
+            a, b = math.floor(v), math.floor(u)
+            sums = sum(
+                weight(v - i) * weight(u - j) * part[min(max(i, 0), 6), min(max(j, 0), 8)] for i in range(a - 1, a + 3) for j in range(b - 1, b + 3)
+            )
+            assert (np.abs(np.clip(sums, 0, 255) - got[y, x]) <= 0.5 + 1e-9).all()
     ring = np.zeros((60, 60), bool)
     yy, xx = np.mgrid[:60, :60]
     ring[np.abs(np.hypot(yy - 30, xx - 25) - 12) < 1] = True
