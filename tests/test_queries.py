@@ -64,3 +64,13 @@ def test_resume_limit_is_ordered(spark):
 def test_positions_are_ordered(spark):
     rows = [(r.document, r.time_s, r.ord) for r in registry.queries()["load_positions"](spark, DATA).collect()]
     assert rows == sorted(rows)
+
+
+def test_core_queries_without_a_package(tmp_path):
+    """Where a package of the training-data part cannot be imported, the other queries are all there."""
+    (tmp_path / "zstandard.py").write_text("raise ImportError('no such package')")
+    root = Path(registry.__file__).resolve().parents[2]
+    code = "import __spark_entry__ as e; print(len(e.queries()), sorted(set(e.oracle_sql()) - set(e.queries())), 'pipeline' in e.queries())"
+    paths = os.pathsep.join([str(tmp_path), str(root)])
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env={**os.environ, "PYTHONPATH": paths}, cwd=root, check=True).stdout
+    assert out.split() == [str(len(registry.queries())), "[]", "False"]
