@@ -147,14 +147,14 @@ def later_code_points() -> frozenset[int]:
     return frozenset(new) - set(map(ord, known))
 
 
-def vocabulary(ranks: dict[bytes, int], pattern: str) -> Vocabulary:
+def vocabulary(ranks: dict[bytes, int], pattern: str, later: frozenset[int] | None = None) -> Vocabulary:
     """All single bytes must be entries, so that every text can be encoded."""
     if not all(bytes([i]) in ranks for i in range(256)):
         raise ValueError("a vocabulary holds all single bytes")
     if sum(map(len, ranks)) + 64 * len(ranks) > MOST_VOCABULARY_BYTES:
         raise ValueError(f"the vocabulary is over {MOST_VOCABULARY_BYTES} bytes")
     entries = sorted(ranks, key=ranks.__getitem__)
-    return Vocabulary(entries, np.array([ranks[e] for e in entries], np.uint32), PerfectHash(entries), pattern, later_code_points())
+    return Vocabulary(entries, np.array([ranks[e] for e in entries], np.uint32), PerfectHash(entries), pattern, later_code_points() if later is None else later)
 
 
 def read_vocabulary(path: str, pattern: str) -> Vocabulary:

@@ -21,7 +21,6 @@ import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from framegrid.llm.byte_bpe import GROUP_CHARS, Splitter, later_code_points, strings
+from framegrid.llm.byte_bpe import GROUP_CHARS, later_code_points, strings, vocabulary
 from framegrid.llm.common import saved
 
 #: Different pairs in a block, and bytes of its documents' numbers; a block is put together again in one task.
 BLOCK_PAIRS, BLOCK_BYTES = 1 << 19, 1 << 25
+#: Products of long groups that are made at a time.
+MADE_PRODUCTS = 1 << 20
 #: A tokenizer file goes to every task, so its size has a bound.
 MOST_MODEL_BYTES = 1 << 26
-#: Words that a task keeps with their ids, and code points of the longest.
-KEPT_WORDS, KEPT_CHARS = 1 << 17, 64
+#: Code points of the longest text that the faster library is given.
+LIBRARY_CHARS = 1 << 19
 
 
 def _model(path: str) -> bytes:
@@ -57,16 +58,30 @@ def _byte_of_sign() -> dict[str, int]:
 
 @dataclass
 class ByteLevel:
-    """A byte-level BPE file of the ``tokenizers`` library; ids of the text after a space, special tokens' strings as plain text."""
+    """A byte-level BPE file of the ``tokenizers`` library; ids of the text after a space, special tokens' strings as plain text.
 
-    content: bytes
+    The file's merges stand in the order of the ids that they make, which is checked; so an entry's id is its rank, and the ``tiktoken``
+    library gives the same ids faster. That library's pattern matcher gives up on runs of a million spaces, so texts over
+    ``LIBRARY_CHARS`` are encoded by ``byte_bpe``. Every byte is an entry, so the tokens' bytes are always the text's.
+    """
+
+    ranks: dict[bytes, int]
     pattern: str
     later: frozenset[int]
 
     @classmethod
     def read(cls, path: str, pattern: str) -> ByteLevel:
-        """``pattern`` is the one by which the file's own pre-tokenizer splits: words between matches are encoded once and kept."""
-        return cls(_model(path), pattern, later_code_points())
+        """``pattern`` is the one by which the file's own pre-tokenizer splits."""
+        held = json.loads(_model(path))
+        signs = _byte_of_sign()
+        special = {x["content"] for x in held["added_tokens"]}
+        ids = held["model"]["vocab"]
+        merges = [x.split(" ") if isinstance(x, str) else x for x in held["model"]["merges"]]
+        made = [ids[left + right] for left, right in merges]
+        singles = [i for entry, i in ids.items() if len(entry) == 1]
+        if any(x >= y for x, y in zip(made, made[1:], strict=False)) or (made and max(singles) > made[0]) or held["normalizer"] is not None:
+            raise ValueError(f"{path}: ids are not ranks")
+        return cls({bytes(signs[c] for c in entry): i for entry, i in ids.items() if entry not in special}, pattern, later_code_points())
 
     def open(self) -> _ByteLevel:
         return _ByteLevel(self)
@@ -74,30 +89,19 @@ class ByteLevel:
 
 class _ByteLevel:
     def __init__(self, model: ByteLevel) -> None:
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_str(model.content.decode())
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.split = Splitter(model.pattern, model.later)
-        signs = _byte_of_sign()
-        entries = json.loads(model.content)["model"]["vocab"]
-        self.bytes = {i: bytes(signs[c] for c in entry) for entry, i in entries.items()}
-        self.kept: dict[str, list[int]] = {}
+        self.library = tiktoken.Encoding("own", pat_str=model.pattern, mergeable_ranks=model.ranks, special_tokens={})
+        self.bytes = {i: entry for entry, i in model.ranks.items()}
+        self.model, self.own = model, None
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.kept) > KEPT_WORDS:
-            self.kept = {}
-        words = [list(chain.from_iterable(self.split(" " + t))) for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.kept))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.kept[w] = e.ids
-        out = [np.fromiter(chain.from_iterable(map(self.kept.__getitem__, row)), np.int64) for row in words]
-        for w in new:
-            if len(w) > KEPT_CHARS:
-                del self.kept[w]
-        return out
+        return [self.library.encode_to_numpy(" " + t, disallowed_special=()).astype(np.int64) if len(t) <= LIBRARY_CHARS else self._long(t) for t in texts]
+
+    def _long(self, text: str) -> np.ndarray:
+        if self.own is None:
+            self.own = vocabulary(self.model.ranks, self.model.pattern, self.model.later).encoder()
+        return self.own.encode([" " + text])[0].astype(np.int64)
 
 
 @dataclass
@@ -123,68 +127,91 @@ class _Pieces:
         one = lambda i: bytes([int(self.model.id_to_piece(i)[3:-1], 16)]) if self.model.is_byte(i) else self.model.id_to_piece(i).replace("▁", " ").encode()
         self.bytes = {i: one(i) for i in pieces}
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
+    def __call__(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where their bytes are not those of the text after a space."""
+        found = self.model.encode(texts, num_threads=1)
+        return [np.array(x, np.int64) if b"".join(map(self.bytes.__getitem__, x)) == b" " + t.encode() else None for x, t in zip(found, texts, strict=True)]
 
 
 class Side:
-    """An opened tokenizer with its tokens' bytes and lengths by id."""
+    """An opened tokenizer with its tokens' lengths and names by id; a name is followed by a comma, or by ``close`` at its group's end."""
 
-    def __init__(self, model: ByteLevel | Pieces) -> None:
+    def __init__(self, model: ByteLevel | Pieces, close: str) -> None:
         self.encode = model.open()
         most = max(self.encode.bytes) + 1
-        self.bytes = [self.encode.bytes.get(i, b"") for i in range(most)]
-        self.lengths = np.array([len(b) for b in self.bytes])
-        self.names = [str(i) for i in range(most)]
-
-    def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        self.lengths = np.array([len(self.encode.bytes.get(i, b"")) for i in range(most)])
+        self.names = [f"{i}," for i in range(most)] + [f"{i}{close}" for i in range(most)]
 
 
 @dataclass
 class Alignment:
-    """Overlaps as pairs of token places, and for each token of both sides the number of its group."""
+    """Overlaps as pairs of token places; for each token of both sides the number of its group, and how many tokens stand up to each group's end."""
 
     overlap_a: np.ndarray
     overlap_b: np.ndarray
     group_a: np.ndarray
     group_b: np.ndarray
-    groups: int
+    upto_a: np.ndarray
+    upto_b: np.ndarray
+
+    @property
+    def groups(self) -> int:
+        return len(self.upto_a)
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
-    """Ends are increasing byte offsets, both with the same last one; tokens without bytes end where the one before does."""
-    ends = np.union1d(ends_a, ends_b)
+    """Ends are strictly increasing byte offsets, both with the same last one."""
+    there = np.zeros(int(ends_a[-1]) + 1, bool)  # the union of two arrays of places below a known one, in order
+    there[ends_a] = there[ends_b] = True
+    ends = np.flatnonzero(there)
     a, b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    shared = ends[(ends_a[a] == ends) & (ends_b[b] == ends)]
-    return Alignment(a, b, np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b), len(shared))
+    closes_a, closes_b = ends_a[a] == ends, ends_b[b] == ends
+    shared = closes_a & closes_b
+    group = np.cumsum(shared) - shared
+    return Alignment(a, b, group[closes_a], group[closes_b], 1 + np.flatnonzero(shared[closes_a]), 1 + np.flatnonzero(shared[closes_b]))
 
 
-def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of equal numbers begin, and how long they are."""
-    begin = np.flatnonzero(np.diff(sorted_keys, prepend=-1))
-    return begin, np.diff(begin, append=len(sorted_keys))
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    begin = np.flatnonzero(new)
+    n = np.empty(len(begin), np.int64)
+    np.subtract(begin[1:], begin[:-1], out=n[:-1])
+    n[-1:] = len(keys) - begin[-1:]
+    return begin, n
+
+
+def _products(first: np.ndarray, many: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row of one side with all rows of the other in its group, of which ``first`` and ``many`` say where they are."""
+    width = many[group]
+    left = np.repeat(np.arange(len(group)), width)
+    return left, np.repeat(first[group] - (np.cumsum(width) - width), width) + np.arange(len(left))
 
 
 def linked(ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment) -> tuple[np.ndarray, np.ndarray]:
     """Different pairs of linked ids as a * 2**32 + b, in order, and how many occurrences of tokens each links."""
+    before_b = np.concatenate([[0], found.upto_b[:-1]])
+    many_a, many_b = np.diff(found.upto_a, prepend=0), found.upto_b - before_b
+    if int((many_a * many_b).sum()) <= 4 * (len(ids_a) + len(ids_b)):
+        left, right = _products(before_b, many_b, found.group_a)
+        keys = np.sort(ids_a[left] << 32 | ids_b[right])
+        begin, n = _runs(keys)
+        return keys[begin], n
+    # long groups: the different ids of each, with their occurrences
     sides = []
     for ids, group in ((ids_a, found.group_a), (ids_b, found.group_b)):
         key = np.sort(group << 32 | ids)
         begin, n = _runs(key)
         sides.append((key[begin] >> 32, key[begin] & 0xFFFFFFFF, n))
     (group_a, id_a, n_a), (group_b, id_b, n_b) = sides
-    first = np.searchsorted(group_b, np.arange(found.groups))
-    many = np.bincount(group_b, minlength=found.groups)
+    first, many = np.searchsorted(group_b, np.arange(found.groups)), np.bincount(group_b, minlength=found.groups)
     out_keys, out_n = np.empty(0, np.int64), np.empty(0, np.int64)
-    width = many[group_a]  # the different ids that each of the first side's meets
-    cut = np.searchsorted(np.cumsum(width), np.arange(1 << 20, int(width.sum()), 1 << 20))  # products are made about a million at a time
+    width = np.cumsum(many[group_a])
+    cut = np.searchsorted(width, np.arange(MADE_PRODUCTS, int(width[-1]), MADE_PRODUCTS))
     for part in np.split(np.arange(len(group_a)), np.unique(cut)):
-        if not len(part):
-            continue
-        w = width[part]
-        left = np.repeat(part, w)
-        right = np.repeat(first[group_a[part]] - (np.cumsum(w) - w), w) + np.arange(int(w.sum()))
+        left, right = _products(first, many, group_a[part])
+        left = part[left]
         keys, n = np.concatenate([out_keys, id_a[left] << 32 | id_b[right]]), np.concatenate([out_n, n_a[left] * n_b[right]])
         order = np.argsort(keys, kind="stable")
         begin, _ = _runs(keys[order])
@@ -192,16 +219,15 @@ def linked(ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment) -> tuple[np.n
     return out_keys, out_n
 
 
-def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment, a: Side, b: Side) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
-    names_a, names_b = [a.names[i] for i in ids_a.tolist()], [b.names[i] for i in ids_b.tolist()]
-    ends_a = np.searchsorted(found.group_a, np.arange(found.groups), side="right").tolist()
-    ends_b = np.searchsorted(found.group_b, np.arange(found.groups), side="right").tolist()
-    out, i, j = [], 0, 0
-    for x, y in zip(ends_a, ends_b, strict=True):
-        out.append(f"{names_a[i]}|{names_b[j]}" if x - i == 1 == y - j else f"{','.join(names_a[i:x])}|{','.join(names_b[j:y])}")
-        i, j = x, y
-    return ";".join(out)
+def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment, names: list[str], n_a: int) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order. ``names`` are those of both sides, ``n_a`` of the first."""
+    name = np.empty(len(ids_a) + len(ids_b), np.int64)
+    last_a, last_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
+    last_a[found.upto_a - 1] = last_b[found.upto_b - 1] = True
+    # before a token stand the own side's tokens and the other's: of earlier groups, for the second side also of its own group
+    name[np.arange(len(ids_a)) + np.concatenate([[0], found.upto_b])[found.group_a]] = ids_a + last_a * (n_a // 2)
+    name[np.arange(len(ids_b)) + found.upto_a[found.group_b]] = ids_b + last_b * ((len(names) - n_a) // 2) + n_a
+    return "".join(map(names.__getitem__, name.tolist()))[:-1]
 
 
 #: Rows of documents have n_a and what follows, rows of pairs have a and what follows.
@@ -256,7 +282,8 @@ def _gather(model_a, model_b, id_type: pa.DataType):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a, b = Side(model_a.value), Side(model_b.value)
+        a, b = Side(model_a.value, "|"), Side(model_b.value, ";")
+        names = a.names + b.names
         task, made, rows = TaskContext.get().partitionId(), 0, 0
         block = _Block()
         for batch in it:
@@ -267,13 +294,12 @@ def _gather(model_a, model_b, id_type: pa.DataType):
                 out = {f.name: [] for f in schema if f.name not in ("doc_id", "a", "b", "number", "docs", "numbers", "occurrences")}
                 per_doc, occurrences = [], []
                 for text, x, y in zip(part, a.encode(part), b.encode(part), strict=True):
-                    plain = b" " + text.encode() if text else b""
-                    if not text or a.joined(x) != plain or b.joined(y) != plain:
+                    if not text or y is None:
                         row, keys, n = (0, 0, 0, 0, ""), np.empty(0, np.int64), np.empty(0, np.int64)
                     else:
                         found = align(np.cumsum(a.lengths[x]), np.cumsum(b.lengths[y]))
                         keys, n = linked(x, y, found)
-                        row = (len(x), len(y), found.groups, int(n.sum()), hashlib.sha256(groups_text(x, y, found, a, b).encode()).hexdigest())
+                        row = (len(x), len(y), found.groups, int(n.sum()), hashlib.sha256(groups_text(x, y, found, names, len(a.names)).encode()).hexdigest())
                     for values, v in zip(out.values(), (name, rows, *row), strict=True):
                         values.append(v)
                     per_doc.append(keys)

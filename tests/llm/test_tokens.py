@@ -281,6 +281,25 @@ def test_intervals():
         assert dict(zip(keys.tolist(), times.tolist(), strict=True)) == plain and (np.diff(keys) > 0).all()
 
 
+def test_long_groups_and_long_texts(monkeypatch):
+    """Groups in which ends never meet: the products of different ids, some at a time, are those of all tokens."""
+    rng = np.random.default_rng(0)
+    a, b = np.append(np.arange(2, 3000, 2), 3001), np.append(np.arange(1, 3000, 2), 3001)
+    ids = [rng.integers(0, 40, len(x)) for x in (a, b)]
+    found = token_alignment.align(a, b)
+    assert found.groups == 1
+    want = Counter((int(p) << 32) | int(q) for p in ids[0] for q in ids[1])
+    for made in (1 << 20, 100):
+        monkeypatch.setattr(token_alignment, "MADE_PRODUCTS", made)
+        keys, times = token_alignment.linked(*ids, found)
+        assert dict(zip(keys.tolist(), times.tolist(), strict=True)) == want
+    model = token_alignment.ByteLevel.read(f"{queries.TOKENIZERS}/byte_bpe_50k.json", queries.PATTERN)
+    texts = ODD + random_texts()[:50]
+    plain = [x.tolist() for x in model.open()(texts)]
+    monkeypatch.setattr(token_alignment, "LIBRARY_CHARS", -1)
+    assert [x.tolist() for x in model.open()(texts)] == plain
+
+
 @pytest.mark.parametrize("limits", [(1 << 19, 1 << 25), (40, 1 << 25), (1 << 19, 2000)])
 def test_op12(spark, docs, tmp_path, monkeypatch, limits):
     monkeypatch.setattr(token_alignment, "BLOCK_PAIRS", limits[0])
