@@ -64,9 +64,11 @@ LEFT_OUT = -4.0
 PRIOR_TEXT, PRIOR_OTHER, PRIOR_LINKED, PRIOR_TAG = 1.0, 0.5, -1.0, -0.4
 #: A tag within a region that holds main text: hardly more than none, so that a text of short blocks stays whole.
 HELD_TAG = -0.01
+#: Comments, declarations, elements that hold plain characters up to their end tag, tags. A quote opens a value only right after an equals
+#: sign, and only if it is closed again; any other is a character like others, so the tag ends at the next angle bracket.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(script|style|textarea|iframe|noscript|template|svg)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*+)((?:[^'\">]|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(script|style|textarea|iframe)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"|<(/?)([a-z][^\s/>]*+)((?:[^=>]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)",
     re.I | re.S,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
