@@ -104,6 +104,24 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+#: Copies of a row that one task makes out of a count.
+EXPANDED = 1 << 16
+
+
+def expanded(df: DataFrame, count: str, into: str, by: list[str] | None = None) -> DataFrame:
+    """Each row as often as ``count`` says, with its number from 0 as ``into``; ``df`` is read twice, so it is a stored table.
+
+    High counts are dealt out in parts, by the columns ``by`` and the part, so that no task makes all copies of a row.
+    """
+    part, first, step = unused(df, "part"), F.lit(0).cast("long"), F.lit(EXPANDED).cast("long")
+    few = df.where(F.col(count) <= EXPANDED).withColumn(into, F.explode(F.sequence(first, F.col(count) - 1)))
+    many = df.where(F.col(count) > EXPANDED).withColumn(part, F.explode(F.sequence(first, F.col(count) - 1, step)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, as adaptive execution would join such small rows into one task
+    dealt = many.repartition(tasks, *(by or df.columns), part)
+    last = F.least(F.col(part) + EXPANDED, F.col(count)) - 1
+    return few.unionByName(dealt.withColumn(into, F.explode(F.sequence(F.col(part), last))).drop(part))
+
+
 def crc(column: Column) -> Column:
     """crc32 of an id as text."""
     return F.crc32(column.cast("string"))

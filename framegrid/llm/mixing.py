@@ -2,7 +2,8 @@
 
 A source's documents are shuffled by a hash of their id and sent up to three times. A document's virtual finish time is
 its source's cumulative tokens divided by the source's target; all sendings are range-sorted by it and cut at the total
-budget. Cumulative sums run over hash blocks, so a source with a third of all rows is spread over many tasks.
+budget. Cumulative sums run over hash blocks, so a source with a third of all rows is spread over many tasks; an id that many
+different rows share is spread by the rows' own digests.
 
 Cases: a null text has size 0, and so takes nothing; a null source is a source of its own, sorted last; null ids are
 shuffled as empty ones; repeated rows are separate documents, but are counted before they are queued, so a row of which
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegrid.llm.common import WORD_PATTERN, saved, unused, whole_row
+from framegrid.llm.common import WORD_PATTERN, expanded, saved, unused, whole_row
 
 WEIGHTS = (5, 2, 1)
 #: How often a document is sent at most; targets stop at so many times their source's size.
@@ -49,6 +50,20 @@ def targets(sizes: Sequence[int], weights: Sequence[int], most: int = MOST_EPOCH
     return out
 
 
+def dealt(entries: DataFrame, digits: int) -> DataFrame:
+    """Entries (name, at, row and more) with the block of their source by the first ``digits`` of ``at``.
+
+    An id that many entries share would be one block whatever the digits; its entries are dealt by their own digests, after the block's others.
+    """
+    heavy = saved(entries.groupBy("name", "at").agg(F.count("*").alias("entries")).where(F.col("entries") > 4 * BLOCK_ROWS), "heavy")
+    further = 1
+    while 16**further * BLOCK_ROWS < (heavy.agg(F.max("entries")).first()[0] or 0):
+        further += 1
+    own = F.concat(F.substring("at", 1, digits), F.lit("~"), "at", F.substring(F.hex("row"), 1, further))
+    block = F.when(F.col("entries").isNull(), F.substring("at", 1, digits)).otherwise(own)
+    return entries.join(heavy, ["name", "at"], "left").withColumn("block", block).drop("entries")
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row for each row of ``docs``: doc_id, row (key), source, size, source_size, target, first finish time, times."""
     spark = docs.sparkSession
@@ -72,7 +87,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id
     goals = targets([t["size"] for t in totals], [weights[i % len(weights)] for i in range(len(totals))])
     goal = spark.createDataFrame([(t.name, t["size"], g) for t, g in zip(totals, goals, strict=True)], "name string, source_size long, target double")
     entries = sized.groupBy("name", "at", "doc_id", "size", "row").agg(F.count("*").alias("n"))
-    blocked = entries.withColumn("block", F.substring("at", 1, digits))
+    blocked = dealt(entries, digits)
     before = Window.partitionBy("name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         blocked.groupBy("name", "block")
@@ -84,11 +99,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id
     queued = saved(
         blocked.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0)))
         .join(starts, ["name", "block"])
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
-        .withColumn("upto", F.col("start") + F.col("before") + F.col("copy") * F.col("size"))
-        .select("doc_id", "row", "name", "size", "source_size", "target", "upto"),
-        "queued",
+        .select("doc_id", "row", "name", "size", "source_size", "target", "n", (F.col("start") + F.col("before")).alias("before")),
+        "entries",
     )
+    upto = F.col("before") + (F.col("copy") + 1) * F.col("size")
+    queued = saved(expanded(queued, "n", "copy", ["row"]).select("doc_id", "row", "name", "size", "source_size", "target", upto.alias("upto")), "queued")
     end = cut(queued, sum(t["size"] for t in totals))
     times = sum((F.when(finish(e) <= end, 1).otherwise(0) for e in range(MOST_EPOCHS)), F.lit(0))
     return queued.select(
@@ -135,8 +150,12 @@ def cut(queued: DataFrame, budget: int) -> float:
 def sent(docs: DataFrame, weights: Sequence[int] = WEIGHTS, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` themselves, each as often as the mix takes it."""
     key, row = unused(docs, "key"), unused(docs, "row")
-    taken = mix(docs, weights, doc_id, text, source).groupBy("row").agg(F.sum("times").alias("times")).where("times > 0")
-    taken = taken.select(F.col("row").alias(key), F.sequence(F.lit(1).cast("long"), "times").alias(f"{key}_times"))
+    times, copy = unused(docs, "times"), unused(docs, "copy")
+    taken = mix(docs, weights, doc_id, text, source).groupBy("row").agg(F.sum("times").alias(times)).where(F.col(times) > 0)
     whole = docs.select(whole_row(docs, doc_id, text).alias(key), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row))
     once = whole.groupBy(key).agg(F.first(row).alias(row))  # rows with one key are equal
-    return once.join(taken, key).withColumn(f"{key}_at", F.explode(f"{key}_times")).select(*(F.col(row)[c].alias(c) for c in docs.columns))
+    kept = once.join(saved(taken.withColumnRenamed("row", key), "taken"), key)
+    high = F.col(times) > MOST_EPOCHS  # only a repeated row is taken more often, so few rows with their texts are stored
+    repeated = expanded(saved(kept.where(high), "repeated"), times, copy, [key])
+    single = kept.where(~high).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return single.unionByName(repeated).select(*(F.col(row)[c].alias(c) for c in docs.columns))
