@@ -2,7 +2,8 @@
 
 Groups are dealt by hash into buckets that fit a task. In each bucket the two partial partitions with the largest spread
 are combined, oppositely ordered, until one is left; the buckets' partitions (at most ``MOST_BUCKETS`` tuples of sums)
-are then combined in the same way on the driver. Bytes end up near equal unless one group alone outweighs a shard.
+are then combined in the same way on the driver. Bytes end up near equal unless one group alone outweighs a shard. Equal rows
+are counted before anything else and made into rows again at the end, in parts.
 
 Cases: null texts form one group apart from empty ones and count 0 bytes plus 1; repeated rows keep a slot each; null
 ids are allowed; an empty table gives an empty result; further columns are not read.
@@ -18,12 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegrid.llm.common import digest, saved
+from framegrid.llm.common import digest, expanded, saved
 
 #: Groups that a bucket holds while there are fewer than MOST_BUCKETS of them.
 BUCKET_GROUPS = 16384
 MOST_BUCKETS = 65536
-#: Rows that are numbered together.
+#: Entries that are numbered together.
 BLOCK_ROWS = 65536
 
 
@@ -75,17 +76,15 @@ def shards(docs: DataFrame, k: int = 8, doc_id: str = "doc_id", text: str = "tex
     """doc_id, key (of the group), size, text_crc32, shard and slot for each row of ``docs``."""
     spark = docs.sparkSession
     known = F.coalesce(F.col(text), F.lit(""))
-    rows = saved(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.coalesce(digest(F.col(text)), F.lit(b"")).alias("key"),
-            (F.octet_length(known) + 1).cast("long").alias("size"),
-            F.crc32(known).alias("text_crc32"),
-        ),
-        "sizes",
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.coalesce(digest(F.col(text)), F.lit(b"")).alias("key"),
+        (F.octet_length(known) + 1).cast("long").alias("size"),
+        F.crc32(known).alias("text_crc32"),
     )
-    n = rows.count()
-    groups = saved(rows.groupBy("key").agg(F.sum("size").alias("total")), "groups")
+    # equal rows are one entry with a count, so however many they are they burden no task
+    rows = saved(rows.groupBy("doc_id", "key", "size", "text_crc32").agg(F.count("*").alias("n")), "entries")
+    groups = saved(rows.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("total")), "groups")
     buckets = min(MOST_BUCKETS, max(1, -(-groups.count() // BUCKET_GROUPS)))
     dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
     parted = saved(
@@ -97,20 +96,19 @@ def shards(docs: DataFrame, k: int = 8, doc_id: str = "doc_id", text: str = "tex
     goes = differencing([sorted(s, reverse=True) for s in sums.tolist()], k)
     to = spark.createDataFrame([(b, list(g)) for b, g in enumerate(goes)], "bucket int, goes array<int>")
     placed = parted.join(F.broadcast(to), "bucket").select("key", F.get("goes", F.col("part")).alias("shard"))
-    return numbered(rows.join(placed, "key"), n)
+    return numbered(rows.join(placed, "key"), rows.count())
 
 
-def numbered(rows: DataFrame, n: int) -> DataFrame:
-    """Add gapless slots from 0 in each shard: rows are numbered in blocks, blocks by their counts."""
-    blocks = max(1, -(-n // BLOCK_ROWS))
-    rows = saved(rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.lit(blocks)).cast("int")), "placed")
+def numbered(entries: DataFrame, n_entries: int) -> DataFrame:
+    """Rows out of entries (rows with a count ``n``), with gapless slots from 0 in each shard: entries are numbered in blocks, blocks by their counts."""
+    blocks = max(1, -(-n_entries // BLOCK_ROWS))
+    entries = saved(entries.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.lit(blocks)).cast("int")), "placed")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("shard", "block").count().select(
+    starts = entries.groupBy("shard", "block").agg(F.sum("n").alias("count")).select(
         "shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
     )
-    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "key")
-    return (
-        rows.withColumn("at", F.row_number().over(inside))
-        .join(starts, ["shard", "block"])
-        .select("doc_id", "key", "size", "text_crc32", "shard", (F.col("start") + F.col("at") - 1).alias("slot"))
-    )
+    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = entries.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["shard", "block"])
+    first = placed.select("doc_id", "key", "size", "text_crc32", "shard", "n", (F.col("start") + F.col("at")).alias("first"))
+    rows = expanded(saved(first, "first-slots"), "n", "copy", ["key"])
+    return rows.select("doc_id", "key", "size", "text_crc32", "shard", (F.col("first") + F.col("copy")).alias("slot"))
