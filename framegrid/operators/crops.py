@@ -7,6 +7,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+from pyspark.accumulators import Accumulator
 from pyspark.sql import DataFrame
 
 from framegrid.functions.vision import crop_resize, roi_features
@@ -31,8 +32,10 @@ def _features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield part.assign(features=[roi_features(_pixels(r)).tolist() for r in part.itertuples()])
 
 
-def _crop(parts: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+def _crop(parts: Iterator[pd.DataFrame], size: int, counter: Accumulator | None) -> Iterator[pd.DataFrame]:
     for part in parts:
+        if counter is not None:
+            counter.add(len(part))
         data = [crop_resize(_pixels(r), (r.box["l"], r.box["t"], r.box["r"], r.box["b"]), size).tobytes() for r in part.itertuples()]
         yield part[["document", "frame_index", "fps", "w", "h"]].assign(height=size, width=size, data=data)
 
@@ -49,7 +52,7 @@ def with_features(frames: DataFrame) -> DataFrame:
     return frames.mapInPandas(_features, f"{fields}, features array<double>")
 
 
-def crop(boxed: DataFrame, size: int = 186) -> DataFrame:
-    """Rows of (document, frame_index, fps, box, w, h, width, height, data) to squares; whole frames go no further."""
+def crop(boxed: DataFrame, size: int = 186, counter: Accumulator | None = None) -> DataFrame:
+    """Rows of (document, frame_index, fps, box, w, h, width, height, data) to squares; whole frames go no further. ``counter`` is for progress."""
     narrow = boxed.select("document", "frame_index", "fps", "box", "w", "h", "width", "height", "data")
-    return narrow.mapInPandas(partial(_crop, size=size), "document string, frame_index bigint, fps double, w int, h int, height int, width int, data binary")
+    return narrow.mapInPandas(partial(_crop, size=size, counter=counter), "document string, frame_index bigint, fps double, w int, h int, height int, width int, data binary")

@@ -18,6 +18,7 @@ from framegrid.config import Grid, Sampling, Table
 from framegrid.functions import exprs as E
 from framegrid.functions import jpeg
 from framegrid.operators import archive, crops, detect, fill, locate, ring_model, roi_model, sampling
+from framegrid.operators.progress import Live
 from framegrid.plans import stage2
 from framegrid.schemas import EXTRACTION_LOG_HEADER, GRID_RESULT_HEADER
 from framegrid.sources import files, sheets, sinks
@@ -58,7 +59,8 @@ def extract(spark: SparkSession, video: str, document: str, conf: Conf, store: s
             read = read.option(name, value)
     frames = read.load(video).withColumn("document", F.lit(document))
     boxed = crops.predict_boxes(frames, conf.predictor or roi_model.ship(spark, conf.forest))
-    crops.crop(sampling.with_boxes(boxed), conf.sampling.target_size).write.mode("overwrite").parquet(store)
+    with Live(spark, every=50, say=conf.say or (lambda line: None)) as live:
+        crops.crop(sampling.with_boxes(boxed), conf.sampling.target_size, live.counter).write.mode("overwrite").parquet(store)
     stored = spark.read.parquet(store)
     narrow = stored.select("document", "frame_index", "w", "h", (F.col("frame_index") / E.fps(F.col("fps"), conf.sampling)).alias("timestamp"))
     numbered = sampling.number_frames(sampling.check_sizes(narrow, conf.sampling))
@@ -129,7 +131,8 @@ def main() -> None:
     a = args.parse_args()
     conf = Conf(
         a.apply_root, a.symbols, a.template, a.decoder, stage2.named(a.predictor) if a.predictor else None, a.forest,
-        stage2.named(a.detector) if a.detector else None, a.model, stage2.named(a.encoder), print, limit=a.limit, workers=a.workers, sampling=Sampling(start_s=a.start, end_s=a.end, interval_s=a.interval),
+        stage2.named(a.detector) if a.detector else None, a.model, stage2.named(a.encoder), print, a.limit, a.workers,
+        Sampling(start_s=a.start, end_s=a.end, interval_s=a.interval),
     )
     spark = SparkSession.builder.appName("framegrid").getOrCreate()
     for stage, result in run(spark, a.document, conf).items():
