@@ -1,4 +1,9 @@
-"""Connected components by alternating large and small stars; every round's edges go to the shared folder."""
+"""Connected components by alternating large and small stars; every round's edges go to the shared folder.
+
+Cases: repeated edges, edges in both directions and edges of a node with itself change nothing; a null end is no node, its edge is left
+out; no edges give no rows. Rounds follow the logarithm of the longest path, so ``MOST_ROUNDS`` is far beyond any graph that can
+be stored; should they not do, that is an error.
+"""
 
 from __future__ import annotations
 

@@ -11,7 +11,8 @@ surroundings are one leaf, and equal texts one text, so copies are never gathere
 
 Cases: null and empty texts have no words; texts shorter than a window lose nothing; within a text or among rows of one
 doc_id, whatever their texts, nothing is removed; null ids count as the greatest; repeated rows get equal results; texts of any length are read
-whole; an empty table gives an empty result; further columns are not read.
+whole; an empty table gives an empty result; further columns are not read. Ids are whole numbers, as their order counts; other text as
+an id is an error of the cast. A null id counts as 2 ** 63 - 1, so it ties with a row of that id.
 """
 
 from __future__ import annotations

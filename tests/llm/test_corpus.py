@@ -13,7 +13,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from framegrid.llm import components, lm_scoring, mixing, near_dups, queries, sharding, substring_dedup
+from framegrid.llm import common, components, lm_scoring, mixing, near_dups, queries, sharding, substring_dedup
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -481,3 +481,82 @@ def test_held_out_texts_score_above_the_base(spark):
     docs = spark.createDataFrame([(i, text(), i % 7 == 2) for i in range(210)], "doc_id long, text string, held_out boolean")
     got = [r for r in lm_scoring.scores(docs).collect() if r.held_out]
     assert len(got) == 30 and sum(r.score for r in got) > 0.6 * sum(r.base_score for r in got)
+
+
+# hot ids and repeated rows
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(seed: int, n: int) -> str:
+    return " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 500, n))
+
+
+def test_copies_are_made_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(common, "EXPANDED", 8)
+    counts = spark.createDataFrame([("a", 1), ("b", 8), ("c", 9), ("d", 100)], "x string, n long")
+    out = common.expanded(counts, "n", "copy", ["x"])
+    got = out.withColumn("task", F.spark_partition_id()).collect()
+    assert Counter((r.x, r["copy"]) for r in got) == Counter((x, i) for x, n in (("a", 1), ("b", 8), ("c", 9), ("d", 100)) for i in range(n))
+    assert len({r.task for r in got if r.x == "d"}) > 1
+
+
+def test_one_row_repeated_is_one_entry(spark, monkeypatch):
+    """Sharding and mixing of a row that a table holds 500 times, with others: parts of a few copies, slots without gaps, all rows there."""
+    monkeypatch.setattr(common, "EXPANDED", 16)
+    rows = [(7, "the same text again", "en", "s0", 0)] * 500 + [(i, prose(i, 30), "en", f"s{i % 3}", 0) for i in range(100, 160)]
+    table = spark.createDataFrame(rows, DOCS).repartition(3)
+    placed = sharding.shards(table).collect()
+    assert Counter(r.doc_id for r in placed) == Counter(r[0] for r in rows) and len({r.shard for r in placed if r.doc_id == 7}) == 1
+    for k in {r.shard for r in placed}:
+        assert sorted(r.slot for r in placed if r.shard == k) == list(range(sum(r.shard == k for r in placed)))
+    taken = {i: n for i, n in mixing.mix(table).groupBy("doc_id").agg(F.sum("times")).collect()}
+    sent = Counter(r.doc_id for r in mixing.sent(table).collect())
+    assert sent == Counter({i: n for i, n in taken.items() if n})
+
+
+def test_one_id_for_all_rows(spark, monkeypatch):
+    """Different rows under one id, or none, are spread by their own digests; targets are met as ever."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 10)
+    rows = [(None if i % 2 else 5, prose(i, 20 + i % 7), "en", "s0" if i % 3 else "s1", 0) for i in range(600)]
+    table = spark.createDataFrame(rows, DOCS).repartition(4)
+    entries = table.select(F.lit("s").alias("name"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("at"), F.unhex(F.md5("text")).alias("row"))
+    blocks = mixing.dealt(entries, 1).groupBy("block").count().collect()
+    assert sum(r["count"] for r in blocks) == 600 and max(r["count"] for r in blocks) < 60  # two ids of 300 entries
+    mixed = mixing.mix(table).collect()
+    assert len(mixed) == 600
+    for name in ("s0", "s1"):
+        mine = [r for r in mixed if r.source == name]
+        assert abs(sum(r["size"] * r.times for r in mine) - mine[0].target) <= 3 * max(r["size"] for r in mine)
+    again = mixing.mix(table.repartition(7)).collect()
+    assert Counter((r.row, r.finish, r.times) for r in again) == Counter((r.row, r.finish, r.times) for r in mixed)
+
+
+def test_components_of_awkward_edges(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (1, 2), (3, 3), (None, 4), (4, None), (5, 2), (7, 8)], "u int, v int")
+    assert {(r.node, r.root) for r in components.components(edges).collect()} == {(2, 1), (5, 1), (8, 7)}
+    assert components.components(edges.limit(0)).count() == 0
+
+
+def test_ids_that_are_no_numbers(spark):
+    table = spark.createDataFrame([("x1", "some text", False)], "doc_id string, text string, held_out boolean")
+    for operator in (lambda t: lm_scoring.scores(t), substring_dedup.removals):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            operator(table).collect()
+    numbers = table.withColumn("doc_id", F.lit("17"))
+    assert lm_scoring.scores(numbers).first().doc_id == substring_dedup.removals(numbers).first().doc_id == 17
+
+
+def test_the_sample_is_of_one_size(spark):
+    """The texts of least hash, however many rows there are; none is skipped, long ones give parts."""
+    rows = spark.range(5000).selectExpr("if(id % 9 = 0, null, concat('text ', id)) as text", "xxhash64(id) as at")
+    want = sorted((r["at"], r.text) for r in rows.collect() if r.text)[:37]
+    for n in (1, 5):
+        got = lm_scoring.picked(rows.repartition(n), 37)
+        assert [tuple(r) for r in got.select("at", "text").collect()] == want and got.rdd.getNumPartitions() == 1
+    assert lm_scoring.picked(rows.limit(0), 37).count() == 0
+    assert [lm_scoring.shares(x, 100) for x in ([], [10, 20], [100], [10, 200, 300], [500, 500])] == [0, 20, 100, 45, 50]
+    text = " ".join(f"word{i}" for i in range(300)).encode()
+    piece = lm_scoring.part(text, 200)
+    assert piece in text and 150 < len(piece) <= 200 and set(piece.split()) <= set(text.split()) and lm_scoring.part(text, 5000) == text
+    assert lm_scoring.part(b"x" * 1000, 100) == b"x" * 100
