@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framegrid.sources.sinks import filesystem, write_file
+from framegrid.sources.models import read_file
+from framegrid.sources.sinks import write_file
 
 STEP = 1 << 16
 #: Histogram cells of one pass over the rows, and rows of a node that one task grows to the end.
@@ -70,9 +71,7 @@ def save(forest: Forest, path: str) -> None:
 
 
 def load(path: str) -> Forest:
-    at, inside = filesystem(path)
-    with at.open_input_stream(inside) as f:
-        return Forest(**unpacked(f.read()))
+    return Forest(**unpacked(read_file(path)))
 
 
 @dataclass(frozen=True)

@@ -112,18 +112,12 @@ def save(templates: np.ndarray, model: forest.Forest, path: str, accept: float =
     write_file(path, forest.packed(model.arrays() | {"templates": templates, "accept": np.array(accept)}))
 
 
-def read(path: str) -> vision.RingDetector:
-    at, inside = filesystem(path)
-    with at.open_input_stream(inside) as f:
-        held = forest.unpacked(f.read())
+def made(content: bytes) -> vision.RingDetector:
+    held = forest.unpacked(content)
     templates, accept = held.pop("templates"), float(held.pop("accept"))
     return detector(templates, forest.Forest(**held), accept)
 
 
-def _made(load: Callable[[], object]):
-    return load()
-
-
 def ship(spark: SparkSession, path: str) -> Callable[[], vision.RingDetector]:
-    """A stored detector as a factory: sent to each node once, read once in each worker."""
-    return partial(_made, models.ship(spark, path, read))
+    """A stored detector as a factory: sent to each node once, made once in each worker."""
+    return models.ship(spark, path, made)

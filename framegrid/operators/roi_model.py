@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +30,10 @@ class BoxPredictor:
         return tuple(self.model.predict(roi_features(frame)[None])[0].tolist())
 
 
-def read(path: str) -> BoxPredictor:
-    return BoxPredictor(forest.load(path))
-
-
-def _made(load: Callable[[], object]):
-    return load()
+def made(content: bytes) -> BoxPredictor:
+    return BoxPredictor(forest.Forest(**forest.unpacked(content)))
 
 
 def ship(spark: SparkSession, path: str) -> Callable[[], BoxPredictor]:
-    """A stored forest as a factory of predictors: sent to each node once, read once in each worker."""
-    return partial(_made, models.ship(spark, path, read))
+    """A stored forest as a factory of predictors: sent to each node once, made once in each worker."""
+    return models.ship(spark, path, made)

@@ -11,6 +11,7 @@ import pytest
 from framegrid.functions import jpeg, vision
 from framegrid.operators import forest, ring_model, roi_model
 from framegrid.plans import stage2, train
+from framegrid.sources import models
 from framegrid.streaming import resume
 
 ROWS = "features array<double>, target array<double>"
@@ -206,7 +207,7 @@ def test_mining_finds_decoys(trained):
 
 
 def test_the_trained_detector(trained):
-    detect = ring_model.read(trained[0])
+    detect = ring_model.made(models.read_file(trained[0]))
     rng = random.Random(9)
     hits = decoys = 0
     for i in range(40):

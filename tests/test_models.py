@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from framegrid.operators import progress
@@ -12,14 +13,20 @@ from framegrid.sources import models
 
 
 def test_shipped_model(spark, tmp_path):
-    (tmp_path / "bundle.pkl").write_bytes(pickle.dumps({"add": 5}))
-    load = models.ship(spark, str(tmp_path / "bundle.pkl"))
+    """Two files of one name are two models; a file over the bound is refused."""
+    loads = []
+    for i in (5, 7):
+        (tmp_path / str(i)).mkdir()
+        (tmp_path / f"{i}/bundle.pkl").write_bytes(pickle.dumps({"add": i}))
+        loads.append(models.ship(spark, f"file:{tmp_path}/{i}/bundle.pkl"))
 
     def apply(parts):
         for part in parts:
-            yield part.assign(id=part["id"] + load()["add"])
+            yield part.assign(id=part["id"] + loads[0]()["add"] + 10 * loads[1]()["add"])
 
-    assert [r.id for r in spark.range(3).mapInPandas(apply, "id long").orderBy("id").collect()] == [5, 6, 7]
+    assert [r.id for r in spark.range(3).mapInPandas(apply, "id long").orderBy("id").collect()] == [75, 76, 77]
+    with pytest.raises(ValueError, match="over 4 bytes"):
+        models.read_file(str(tmp_path / "5/bundle.pkl"), 4)
 
 
 def test_progress(spark):
