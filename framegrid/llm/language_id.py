@@ -5,7 +5,8 @@ segmentations into pieces, found by the forward algorithm; a text's is the produ
 from expectation maximisation over a sample of labelled texts with a bound for each language.
 
 Words are lower-cased runs between white space, scored whole whatever their length; a character that the vocabulary lacks
-counts alike in all languages. For fitting, runs over ``PART`` characters are taken in parts of that length, all of them.
+counts alike in all languages. Words are fitted whole, too: those over ``UNSCALED`` characters by sums that are scaled at each.
+Lower case joins pieces that differ in case only (the public vocabulary's 31,741 pieces become 25,614); 14 with an inner mark are left out.
 Expected counts are summed in a fixed number of sorted parts of the sample, so a model does not depend on partitions.
 
 Cases: a null text or one without a letter is ``und`` with score 0, as is every text where nothing is labelled; texts
@@ -35,7 +36,9 @@ SAMPLE_TEXTS = 4_000
 MOST_KNOWN = 300_000
 #: More languages than this raise an error.
 MOST_LANGUAGES = 500
-LONGEST, RUN, PART = 16, 256, 40
+LONGEST, RUN, LONG_BLOCK = 16, 256, 4096
+#: Words over so many characters are fitted one by one, with sums that are scaled at each character.
+UNSCALED = 40
 #: Parts that the sample is dealt into.
 SAMPLE_PARTS = 16
 UNKNOWN = 1e-6
@@ -96,14 +99,58 @@ class Lattice:
             found.append(at)
         return starts, lengths, found
 
-    def walk_long(self, word: str, p: np.ndarray) -> np.ndarray:
-        """As ``walk`` for one long word: all pieces that end at a character at once, rescaled at each."""
+    def _ends(self, word: str) -> np.ndarray:
+        """For each place of a word the pieces that end there, by their length."""
         _, lengths, found = self.places([word])
         n = int(lengths[0])
         ends = np.full((n + 1, len(found)), self.none, np.int32)
         for k, at in enumerate(found):
             ends[k + 1 :, k] = at[: n - k]
-        before = np.zeros((len(found), p.shape[1]))  # forward sums, the latest first
+        return ends
+
+    def expect_long(self, word: str, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The expected pieces of one long word that is met ``weight`` times in each column.
+
+        Forward, each place's pieces get their shares of the sum that ends there; backward, a place's share of all segmentations is dealt
+        out to its pieces and to where they begin. Shares are kept for a block of places at a time and made again from the block's start.
+        """
+        ends = self._ends(word)
+        n, width = len(ends) - 1, ends.shape[1]
+
+        def step(before: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+            terms = before * p[ends[j]]
+            total = terms.sum(axis=0)
+            return np.concatenate([np.ones((1, p.shape[1])), before[:-1] / total]), terms / total
+
+        before = np.zeros((width, p.shape[1]))  # forward sums over the latest one, the latest first
+        before[0] = 1
+        starts = []
+        for j in range(1, n + 1):
+            if (j - 1) % LONG_BLOCK == 0:
+                starts.append(before)
+            before, _ = step(before, j)
+        reached = np.zeros((n + 1, p.shape[1]))  # how often segmentations have a border here
+        reached[n] = weight
+        out = np.zeros((len(p), p.shape[1]))
+        for block in range(len(starts) - 1, -1, -1):
+            first, last = block * LONG_BLOCK + 1, min(n, (block + 1) * LONG_BLOCK)
+            before, shares = starts[block], np.empty((last - first + 1, width, p.shape[1]))
+            for j in range(first, last + 1):
+                before, shares[j - first] = step(before, j)
+            for j in range(last, first - 1, -1):
+                shares[j - first] *= reached[j]
+                k = min(width, j)
+                reached[j - k : j] += shares[j - first, :k][::-1]
+            which = ends[first : last + 1].ravel()
+            for c in range(p.shape[1]):
+                out[:, c] += np.bincount(which, shares[:, :, c].ravel(), len(p))
+        return out
+
+    def walk_long(self, word: str, p: np.ndarray) -> np.ndarray:
+        """As ``walk`` for one long word: all pieces that end at a character at once, rescaled at each."""
+        ends = self._ends(word)
+        n, width = len(ends) - 1, ends.shape[1]
+        before = np.zeros((width, p.shape[1]))  # forward sums, the latest first
         before[0] = 1
         log = np.zeros(p.shape[1])
         for j in range(1, n + 1):
@@ -179,11 +226,6 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def parts_of(text: str) -> list[str]:
-    """Words for fitting: sums over so few characters need no scale."""
-    return [w[i : i + PART] for w in words_of(text) for i in range(0, len(w), PART)]
-
-
 @dataclass
 class Model:
     languages: list[str]
@@ -215,8 +257,11 @@ class Scorer:
         if len(self.known) > met:
             new, _ = self.lattice.walk(list(islice(self.known, met, None)), self.model.p)
             self.logs = np.concatenate([self.logs[:met], new])
-        total = np.concatenate([np.zeros((1, self.logs.shape[1])), np.cumsum(self.logs[np.array(ids, np.int64)], axis=0)])
-        return total[np.array(ends[1:])] - total[np.array(ends[:-1])]
+        out = np.zeros((len(texts), self.logs.shape[1]))
+        starts, n = np.array(ends[:-1]), np.diff(ends)
+        if len(ids):  # each text's own sum, so it does not depend on the texts beside it
+            out[n > 0] = np.add.reduceat(self.logs[np.array(ids, np.int64)], starts[n > 0], axis=0)
+        return out
 
 
 def _probabilities(counts: np.ndarray) -> np.ndarray:
@@ -237,14 +282,19 @@ def _tally(pieces: list[str], languages: list[str], p: np.ndarray):
             counts: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if text and lang in place:
-                    counts.setdefault(lang, Counter()).update(parts_of(text))
+                    counts.setdefault(lang, Counter()).update(words_of(text))
             known = list(dict.fromkeys(w for c in counts.values() for w in c))
             if known:
                 at = {w: i for i, w in enumerate(known)}
                 weight = np.zeros((len(known), len(languages)))
                 for lang, c in counts.items():
                     weight[[at[w] for w in c], place[lang]] = list(c.values())
-                sums += lattice.walk(known, p, weight)[1]
+                short = [i for i, w in enumerate(known) if len(w) <= UNSCALED]
+                if short:
+                    sums += lattice.walk([known[i] for i in short], p, weight[short])[1]
+                for i, w in enumerate(known):
+                    if len(w) > UNSCALED:
+                        sums += lattice.expect_long(w, p, weight[i])
         piece, lang = np.nonzero(sums[: len(pieces)] >= 2**-10)
         # rounded to whole numbers, so that sums do not depend on their order
         yield pa.RecordBatch.from_arrays(
@@ -266,7 +316,7 @@ def learn(labelled: DataFrame, rounds: int = 2, sample_texts: int = SAMPLE_TEXTS
     if not languages:
         return Model([], pieces, np.zeros((len(pieces) + 2, 0)))
     part = F.element_at(F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, sample_texts / totals[k])))), F.col("lang"))
-    sample = saved(rows.where(F.pmod("at", F.lit(1 << 20)) < part * (1 << 20)), "sample")
+    sample = saved(rows.where(F.pmod("at", F.lit(1 << 52)) < part * float(1 << 52)), "sample")
     counts = np.ones((len(pieces) + 2, len(languages)))
     for _ in range(rounds):
         dealt = sample.repartition(SAMPLE_PARTS, "at").sortWithinPartitions("at", "lang", "text").select("lang", "text")

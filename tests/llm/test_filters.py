@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -140,6 +141,7 @@ def test_op2_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(L, "read_pieces", lambda path: small)
     rng = random.Random(5)
     word = lambda letters: "".join(rng.choices(letters, k=rng.randint(1, 5)))
+    monkeypatch.setattr(L, "UNSCALED", 3)  # half of the words count as long ones
     rows = [(i, " ".join(word("aab" if i % 2 else "bcd") for _ in range(4)), "x" if i % 2 else "y") for i in range(40)]
     rows += [(90, "zz q", "x"), (91, "123 !", "y"), (92, None, "y"), (93, "ab cd", None), (94, "", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
@@ -180,7 +182,29 @@ def test_long_words_are_summed_whole(pieces):
     short, _ = lattice.walk(words, p)
     assert np.allclose([lattice.walk_long(w, p) for w in words], short, rtol=1e-9)
     assert np.isfinite(lattice.walk(["ab" * 5000, "the"], p)[0]).all()
-    assert L.parts_of("ab " + "x" * 90) == ["ab", "x" * 40, "x" * 40, "x" * 10]
+
+
+def test_long_words_are_fitted_whole(pieces, monkeypatch):
+    """Expected pieces of long words are those of the sums without a scale, where those still work, and add up to the word's characters."""
+    p = L._probabilities(np.random.default_rng(2).random((len(pieces) + 2, 3)) * 50)
+    lattice = L.Lattice(pieces)
+    weight = np.array([1.0, 0.0, 2.5])
+    lengths = np.array([len(x) for x in pieces] + [1, 0])
+    for word in ("verwaltungsvorschrift" * 5, "x" * 100, "漢字かな" * 10, "a"):
+        want = lattice.walk([word], p, weight[None])[1]
+        for block in (4096, 7):
+            monkeypatch.setattr(L, "LONG_BLOCK", block)
+            got = lattice.expect_long(word, p, weight)
+            assert np.allclose(got, want, rtol=1e-9) and np.allclose(lengths @ got, weight * (len(word) + 1))
+    assert np.allclose(lengths @ lattice.expect_long("ab" * 3000, p, weight), weight * 6001)
+
+
+def test_scores_do_not_depend_on_the_texts_beside(docs):
+    model = L.learn(docs)
+    texts = [r.text or "" for r in docs.collect()]
+    together = model.scorer().score(texts)
+    alone = np.concatenate([model.scorer().score([t]) for t in texts])
+    assert (together == alone).all()
 
 
 def test_models_do_not_depend_on_partitions(docs):
@@ -426,3 +450,19 @@ def test_excluded_blocks_do_not_cut_the_main_text(spark):
     want = ["Title", words, words, "last one"]
     for page in (f"<article>{inner}</article>", f"<div role='main'>{inner}</div>", f"<div class='story'>{inner}</div>"):
         assert scorer.extract(f"<html><body><p>stray</p>{menu}{page}{menu}<p>stray</p></body></html>").split("\n") == want
+
+
+def test_foreign_elements_and_stray_quotes():
+    read = H.Scorer().extract
+    assert read('<article><p>one two three</p><svg class="i"/><p>four five six seven</p></article>') == "one two three\nfour five six seven"
+    assert read('<article><p>one two</p><svg><title>icon</title><path d="M0"/><g><text>no</text></g></svg><p>three four</p></article>') == "one two\nthree four"
+    assert read("<article><p>one two <svg><circle/>lost</p><p>three four</p></article>") == "one two\nthree four"  # never closed: ends with the block
+    assert read("<article><noscript><p>turn it on</p></noscript><template><p>not shown</p></template><p>one two</p></article>") == "one two"
+    assert read('<p title="x>one two</p>') == "one two"
+    assert read("<p class=it's>one two</p>") == "one two"
+    assert read("<p title='x>one two</p><p>it is so</p>") == "one two\nit is so"
+    assert read('<article><p data-x="a > b" title = \'"\'>one two</p><p a="" b=c"d>three</p></article>') == "one two\nthree"
+    for page in ('<p a="' * 20000, "<svg" * 20000, "<svg>" * 20000, "<p =" * 20000, "<p ='\"" * 20000, "<p a=" * 20000):
+        began = time.time()
+        read(page)
+        assert time.time() - began < 2
