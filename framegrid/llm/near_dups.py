@@ -7,7 +7,7 @@ dart. Texts that agree in all coordinates of a band are candidates; Jaccard simi
 Texts with equal shingle sets are one representative from the start. Within a bucket of representatives, each is paired
 with the bucket's least member and with its hub, the member with the most bucket mates over all bands, so copies of one
 original meet through it. In buckets that still hold several classes, every pair across classes is then settled: parity
-bitmaps give a bound on the similarity that no pair at the limit or above fails, and what passes the bound is compared
+bitmaps of 4,096 bits give a bound on the similarity that no pair at the limit or above fails, and what passes the bound is compared
 exactly, first a spanning forest of the nearest pairs, then all that is left between classes. Large buckets are dealt out
 by pairs of blocks.
 
@@ -38,8 +38,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
 #: Members of a bucket that are held against each other in one task.
 BLOCK = 4096
-#: Bits of a parity bitmap.
-PARITY_BITS = 1024
+#: Bits of a parity bitmap, and of the folded one that is looked at first.
+PARITY_BITS, FOLDED_BITS = 4096, 1024
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
 #: Hashes of words that a task keeps at hand.
@@ -195,6 +195,8 @@ def possible(members: pd.DataFrame, similarity: float, forest: bool) -> list[tup
     Sets of a and b elements with d in one of them alone are similar at s if d <= (a + b) (1 - s) / (1 + s).
     """
     bits = np.frombuffer(b"".join(members["parity"]), np.uint64).reshape(len(members), -1)
+    # slots that are folded onto each other have the parity of their sum, so the fold gives a bound, too, though a lower one
+    folded = np.bitwise_xor.reduce(bits.reshape(len(members), -1, FOLDED_BITS // 64), axis=1)
     size = members["n_shingles"].to_numpy()
     root = members["root"].map(bytes).astype("category").cat.codes.to_numpy()
     part = members["part"].to_numpy()
@@ -207,7 +209,12 @@ def possible(members: pd.DataFrame, similarity: float, forest: bool) -> list[tup
             mates &= part != part[i]
         mates = np.flatnonzero(mates)
         both = size[mates] + size[i]
-        apart = np.maximum(np.bitwise_count(bits[mates] ^ bits[i]).sum(axis=1, dtype=np.int64), np.abs(size[mates] - size[i]))
+        apart = np.maximum(np.bitwise_count(folded[mates] ^ folded[i]).sum(axis=1, dtype=np.int64), np.abs(size[mates] - size[i]))
+        near = np.flatnonzero(apart <= both * share)
+        if not len(near):
+            continue
+        mates, both = mates[near], both[near]
+        apart = np.maximum(np.bitwise_count(bits[mates] ^ bits[i]).sum(axis=1, dtype=np.int64), apart[near])
         near = apart <= both * share
         at.append(np.full(near.sum(), i))
         to.append(mates[near])
