@@ -119,8 +119,9 @@ LISTED_SUFFIXES = ["biz", "com", "example.com", "example.net", "example.org", "i
 LISTED = [f"{label}.{suffix}" for label in LISTED_LABELS for suffix in LISTED_SUFFIXES]
 
 
-def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
+def op7_url_filter(spark: SparkSession, sf_dir: str, listed_table: str | None = None) -> DataFrame:
+    """``listed_table`` is the path of a table with the listed domains as ``key``; without one, ``LISTED`` are."""
+    listed = spark.read.parquet(listed_table).select("key") if listed_table else spark.createDataFrame([(x,) for x in LISTED], "key string")
     return url_filters.judge(_table(spark, sf_dir, "pages"), listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
@@ -130,6 +131,18 @@ def test_counted_shingles(spark):
     assert {r.doc_id: r.class_id for r in near_dups.classes(docs, counted=True).collect()} == {1: 1, 2: 2, 3: 2}
 
 
+def test_few_pairs_just_under_the_limit_are_compared():
+    """400 sets of one template, 0.788 alike: the bound leaves few of their 79,800 pairs, and each pair at the limit."""
+    rng = np.random.default_rng(0)
+    core = rng.integers(0, 1 << 63, 104, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([core, rng.integers(0, 1 << 63, 14, dtype=np.uint64)])) for _ in range(400)]
+    sets += [np.unique(np.concatenate([x[:-1], rng.integers(0, 1 << 63, 1, dtype=np.uint64)])) for x in sets[:5]]
+    keys = [bytes([i // 256, i % 256]) for i in range(len(sets))]
+    members = pd.DataFrame({"set_key": keys, "root": keys, "n_shingles": [len(x) for x in sets], "parity": [near_dups.parity(x) for x in sets], "part": 0})
+    pairs = near_dups.possible(members, 0.8, False)
+    assert {(i, 400 + i) for i in range(5)} <= {(min(p), max(p)) for p in pairs} and len(pairs) < 0.12 * 79_800
+
+
 def test_parity_never_hides_a_similar_pair():
     rng = np.random.default_rng(2)
     for n in (1, 9, 300, 20000):

@@ -466,3 +466,16 @@ def test_foreign_elements_and_stray_quotes():
         began = time.time()
         read(page)
         assert time.time() - began < 2
+
+
+def test_listed_domains_from_a_table(spark, tmp_path):
+    """Half of the corpus's own hosts as the list: membership is exact for hosts and subdomains, whatever is listed."""
+    pages = queries.op7_url_filter(spark, DATA).select("host").where("host <> ''").distinct()
+    pages.where("crc32(host) % 2 = 0").select(F.col("host").alias("key")).write.parquet(str(tmp_path / "listed"))
+    listed = {r["key"] for r in spark.read.parquet(str(tmp_path / "listed")).collect()}
+    rows = queries.op7_url_filter(spark, DATA, str(tmp_path / "listed")).collect()
+    assert listed and {"allow", "block"} == {r.verdict for r in rows if r.rule is None}
+    for r in rows:
+        if r.rule is None:
+            parts = r.host.split(".")
+            assert (r.verdict == "block") == any(".".join(parts[i:]) in listed for i in range(len(parts)))
