@@ -71,7 +71,7 @@ def test_against_a_plain_forest(spark, least):
 
 def test_places_of_growth_do_not_matter(spark, monkeypatch):
     df = table(spark, 200, 1)
-    growth = forest.Growth(trees=6, depth=5, feature_share=0.6)
+    growth = forest.Growth(trees=3, depth=4, feature_share=0.6)
     whole = forest.train(df, growth).arrays()
     for small, cells in ((0, 1 << 22), (40, 1 << 22), (0, 1000)):  # histograms to the end, half and half, many passes
         monkeypatch.setattr(forest, "MOST_CELLS", cells)
