@@ -6,13 +6,14 @@ predicted. One predictor knows the bit's place in the code alone; the others has
 place into tables of counts: for words the last frequent word and the word before; for bytes the last two with the last
 frequent word, the last four (across word ends), and the whole word so far. Stretched
 predictions are joined by weights that a gate selects (the longest context seen, how often, and the bit's place); the
-weights are learned online over a sample, whose own counts are left out, and a probability map then refines the mixed
-prediction. So known and new words alike get their probability from the mixed bits, over all token sequences it sums to
+weights are learned from all bits of all training texts, a text's own counts left out, and a probability map then refines
+the mixed prediction. For that, one pass counts the bits by gate and by what the predictors say, on a scale of 32 values
+each; these counts have a bound, and weights and map follow from them. So known and new words alike get their probability from the mixed bits, over all token sequences it sums to
 one, and the order of words counts.
 
 Counts cover all training texts and slots grow with them, 2 ** MOST_BITS for each predictor at most: what a task can
 hold. Beyond that, contexts share slots, as hashed contexts do; the weights are learned on the tables as they are. Counts
-are whole numbers, the sample is sorted, and costs are summed as whole numbers of 2 ** -24, so a score depends neither on
+are whole numbers, and costs are summed as whole numbers of 2 ** -24, so a score depends neither on
 partitions nor on the order of rows.
 
 The base score needs the exact count of every word: words with a code have it in the code book, the others are joined,
@@ -29,8 +30,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -58,14 +60,15 @@ CHUNK_SLOTS = 1 << 14
 GROUP = 3
 #: Bits of text that are worked on together: small enough for the processor's cache.
 STEP_BITS = 16_384
+#: Bits from which a text's own are counted in slices, so that memory follows the slice.
+LONG_BITS = 1 << 20
 #: Tokens of a segment, bytes that are encoded together, bytes of a block of texts.
 SEGMENT, BATCH_BYTES, BLOCK_BYTES = 100_000, 600_000, 64_000_000
-#: Texts that the weights are learned from (those of least hash of id and text), their bytes, and rounds; of texts that are together
-#: longer, all give a part of one length, the shorter ones all they have.
-SAMPLE_TEXTS, SAMPLE_BYTES, ROUNDS = 400, 1_500_000, 3
 #: Bytes of text for which one table of counts is kept while counting.
 COUNT_BYTES = 128_000_000
-DELTA, RATE = 0.05, 0.03
+DELTA = 0.05
+#: Newton's steps at most, while the weights are learned.
+NEWTON_STEPS = 30
 PLACES = 5
 LEVELS = 3 * PREDICTORS + 1
 GATES = PLACES * LEVELS
@@ -86,6 +89,19 @@ INPUT = np.tile(VALUES, 4).astype(np.float32)
 #: Fields of a step of a code: the bit, the node's place in its group, its kind of place for the gate, its own prediction, its group's hash.
 LOCAL_AT, PLACE_AT, PRIOR_AT, HASH_AT = 1, 4, 8, 32
 PRIOR_UNITS = 1024
+#: What a packed count is on that scale when so many of it are left out.
+LESS = np.minimum(255, np.rint(np.log2(1 + np.maximum(_N[:, None] - np.arange(256), 0)) * 10)).astype(np.uint16).ravel()
+LESS_ONE = LESS << np.uint16(8)
+#: One bit of 0, and of 1, of a text's own; and the level of what a predictor says.
+ONES = np.array([1, 1 << 32], np.uint64)
+LEVEL = [((np.arange(256) >> 6) + 3 * k).astype(np.uint8) * (np.arange(256) > 63).astype(np.uint8) for k in range(PREDICTORS)]
+#: Cells of the counts that weights are learned from: place and level, 32 values a predictor, 32 (for bytes 16) of the place's own prediction, the bit.
+WORD_CELLS, BYTE_CELLS = 3 * LEVELS << 16, 2 * LEVELS << 20
+TALLY_CHUNK = 1 << 16
+#: Predictions in pairs; even odds, which a slot without counts gives, stay alone.
+COARSE = np.tile(16 + np.sign(np.arange(64) - 32) * np.minimum(15, (np.abs(np.arange(64) - 32) + 1) // 2), 4)
+#: The value from 0 on that is nearest to a place's own prediction.
+PRIOR_BIN = np.searchsorted((VALUES[33:] + VALUES[32:-1]) / 2, np.arange(1 << 16).astype(np.uint16).view(np.int16) / PRIOR_UNITS).astype(np.uint8)
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -323,8 +339,7 @@ class Model:
             inputs, level = [], np.zeros(len(bit), np.uint8)
             for k, slot in enumerate(slots(contexts, step, bits)):
                 said = self.says[k].take(slot)
-                stands = said >> np.uint8(6)
-                np.maximum(level, (stands + np.uint8(3 * k)) * (stands != 0), out=level)
+                np.maximum(level, LEVEL[k].take(said), out=level)
                 inputs.append(INPUT.take(said.astype(np.intp)))
             gate = (gate + level).astype(np.intp)
             mixed = own.take(gate) * prior
@@ -435,43 +450,166 @@ def _sum(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
+def _aligned(encoded: Encoded, book: Book) -> Iterator[tuple[bool, np.ndarray, Callable[[], Iterator[tuple[list[np.ndarray], np.ndarray]]]]]:
+    """(whether bytes, first bits of texts, what gives contexts and steps of the code), texts whole; of a text of over ``LONG_BITS``, in slices."""
+    for spelled, code, symbols, doc, contexts in (
+        (False, book.words, encoded.word, encoded.word_doc, encoded.word_contexts), (True, book.bytes, encoded.byte, encoded.byte_doc, encoded.byte_contexts),
+    ):
+        if not len(symbols):
+            continue
+        length, start = code.length[symbols], code.start[symbols]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        cuts = np.concatenate([[0], np.flatnonzero(doc[1:] != doc[:-1]) + 1, [len(doc)]])
+        upto = ends[cuts]
+
+        def slices(lo: int, hi: int, code=code, length=length, start=start, ends=ends, contexts=contexts) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+            while lo < hi:
+                to = min(hi, max(lo + 1, int(np.searchsorted(ends, ends[lo] + LONG_BITS, "right")) - 1))
+                n = length[lo:to]
+                place = np.arange(int(n.sum()))
+                place += np.repeat(start[lo:to] - (ends[lo:to] - ends[lo]), n)
+                yield [np.repeat(c[lo:to], n) for c in contexts], code.steps.take(place)
+                lo = to
+
+        at = 0
+        while at < len(cuts) - 1:
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + STEP_BITS, "right")) - 1)
+            yield spelled, upto[at : to + 1] - upto[at], partial(slices, int(cuts[at]), int(cuts[to]))
+            at = to
+
+
+class Tally:
+    """How often each bit is met under each gate, prediction of the predictors and prediction of its place, a text's own bits left out."""
+
+    def __init__(self, book: Book, table: np.ndarray) -> None:
+        self.book, self.table = book, table
+        self.bits = int(table.shape[1]).bit_length() - 1
+        self.counts = np.zeros(WORD_CELLS + BYTE_CELLS, np.uint32)
+        self.own = np.zeros(1 << self.bits, np.uint64)  # of the text at hand: bits of 0 in the low half, of 1 in the high half
+
+    def _said(self, k: int, slot: np.ndarray, own: np.ndarray) -> np.ndarray:
+        packed, own = self.table[k].take(slot).astype(np.intp), own.view(np.int64)
+        zero, one = (packed & 255) << 8, packed & 0xFF00
+        many = np.flatnonzero(own & ~0xFF000000FF)
+        if len(many):
+            own, large = own.copy(), own[many]
+            own[many] = 0
+        zero |= own & 255
+        one |= own >> 32
+        left = LESS.take(zero) | LESS_ONE.take(one)
+        if len(many):
+            few = (quantised(np.maximum(_N[q[many] >> 8] - mine, 0)).astype(np.uint16) for q, mine in ((zero, large & 0xFFFFFFFF), (one, large >> 32)))
+            left[many] = next(few) | next(few) << np.uint16(8)
+        return SAYS.take(left)
+
+    def _count(self, spelled: bool, step: np.ndarray, places: list[np.ndarray], own: list[np.ndarray]) -> None:
+        level, cell = np.zeros(len(step), np.uint8), np.zeros(len(step), np.intp)
+        for k, slot in enumerate(places):
+            said = self._said(k, slot, own[k])
+            np.maximum(level, LEVEL[k].take(said), out=level)
+            cell <<= 5
+            cell |= COARSE.take(said)
+        place = (step >> np.uint64(PLACE_AT)).astype(np.intp) & 7
+        prior = PRIOR_BIN.take((step >> np.uint64(PRIOR_AT)).astype(np.uint16)).astype(np.intp)
+        if spelled:
+            cell |= ((place - 3) * LEVELS + level) << 15
+            cell = WORD_CELLS + (cell << 5 | prior >> 1 << 1)
+        else:
+            cell |= (place * LEVELS + level) << 10
+            cell = cell << 6 | prior << 1
+        cell |= step.astype(np.intp) & 1
+        np.add.at(self.counts, cell, np.uint32(1))
+
+    def add(self, texts: list[list[bytes]]) -> None:
+        for spelled, firsts, slices in _aligned(encode(texts, self.book), self.book):
+            if firsts[-1] > LONG_BITS:  # one text
+                owns = np.zeros((PREDICTORS, len(self.own)), np.uint64)
+                for contexts, step in slices():
+                    for k, slot in enumerate(slots(contexts, step, self.bits)):
+                        np.add.at(owns[k], slot, ONES.take(step.astype(np.intp) & 1))
+                for contexts, step in slices():
+                    places = slots(contexts, step, self.bits)
+                    self._count(spelled, step, places, [owns[k].take(slot) for k, slot in enumerate(places)])
+                continue
+            for contexts, step in slices():
+                one, own, places = ONES.take(step.astype(np.intp) & 1), [], slots(contexts, step, self.bits)
+                for slot in places:
+                    own.append(np.empty(len(slot), np.uint64))
+                    for lo, hi in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+                        part = slot[lo:hi]
+                        np.add.at(self.own, part, one[lo:hi])
+                        own[-1][lo:hi] = self.own.take(part)
+                        self.own[part] = 0
+                self._count(spelled, step, places, own)
+
+
+def _cells(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of cells to their gates and inputs, the place's own prediction first."""
+    priors = VALUES[32:]
+    values = np.bincount(COARSE[:64], VALUES, 32) / np.maximum(np.bincount(COARSE[:64], minlength=32), 1)
+    spelled = at >= WORD_CELLS // 2
+    word, byte = at[~spelled], at[spelled] - WORD_CELLS // 2
+    gate, x = np.empty(len(at), np.int64), np.zeros((PREDICTORS + 1, len(at)))
+    gate[~spelled], gate[spelled] = word >> 15, 3 * LEVELS + (byte >> 19)
+    x[0, ~spelled], x[0, spelled] = priors[word & 31], ((priors[::2] + priors[1::2]) / 2)[byte & 15]
+    for k in range(2):
+        x[k + 1, ~spelled] = values[word >> (10 - 5 * k) & 31]
+    for k in range(3):
+        x[k + 1, spelled] = values[byte >> (14 - 5 * k) & 31]
+    return gate, x
+
+
+def solved(at: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of least cost over all bits, by Newton's steps in each gate, and the map; from the filled pairs of cells, in order, with their counts."""
+    gate, x = _cells(at)
+    zeros, ones = zeros.astype(np.float64), ones.astype(np.float64)
+    plain = plain_weights().astype(np.float64)
+    size = PREDICTORS + 1
+
+    def mixed(w: np.ndarray) -> np.ndarray:
+        return np.clip(sum(w[gate, k] * x[k] for k in range(size)), -REACH_LOG, REACH_LOG)
+
+    def cost(w: np.ndarray) -> np.ndarray:
+        m = mixed(w)
+        return np.bincount(gate, ones * np.logaddexp(0, -m) + zeros * np.logaddexp(0, m), GATES) + ((w - plain) ** 2).sum(axis=1) / 2
+
+    weights = plain
+    least = cost(weights)
+    for _ in range(NEWTON_STEPS):
+        p = 1 / (1 + np.exp(-mixed(weights)))
+        off, curve = ones - (ones + zeros) * p, (ones + zeros) * p * (1 - p)
+        slope = np.stack([np.bincount(gate, off * x[k], GATES) for k in range(size)], axis=1) - (weights - plain)
+        bend = np.tile(np.eye(size), (GATES, 1, 1))
+        for i in range(size):
+            for j in range(i, size):
+                bend[:, i, j] += (found := np.bincount(gate, curve * x[i] * x[j], GATES))
+                if j > i:
+                    bend[:, j, i] += found
+        step = np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
+        for _ in range(8):  # shorter in gates that a whole step would make worse
+            new = cost(weights + step)
+            worse = new > least
+            if not worse.any():
+                break
+            step[worse] /= 4
+        step[new > least] = 0
+        weights, least = weights + step, np.minimum(new, least)
+        if np.abs(step).max() < 1e-6:
+            break
+    weights = weights.astype(np.float32)
+    bins = gate * MAP_BINS + np.rint((mixed(weights.astype(np.float64)) + REACH_LOG) * ((MAP_BINS - 1) / (2 * REACH_LOG))).astype(np.int64)
+    hits, shots = np.bincount(bins, ones, GATES * MAP_BINS), np.bincount(bins, ones + zeros, GATES * MAP_BINS)
+    refine = plain_map()
+    return weights, (hits.reshape(refine.shape) + 8 * refine) / (shots.reshape(refine.shape) + 8)
+
+
 def fit(texts: list[bytes], book: Book, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and map, learned online text by text; a text's own bits are taken out of the counts that predict it."""
-    weights, refine = plain_weights().astype(np.float64), plain_map()
-    moved = np.full(weights.shape, 1e-3)
-    bits = int(table.shape[1]).bit_length() - 1
-    hits, shots = np.zeros(GATES * MAP_BINS), np.zeros(GATES * MAP_BINS)
-    for turn in range(ROUNDS + 1):
-        for text in texts:
-            steps = list(encode([tokens(text)], book).steps(book))
-            bit, gates, prior = fields(np.concatenate([s[3] for s in steps]))
-            inputs, level = [prior.astype(np.float64)], np.zeros(len(bit), np.uint8)
-            places = [slots(s[2], s[3], bits) for s in steps]
-            for k in range(PREDICTORS):
-                slot = np.concatenate([p[k] if k < len(p) else np.full(len(p[0]), -1) for p in places])
-                none = slot < 0
-                _, where = np.unique(slot, return_inverse=True)
-                packed = table[k][slot]
-                n0 = np.maximum(_N[packed & 255] - np.bincount(where, 1 - bit)[where], 0)
-                n1 = np.maximum(_N[packed >> 8] - np.bincount(where, bit)[where], 0)
-                n0[none] = n1[none] = 0
-                inputs.append(np.log((n1 + DELTA) / (n0 + DELTA)))
-                np.maximum(level, np.where(n0 + n1 < 0.5, 0, 3 * k + 1 + (n0 + n1 > 1.5) + (n0 + n1 > 4.5)).astype(np.uint8), out=level)
-            gates = (gates + level).astype(np.int64)
-            for at in range(0, len(bit), 4096):
-                gate, x = gates[at : at + 4096], [i[at : at + 4096] for i in inputs]
-                mixed = np.clip(sum(weights[gate, k] * x[k] for k in range(PREDICTORS + 1)), -REACH_LOG, REACH_LOG)
-                if turn == ROUNDS:
-                    bins = gate * MAP_BINS + np.rint((mixed + REACH_LOG) * ((MAP_BINS - 1) / (2 * REACH_LOG))).astype(np.int64)
-                    hits += np.bincount(bins, bit[at : at + 4096], GATES * MAP_BINS)
-                    shots += np.bincount(bins, minlength=GATES * MAP_BINS)
-                    continue
-                off = bit[at : at + 4096] - 1 / (1 + np.exp(-mixed))
-                for k in range(PREDICTORS + 1):
-                    slope = np.bincount(gate, off * x[k], GATES)
-                    moved[:, k] += slope * slope
-                    weights[:, k] += RATE * slope / np.sqrt(moved[:, k])
-    return weights.astype(np.float32), (hits.reshape(refine.shape) + 8 * refine) / (shots.reshape(refine.shape) + 8)
+    """Weights and map learned from texts; a text's own bits are taken out of the counts that predict it."""
+    tally = Tally(book, table)
+    tally.add([tokens(t) for t in texts])
+    pairs = tally.counts.reshape(-1, 2)
+    at = np.flatnonzero(pairs.any(axis=1))
+    return solved(at, pairs[at, 0], pairs[at, 1])
 
 
 def shares(lengths: list[int], most: int) -> int:
@@ -494,15 +632,40 @@ def part(text: bytes, most: int) -> bytes:
     return b" ".join(cut)
 
 
-def _fit(shared, sample_bytes: int):
-    def learn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, table = shared.value
-        texts = [t for batch in it for t in utf8(batch.column(0))]  # in order of their hashes
-        most = shares([len(t) for t in texts], sample_bytes)
-        weights, refine = fit([part(t, most) for t in texts], book, table) if texts else (plain_weights(), plain_map())
-        yield pa.RecordBatch.from_arrays([pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([refine.astype("<f8").tobytes()], pa.binary())], ["weights", "map"])
+def _tally(shared):
+    def tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts to how often bits are met, in compressed parts."""
+        found = Tally(*shared.value)
+        for texts in _batched(it, 0):
+            found.add([tokens(t) for t in texts])
+        pack = zstandard.ZstdCompressor(level=1)
+        parts = found.counts.reshape(-1, TALLY_CHUNK)
+        for c in np.flatnonzero(parts.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([pack.compress(parts[c].tobytes())], pa.binary())], ["chunk", "counts"])
+
+    return tally
+
+
+def _filled(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of compressed parts to the filled pairs of cells of each, with their counts."""
+    unpack = zstandard.ZstdDecompressor()
+    name, total = None, np.empty(0, np.int64)
+
+    def done() -> pa.RecordBatch:
+        pairs = total.reshape(-1, 2)
+        at = np.flatnonzero(pairs.any(axis=1))
+        packed = [(at + name * (TALLY_CHUNK // 2)).astype("<i4"), pairs[at, 0].astype("<i8"), pairs[at, 1].astype("<i8")]
+        return pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], ["chunk", "at", "zeros", "ones"])
 
-    return learn
+    for batch in it:
+        for c, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if c != name:
+                if name is not None:
+                    yield done()
+                name, total = c, np.zeros(TALLY_CHUNK, np.int64)
+            total += np.frombuffer(unpack.decompress(raw), np.uint32)
+    if name is not None:
+        yield done()
 
 
 DOC, WORD = 0, 1
@@ -608,8 +771,11 @@ def picked(train: DataFrame, sample_texts: int) -> DataFrame:
     return train.where("text is not null").orderBy("at", "text").limit(sample_texts).repartition(1).sortWithinPartitions("at", "text")
 
 
-def learn(train: DataFrame, n: int, vocabulary: DataFrame, size: int, sample_texts: int = SAMPLE_TEXTS, most_bits: int = MOST_BITS) -> Model:
-    """A model of the rows (text, at) of ``train``, with ``n`` tokens and ``size`` bytes; ``at`` is a hash that picks the sample."""
+def learn(train: DataFrame, n: int, vocabulary: DataFrame, size: int, sample_texts: int | None = None, most_bits: int = MOST_BITS) -> Model:
+    """A model of the rows (text, at) of ``train``, with ``n`` tokens and ``size`` bytes; ``at`` is a hash.
+
+    Weights come from all texts, or from ``sample_texts`` of them where a caller asks for that.
+    """
     spark = train.sparkSession
     book = code_book(vocabulary, n)
     bits = max(LEAST_BITS, min(most_bits, (4 * n).bit_length()))
@@ -622,11 +788,11 @@ def learn(train: DataFrame, n: int, vocabulary: DataFrame, size: int, sample_tex
         part = np.frombuffer(r["counts"], "<u2")
         table[r.k, r.chunk * len(part) : (r.chunk + 1) * len(part)] = part
     learned = spark.sparkContext.broadcast((book, table))
-    chosen = picked(train, sample_texts).select("text").mapInArrow(_fit(learned, SAMPLE_BYTES), "weights binary, map binary").first()
-    weights, refine = plain_weights(), plain_map()
-    if chosen:
-        weights = np.frombuffer(chosen["weights"], "<f4").reshape(weights.shape)
-        refine = np.frombuffer(chosen["map"], "<f8").reshape(refine.shape)
+    chosen = picked(train, sample_texts) if sample_texts else train.coalesce(tasks)
+    parts = chosen.select("text").mapInArrow(_tally(learned), "chunk int, counts binary")
+    filled = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_filled, "chunk int, at binary, zeros binary, ones binary")
+    rows = sorted(filled.collect())  # at most WORD_CELLS + BYTE_CELLS counts, of which few are filled
+    weights, refine = solved(*(np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((1, "<i4"), (2, "<i8"), (3, "<i8"))))
     return Model.of(book, table, weights, refine)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -573,3 +574,48 @@ def test_the_sample_is_of_one_size(spark):
     piece = lm_scoring.part(text, 200)
     assert piece in text and 150 < len(piece) <= 200 and set(piece.split()) <= set(text.split()) and lm_scoring.part(text, 5000) == text
     assert lm_scoring.part(b"x" * 1000, 100) == b"x" * 100
+
+
+def test_weights_come_from_all_training_texts(spark, monkeypatch):
+    """Every training text's bits are counted, in any parts and slices; a text's own bits are left out."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{min(int(rng.expovariate(0.05)), 200)}" for _ in range(rng.randrange(5, 60))) for _ in range(700)]
+    texts += [None, "", " ".join(rng.choice(["aa", "bb", "w1"]) for _ in range(3000))]
+    docs = spark.createDataFrame([(i, t, i % 7 == 2) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    seen, learned = [], lm_scoring.solved
+    monkeypatch.setattr(lm_scoring, "solved", lambda *a: seen.append(a) or learned(*a))
+    for n in (2, 7):
+        lm_scoring.scores(docs.repartition(n)).count()
+    (at, zeros, ones), again = seen
+    assert all((a == b).all() for a, b in zip(seen[0], again, strict=True))
+
+    train = [lm_scoring.tokens(t.encode() if t is not None else None) for i, t in enumerate(texts) if i % 7 != 2]
+    counts = Counter(w for t in train for w in t)
+    words = sorted((w for w in counts if counts[w] >= lm_scoring.LEAST_COUNT and w != lm_scoring.END), key=lambda w: (-counts[w], w))
+    spelled = Counter(c for w, n in counts.items() if w not in words and w != lm_scoring.END for c in (w + b" ") * n)
+    known = sum(counts[w] for w in words)
+    total = sum(counts.values())
+    book = lm_scoring.Book(words, [counts[w] for w in words], len(train), total - known - len(train), [spelled[c] for c in range(256)])
+    bits = max(lm_scoring.LEAST_BITS, (4 * total).bit_length())
+    table, every = np.zeros((lm_scoring.PREDICTORS, 2 << bits), np.int64), 0
+    for _, _, contexts, step in lm_scoring.encode(train, book).steps(book):
+        every += len(step)
+        for k, slot in enumerate(lm_scoring.slots(contexts, step, bits)):
+            np.add.at(table[k], slot * 2 + (step & np.uint64(1)).astype(int), 1)
+    assert zeros.sum() + ones.sum() == every
+    packed = np.stack([lm_scoring.quantised(t).view("<u2") for t in table])
+    for long in (lm_scoring.LONG_BITS, 500):  # a long text in slices gives the same
+        monkeypatch.setattr(lm_scoring, "LONG_BITS", long)
+        monkeypatch.setattr(lm_scoring, "STEP_BITS", min(long, lm_scoring.STEP_BITS))
+        tally = lm_scoring.Tally(book, packed)
+        tally.add(train)
+        pairs = tally.counts.reshape(-1, 2)
+        assert (np.flatnonzero(pairs.any(axis=1)) == at).all() and (pairs[at] == np.stack([zeros, ones], axis=1)).all()
+    single = np.zeros_like(table)
+    for _, _, contexts, step in lm_scoring.encode(train[:1], book).steps(book):
+        for k, slot in enumerate(lm_scoring.slots(contexts, step, bits)):
+            np.add.at(single[k], slot * 2 + (step & np.uint64(1)).astype(int), 1)
+    alone = lm_scoring.Tally(book, np.stack([lm_scoring.quantised(t).view("<u2") for t in single]))
+    alone.add(train[:1])
+    gates, inputs = lm_scoring._cells(np.flatnonzero(alone.counts.reshape(-1, 2).any(axis=1)))
+    assert (np.abs(inputs[1:]) < 0.3).all()  # counts of the text alone say nothing once they are left out
