@@ -9,11 +9,14 @@ from framegrid.config import Table
 from framegrid.functions import exprs as E
 
 
-def cell_strings(placed: DataFrame, table: Table = Table()) -> DataFrame:
-    """Labels of a cell joined in time order, duplicates kept; partial lists are built before the one shuffle."""
+def cell_strings(placed: DataFrame, table: Table = Table(), *span: Column) -> DataFrame:
+    """Labels of a cell joined in time order, duplicates kept; partial lists are built before the one shuffle.
+
+    For a stream, ``span`` is the cell's window of event time, by which the watermark closes it.
+    """
     listed = F.array_sort(F.collect_list(F.struct("time_s", "ord", "event")))
     joined = F.array_join(F.transform(listed, lambda x: x["event"]), table.separator)
-    return placed.groupBy("document", "col_idx", "row_idx").agg(joined.alias("cell"))
+    return placed.groupBy("document", "col_idx", "row_idx", *span).agg(joined.alias("cell")).select("document", "col_idx", "row_idx", "cell")
 
 
 def axis_columns(table: Table = Table()) -> Column:

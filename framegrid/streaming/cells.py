@@ -1,52 +1,23 @@
 """Table cells from a stream of positions: each cell's events are held, ordered, and given once when the watermark has passed its end.
 
-Positions may come in any order. What is later than ``late`` behind the newest time seen is left out, as Spark leaves out late rows; all else
-gives the text that a batch over the same positions gives. State is one list for each open cell, so it follows the recordings that
-run at a time, not their number; it needs Spark's RocksDB state store, which ``run`` chooses for its query.
+Positions may come in any order. One is left out only if its cell was given before it came: when the watermark, ``late`` behind the
+newest time of earlier batches, had passed the cell's end. All else gives the text that a batch over the same positions gives. State is
+one list for each open cell, so it follows the recordings that run at a time, not their number. Spark's own aggregation keeps it, so no
+Python runs for a cell, in the RocksDB state store, which ``run`` chooses for its query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framegrid.config import Grid, Table
 from framegrid.functions import exprs as E
-from framegrid.operators import locate
+from framegrid.operators import fill, locate
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class Cells(StatefulProcessor):
-    """Events by (document, col_idx, row_idx); a timer at the cell's end."""
-
-    def __init__(self, table: Table) -> None:
-        self.table = table
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.events = handle.getListState("events", "time_s double, ord bigint, event string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        if not self.events.exists():
-            _, column, row = key
-            self.handle.registerTimer(1000 * (self.table.start_s + self.table.column_s * column + self.table.cell_s * (row + 1)))
-        self.events.appendList([(r.time_s, r.ord, r.event) for r in rows])
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        held = sorted((tuple(e) for e in self.events.get()), key=lambda e: e[:2])
-        self.events.clear()
-        document, column, row = key
-        yield Row(document=document, col_idx=column, row_idx=row, cell=self.table.separator.join(e[2] for e in held))
-
-    def close(self) -> None:
-        pass
-
-
 def cells(samples: DataFrame, symbols: DataFrame, grid: Grid = Grid(), table: Table = Table(), late: str = "1 minute") -> DataFrame:
     """A stream of (document, ord, file, time_s, status, px, py) to a stream of (document, col_idx, row_idx, cell).
 
@@ -57,10 +28,7 @@ def cells(samples: DataFrame, symbols: DataFrame, grid: Grid = Grid(), table: Ta
     inside = timed.where(E.in_table(F.unix_millis("at") / 1000, table))
     column, row = E.time_cell(F.col("time_s"), table)
     placed = inside.select("document", column.alias("col_idx"), row.alias("row_idx"), "time_s", "ord", "event", "at")
-    document = samples.schema["document"].dataType.simpleString()
-    return placed.groupBy("document", "col_idx", "row_idx").transformWithState(
-        Cells(table), f"document {document}, col_idx int, row_idx int, cell string", "append", "eventTime"
-    )
+    return fill.cell_strings(placed, table, F.window("at", f"{table.cell_s} seconds", startTime=f"{table.start_s % table.cell_s} seconds"))
 
 
 def run(closed: DataFrame, out: str, checkpoint: str) -> DataFrame:

@@ -116,6 +116,21 @@ def test_streamed_cells(spark, tmp_path):
     assert sorted(map(tuple, result.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_streamed_cells_are_kept_until_they_close(spark, tmp_path):
+    """A position behind the watermark is kept while its cell is open, and no Python runs for a cell."""
+    fields = "document long, ord long, file string, time_s double, status string, px int, py int"
+    symbols = spark.createDataFrame([(0, 0, "a", 0)], "row int, col int, symbol string, ord long")
+    (tmp_path / "in").mkdir()
+    got = []
+    for part in ([(1, 0, "f", 41.0, "found", 5, 5), (1, 1, "f", 50.0, "empty", None, None)], [(1, 2, "f", 45.0, "found", 99, 99)], [(1, 3, "f", 55.0, "empty", None, None)],
+                 [(1, 4, "f", 54.9, "found", 5, 5), (2, 5, "f", 5000.0, "empty", None, None)]):
+        spark.createDataFrame(part, fields).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = cells.cells(spark.readStream.schema(fields).parquet(str(tmp_path / "in")), symbols, late="0 seconds")
+        got.append(sorted(map(tuple, cells.run(stream, str(tmp_path / "out"), str(tmp_path / "state")).collect())))
+    assert got == [[], [], [(1, 0, 0, "a_UN_EM")], [(1, 0, 0, "a_UN_EM"), (1, 0, 1, "EM")]]  # 54.9 comes after its cell was given
+    assert "Python" not in stream._jdf.queryExecution().toString()
+
+
 def test_frame_plan():
     assert video.plan(60.4, 50000, pipeline.Sampling())[2] == 181
     assert video.plan(0, 3000, pipeline.Sampling()) == (1200, 3000, 90)
