@@ -4,7 +4,7 @@ The vocabulary gives each byte string a rank, which is its id. A pattern splits
 pre-tokens of many texts at once as one array of bytes: a 64-bit hash of each finds its bucket, the bucket's displacement its
 slot, of which there are exactly as many as entries, and the bytes in the slot are compared. What the vocabulary does not
 hold goes to the second tier: the bytes are a linked list, a heap gives the adjacent pair of least rank, the leftmost of
-equals, until no pair is an entry. A word that a task has merged is kept, also for its next tasks, until its table is full.
+equals, until no pair is an entry; in a short piece a search of the list gives that pair, which is faster there. A word that a task has merged is kept, also for its next tasks, until its table is full.
 
 Cases: a null text counts as empty and gives no ids; a text that is not valid UTF-8 has its bad bytes replaced by U+FFFD;
 long texts are split in parts between matches, so memory follows the longest match and not the text; repeated rows give the
@@ -35,6 +35,8 @@ KEPT_BYTES = 1 << 27
 MOST_VOCABULARY_BYTES = 1 << 26
 #: Entries per bucket of the hash, and displacements that are tried at a time.
 PER_BUCKET, TRIED = 4, 64
+#: Bytes of a piece whose least pair is found by search, and what is more than any rank.
+SHORT_PIECE, NO_RANK = 32, 1 << 62
 #: What stands for a later code point while a text is split: a sign that is no letter, digit or space.
 PLAIN_SIGN = "␀"
 
@@ -188,12 +190,28 @@ def pairs_of_bytes(rank: dict[bytes, int]) -> list[int | None]:
     return [rank.get(bytes((a, b))) for a in range(256) for b in range(256)]
 
 
+def _merged_short(piece: bytes, rank: dict[bytes, int], pairs: list[int | None]) -> list[int]:
+    cuts = list(range(len(piece) + 1))
+    ranks = [NO_RANK if (r := pairs[a << 8 | b]) is None else r for a, b in zip(piece, piece[1:], strict=False)]
+    get = rank.get
+    while ranks and (least := min(ranks)) < NO_RANK:
+        i = ranks.index(least)
+        del ranks[i], cuts[i + 1]
+        if i < len(ranks):
+            ranks[i] = get(piece[cuts[i] : cuts[i + 2]], NO_RANK)
+        if i:
+            ranks[i - 1] = get(piece[cuts[i - 1] : cuts[i + 1]], NO_RANK)
+    return [rank[piece[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def merged(piece: bytes, rank: dict[bytes, int], pairs: list[int | None]) -> list[int]:
     """The ids of a piece: always the pair of least rank is joined, the leftmost of equals.
 
-    The heap holds a pair's rank, begin and end as one number.
+    A short piece is searched for that pair each time. The heap of a longer one holds a pair's rank, begin and end as one number.
     """
     n = len(piece)
+    if n <= SHORT_PIECE:
+        return _merged_short(piece, rank, pairs)
     bits = n.bit_length()
     ones = (1 << bits) - 1
     end = list(range(1, n + 1))  # the end of the part that begins here, where the part after it begins; 0 for a part that was joined

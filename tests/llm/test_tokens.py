@@ -139,6 +139,25 @@ def test_merges_by_heap():
         assert byte_bpe.merged(piece, rank, byte_bpe.pairs_of_bytes(rank)) == plain_merge(piece, rank)
 
 
+def test_short_pieces_need_no_heap(model, monkeypatch):
+    """Pieces about the bound, by search and by heap, against the definition."""
+    rng = random.Random(11)
+    rank = {e: int(i) for e, i in zip(model.entries, model.ids, strict=True)}
+    pairs = byte_bpe.pairs_of_bytes(rank)
+    words = ["".join(rng.choices("etaoinshr dlu", k=rng.randrange(2, 45))).encode() for _ in range(300)] + [b"a" * k for k in range(1, 40)] + ["é漢ж".encode() * 3, bytes(range(200, 230))]
+    want = [plain_merge(w, rank) for w in words]
+    for bound in (0, byte_bpe.SHORT_PIECE, 100):
+        monkeypatch.setattr(byte_bpe, "SHORT_PIECE", bound)
+        assert [byte_bpe.merged(w, rank, pairs) for w in words] == want
+
+    def no_heap(*_):
+        raise AssertionError("a heap for a short piece")
+
+    monkeypatch.undo()
+    monkeypatch.setattr(byte_bpe.heapq, "heapify", no_heap)
+    assert byte_bpe.merged(b" thonerenhast", rank, pairs) == plain_merge(b" thonerenhast", rank)
+
+
 def random_texts() -> list[str]:
     rng = random.Random(5)
     pool = [*map(chr, range(32, 127)), *"éàüßñçœ漢字かなкириллица  \n\t  ٣४", *(chr(rng.randrange(0x80, 0x3000)) for _ in range(300)), *(chr(rng.randrange(0x1F300, 0x1FAFF)) for _ in range(60))]
