@@ -39,6 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -60,6 +61,8 @@ CHUNK_SLOTS = 1 << 14
 GROUP = 3
 #: Bits of text that are worked on together: small enough for the processor's cache.
 STEP_BITS = 16_384
+#: Of pairs of words, so many.
+PAIRS = 1024
 #: Bits from which a text's own are counted in slices, so that memory follows the slice.
 LONG_BITS = 1 << 20
 #: Tokens of a segment, bytes that are encoded together, bytes of a block of texts.
@@ -92,14 +95,13 @@ PRIOR_UNITS = 1024
 #: What a packed count is on that scale when so many of it are left out.
 LESS = np.minimum(255, np.rint(np.log2(1 + np.maximum(_N[:, None] - np.arange(256), 0)) * 10)).astype(np.uint16).ravel()
 LESS_ONE = LESS << np.uint16(8)
-#: One bit of 0, and of 1, of a text's own; and the level of what a predictor says.
-ONES = np.array([1, 1 << 32], np.uint64)
-LEVEL = [((np.arange(256) >> 6) + 3 * k).astype(np.uint8) * (np.arange(256) > 63).astype(np.uint8) for k in range(PREDICTORS)]
 #: Cells of the counts that weights are learned from: place and level, 32 values a predictor, 32 (for bytes 16) of the place's own prediction, the bit.
 WORD_CELLS, BYTE_CELLS = 3 * LEVELS << 16, 2 * LEVELS << 20
 TALLY_CHUNK = 1 << 16
 #: Predictions in pairs; even odds, which a slot without counts gives, stay alone.
 COARSE = np.tile(16 + np.sign(np.arange(64) - 32) * np.minimum(15, (np.abs(np.arange(64) - 32) + 1) // 2), 4)
+#: What a slot says with its prediction in pairs (low five bits), and how much stands behind it.
+TOLD = (COARSE[SAYS] | SAYS >> 6 << 5).astype(np.uint8)
 #: The value from 0 on that is nearest to a place's own prediction.
 PRIOR_BIN = np.searchsorted((VALUES[33:] + VALUES[32:-1]) / 2, np.arange(1 << 16).astype(np.uint16).view(np.int16) / PRIOR_UNITS).astype(np.uint8)
 
@@ -109,13 +111,30 @@ def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
-@dataclass
 class Code:
-    """A Huffman code: symbol s takes the steps start[s] to start[s] + length[s], each packed with all that is known of it."""
+    """A Huffman code: symbol s takes the steps start[s] to start[s] + length[s], each packed with all that is known of it.
+
+    It is sent to tasks as its tree: what stands above each symbol and node, on which side, and each node's fields. The steps are some ten times that.
+    """
+
+    def __init__(self, above: np.ndarray, side: np.ndarray, packed: np.ndarray) -> None:
+        self.above, self.side, self.packed = above, side, packed
+        n, top = len(packed) + 1, len(above) - 1
+        self.length, at = np.zeros(n, np.int64), np.arange(n)
+        while (below := at < top).any():  # from the symbols up, all at once
+            self.length += below
+            at = np.where(below, above[np.minimum(at, top - 1)], top)
+        self.start = np.cumsum(self.length) - self.length
+        self.steps = np.empty(int(self.length.sum()), np.uint64)
+        at, place = np.arange(n), self.start + self.length - 1
+        while len(at):
+            self.steps[place] = packed[above[at] - n] | side[at]
+            at, place = above[at], place - 1
+            below = at != top
+            at, place = at[below], place[below]
 
-    start: np.ndarray
-    length: np.ndarray
-    steps: np.ndarray
+    def __reduce__(self) -> tuple:
+        return Code, (self.above, self.side, self.packed)
 
     @staticmethod
     def of(counts: list[int], salt: int, places: list[int]) -> Code:
@@ -142,21 +161,11 @@ class Code:
                 group[node], local[node] = node, 1
             else:
                 group[node], local[node] = group[up], 2 * local[up] + side[at]
-        above, side = np.array(above), np.array(side)
-        length = np.array(depth)[above[:n] - n] + 1
-        start = np.cumsum(length) - length
-        nodes, bits = np.empty(int(length.sum()), np.int32), np.empty(int(length.sum()), np.uint64)
-        at, place = np.arange(n), start + length - 1
-        while len(at):  # from the symbols up, all at once
-            nodes[place], bits[place] = above[at] - n, side[at]
-            at, place = above[at], place - 1
-            below = at != top
-            at, place = at[below], place[below]
         prior = np.rint(PRIOR_UNITS * np.log((np.array(ones) + 0.4) / (np.array(zeros) + 0.4))).astype(np.int16).view(np.uint16)
         hashes = _hash32(np.array(group, np.uint64) + np.uint64((salt + 1) << 32))
         place = salt + np.digitize(depth, places)
         packed = sum(np.asarray(x).astype(np.uint64) << np.uint64(at) for x, at in ((local, LOCAL_AT), (place, PLACE_AT), (prior, PRIOR_AT), (hashes, HASH_AT)))
-        return Code(start, length, packed[nodes] | bits)
+        return Code(np.array(above, np.int32), np.array(side, np.uint8), packed)
 
 
 def _hash32(x: np.ndarray) -> np.ndarray:
@@ -175,6 +184,8 @@ class Book:
         self.words = Code.of([escaped + 1, max(ends, 1), *counts], 0, [1, 5])
         self.bytes = Code.of([c + 1 for c in spelled], 3, [2])
         self.hashes = _hash32(np.arange(len(words) + 2, dtype=np.uint64) + np.uint64(1))
+        #: Of no frequent word, then of each.
+        self.frequent = np.concatenate([np.array([7], np.uint32), self.hashes[STOP + 1 : STOP + 1 + FREQUENT]])
 
 
 @dataclass
@@ -187,6 +198,7 @@ class Encoded:
     byte: np.ndarray
     byte_doc: np.ndarray
     byte_contexts: list[np.ndarray]
+    frequent: np.ndarray  # the number of each word's last frequent word, or 0
 
     def steps(self, book: Book) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
         """(texts, their first bits, contexts, steps of the code) in slices."""
@@ -198,14 +210,20 @@ class Encoded:
                 to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP_BITS)))
                 n = length[at:to]
                 first = ends[at:to] - n - (ends[at - 1] if at else 0)
-                place = np.arange(int(first[-1] + n[-1]))
-                place += np.repeat(start[at:to] - first, n)
                 d = doc[at:to]
                 new = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-                yield d[new], first[new], [np.repeat(c[at:to], n) for c in contexts], code.steps.take(place)
+                yield d[new], first[new], *_spread(code, start[at:to], n, [c[at:to] for c in contexts])
                 at = to
 
 
+def _spread(code: Code, start: np.ndarray, n: np.ndarray, contexts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Contexts and steps of the code for each bit of symbols, which take n steps from start."""
+    ends = np.cumsum(n)
+    place = np.arange(int(ends[-1]))
+    place += np.repeat(start - (ends - n), n)
+    return [np.repeat(c, n) for c in contexts], code.steps.take(place, mode="wrap")
+
+
 def _both(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = (a * _MUL + b + np.uint32(salt)) * _MIX
@@ -260,7 +278,8 @@ def encode(texts: list[list[bytes]], book: Book) -> Encoded:
     often = np.where((symbol > STOP) & (symbol < FREQUENT + 2), at, -1)
     last = np.concatenate([[-1], np.maximum.accumulate(often)[:-1]]) if n else often
     known = (last >= first) & (last >= at - REACH)
-    frequent = np.where(known, book.hashes[symbol[np.maximum(last, 0)]], np.uint32(7))
+    of = np.where(known, symbol[np.maximum(last, 0)] - STOP, 0)
+    frequent = book.frequent[of]
     before = np.concatenate([np.zeros(1, np.uint32), hashes[:-1]])
     before[at == first] = 0
     words = [_both(frequent, np.uint32(0), 11), _both(before, np.uint32(0), 17)]
@@ -272,21 +291,42 @@ def encode(texts: list[list[bytes]], book: Book) -> Encoded:
     two = raw[spot - 1] | raw[spot - 2] << np.uint32(8)
     four = two | raw[spot - 3] << np.uint32(16) | raw[spot - 4] << np.uint32(24)
     spelled_contexts = [_both(frequent[owner], two, 23), _both(four, np.uint32(0), 31), _both(so_far[wanted_bytes], np.uint32(0), 37)]
-    return Encoded(symbol[wanted], doc[wanted], [w[wanted] for w in words], raw[spot].astype(np.int64), doc[owner], spelled_contexts)
+    return Encoded(symbol[wanted], doc[wanted], [w[wanted] for w in words], raw[spot].astype(np.int64), doc[owner], spelled_contexts, of[wanted])
 
 
 def slots(contexts: list[np.ndarray], step: np.ndarray, bits: int) -> list[np.ndarray]:
     """Each predictor's slot; three levels of a code lie side by side, so that they are one place in memory."""
-    local, hashes = (step >> np.uint64(LOCAL_AT)).astype(np.intp) & ((1 << GROUP) - 1), (step >> np.uint64(HASH_AT)).astype(np.uint32)
+    local, hashes = step.astype(np.uint8) >> np.uint8(LOCAL_AT) & np.uint8((1 << GROUP) - 1), (step >> np.uint64(HASH_AT)).astype(np.uint32)
+    found = []
     with np.errstate(over="ignore"):
-        return [(((c + hashes) * _MUL) >> np.uint32(32 - bits + GROUP)).astype(np.intp) << GROUP | local for c in contexts]
+        for c in contexts:
+            slot = c + hashes
+            slot *= _MUL
+            slot >>= np.uint32(32 - bits + GROUP)
+            slot <<= np.uint32(GROUP)
+            slot |= local
+            found.append(slot.astype(np.intp))
+    return found
+
 
+def _gate(low: np.ndarray) -> np.ndarray:
+    """The first gate of a step's place, from the step's low byte."""
+    return (low >> np.uint8(PLACE_AT) & np.uint8(7)) * np.uint8(LEVELS)
 
-def fields(step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bit, the first gate of its place, and the place's own prediction."""
-    place = ((step >> np.uint64(PLACE_AT)).astype(np.uint8) & np.uint8(7)) * np.uint8(LEVELS)
+
+def _prior(step: np.ndarray) -> np.ndarray:
+    """The place's own prediction."""
     prior = (step >> np.uint64(PRIOR_AT)).astype(np.uint16).view(np.int16).astype(np.float32)
-    return step.astype(np.intp) & 1, place, prior * np.float32(1 / PRIOR_UNITS)
+    prior *= np.float32(1 / PRIOR_UNITS)
+    return prior
+
+
+def _level(seen: list[np.ndarray]) -> np.ndarray:
+    """The longest context that was seen, and how often; from how often each was, 0 to 3."""
+    level = seen[0]
+    for k, x in enumerate(seen[1:], 1):
+        level = np.maximum(level, (x + np.uint8(3 * k)) * (x > 0))
+    return level
 
 
 def plain_weights() -> np.ndarray:
@@ -333,25 +373,26 @@ class Model:
     def score_encoded(self, texts: Encoded, n: int) -> np.ndarray:
         out = np.zeros(n, np.int64)
         bits, flat = self.bits, self.cost.ravel()
-        own, *others = (np.ascontiguousarray(w) for w in self.weights.T)
+        own = np.ascontiguousarray(self.weights[:, 0])
+        parts = [(w[:, None] * INPUT).ravel() for w in self.weights.T[1:]]  # by gate and what a predictor says
         for docs, firsts, contexts, step in texts.steps(self.book):
-            bit, gate, prior = fields(step)
-            inputs, level = [], np.zeros(len(bit), np.uint8)
-            for k, slot in enumerate(slots(contexts, step, bits)):
-                said = self.says[k].take(slot)
-                np.maximum(level, LEVEL[k].take(said), out=level)
-                inputs.append(INPUT.take(said.astype(np.intp)))
-            gate = (gate + level).astype(np.intp)
-            mixed = own.take(gate) * prior
-            for w, x in zip(others, inputs):  # a byte has fewer predictors than a word
-                mixed += w.take(gate) * x
+            low = step.astype(np.uint8)
+            gate, prior = _gate(low), _prior(step)
+            said = [self.says[k].take(slot, mode="wrap") for k, slot in enumerate(slots(contexts, step, bits))]
+            gate += _level([x >> np.uint8(6) for x in said])
+            mixed = own.take(gate)
+            mixed *= prior
+            row = gate.astype(np.uint16) << np.uint16(8)
+            for part, x in zip(parts, said):  # a byte has more predictors than a word
+                mixed += part.take(row | x)
             np.clip(mixed, -REACH_LOG, REACH_LOG, out=mixed)
             mixed += np.float32(REACH_LOG)
             mixed *= np.float32((BINS - 1) / (2 * REACH_LOG))
-            gate *= 2 * BINS
-            gate += np.rint(mixed).astype(np.intp) * 2
-            gate += bit
-            out[docs] += np.add.reduceat(flat.take(gate), firsts, dtype=np.int64)
+            cell = np.rint(mixed, out=mixed).astype(np.intp)
+            cell <<= 1
+            cell += gate.astype(np.intp) * (2 * BINS)
+            cell += low & np.uint8(1)
+            out[docs] += np.add.reduceat(flat.take(cell), firsts, dtype=np.int64)
         return out
 
 
@@ -409,17 +450,49 @@ def _spelled(coded: frozenset[bytes]):
     return spelled
 
 
+class Counts:
+    """How often each bit is met in each predictor's slots.
+
+    Words after a frequent word are counted as such, as there are few different ones, and their bits at the end.
+    """
+
+    def __init__(self, book: Book, bits: int) -> None:
+        self.book, self.bits = book, bits
+        self.table = np.zeros((PREDICTORS, 2 << bits), np.uint32)
+        self.pairs = np.zeros(len(book.frequent) * len(book.counts), np.uint32)
+
+    def _count(self, k: int, slot: np.ndarray, step: np.ndarray, times: np.ndarray | np.uint32) -> None:
+        slot <<= 1
+        slot |= step.astype(np.uint8) & np.uint8(1)
+        np.add.at(self.table[k], slot, times)
+
+    def add(self, texts: Encoded) -> None:
+        np.add.at(self.pairs, texts.frequent * len(self.book.counts) + texts.word, np.uint32(1))
+        for _, _, contexts, step in texts.steps(self.book):
+            first = 1 if len(contexts) < PREDICTORS else 0  # a word
+            for k, slot in enumerate(slots(contexts[first:], step, self.bits), first):
+                self._count(k, slot, step, np.uint32(1))
+
+    def done(self) -> np.ndarray:
+        book, filled = self.book, np.flatnonzero(self.pairs)
+        for lo in range(0, len(filled), PAIRS):
+            at = filled[lo : lo + PAIRS]
+            of, word = np.divmod(at, len(book.counts))
+            n = book.words.length[word]
+            contexts, step = _spread(book.words, book.words.start[word], n, [_both(book.frequent[of], np.uint32(0), 11)])
+            self._count(0, slots(contexts, step, self.bits)[0], step, np.repeat(self.pairs[at], n))
+        self.pairs[:] = 0
+        return self.table
+
+
 def _count(shared, bits: int):
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts to the counts of their bits in each predictor's slots, in compressed parts."""
         book = shared.value
-        table = np.zeros((PREDICTORS, 2 << bits), np.uint32)
-        one = np.uint32(1)
+        found = Counts(book, bits)
         for texts in _batched(it, 0):
-            for _, _, contexts, step in encode([tokens(t) for t in texts], book).steps(book):
-                bit = step.astype(np.intp) & 1
-                for k, slot in enumerate(slots(contexts, step, bits)):
-                    np.add.at(table[k], slot * 2 + bit, one)
+            found.add(encode([tokens(t) for t in texts], book))
+        table = found.done()
         pack = zstandard.ZstdCompressor(level=1)
         for k in range(PREDICTORS):
             parts = table[k].reshape(-1, min(2 * CHUNK_SLOTS, 2 << bits))
@@ -465,10 +538,7 @@ def _aligned(encoded: Encoded, book: Book) -> Iterator[tuple[bool, np.ndarray, C
         def slices(lo: int, hi: int, code=code, length=length, start=start, ends=ends, contexts=contexts) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
             while lo < hi:
                 to = min(hi, max(lo + 1, int(np.searchsorted(ends, ends[lo] + LONG_BITS, "right")) - 1))
-                n = length[lo:to]
-                place = np.arange(int(n.sum()))
-                place += np.repeat(start[lo:to] - (ends[lo:to] - ends[lo]), n)
-                yield [np.repeat(c[lo:to], n) for c in contexts], code.steps.take(place)
+                yield _spread(code, start[lo:to], length[lo:to], [c[lo:to] for c in contexts])
                 lo = to
 
         at = 0
@@ -478,6 +548,20 @@ def _aligned(encoded: Encoded, book: Book) -> Iterator[tuple[bool, np.ndarray, C
             at = to
 
 
+def _told(packed: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """What slots say once so many bits are left out: the prediction, in pairs, and how often it was seen."""
+    many = np.flatnonzero((zeros > 255) | (ones > 255)) if max(zeros.max(), ones.max()) > 255 else ()
+    zero, one = packed << np.uint16(8), packed & np.uint16(0xFF00)
+    zero |= zeros.astype(np.uint8)
+    one |= ones.astype(np.uint8)
+    left = LESS_ONE.take(one)
+    left |= LESS.take(zero)
+    if len(many):
+        few = (quantised(np.maximum(_N[q[many] >> 8] - mine[many], 0)).astype(np.uint16) for q, mine in ((zero, zeros), (one, ones)))
+        left[many] = next(few) | next(few) << np.uint16(8)
+    return TOLD.take(left)
+
+
 class Tally:
     """How often each bit is met under each gate, prediction of the predictors and prediction of its place, a text's own bits left out."""
 
@@ -485,62 +569,61 @@ class Tally:
         self.book, self.table = book, table
         self.bits = int(table.shape[1]).bit_length() - 1
         self.counts = np.zeros(WORD_CELLS + BYTE_CELLS, np.uint32)
-        self.own = np.zeros(1 << self.bits, np.uint64)  # of the text at hand: bits of 0 in the low half, of 1 in the high half
-
-    def _said(self, k: int, slot: np.ndarray, own: np.ndarray) -> np.ndarray:
-        packed, own = self.table[k].take(slot).astype(np.intp), own.view(np.int64)
-        zero, one = (packed & 255) << 8, packed & 0xFF00
-        many = np.flatnonzero(own & ~0xFF000000FF)
-        if len(many):
-            own, large = own.copy(), own[many]
-            own[many] = 0
-        zero |= own & 255
-        one |= own >> 32
-        left = LESS.take(zero) | LESS_ONE.take(one)
-        if len(many):
-            few = (quantised(np.maximum(_N[q[many] >> 8] - mine, 0)).astype(np.uint16) for q, mine in ((zero, large & 0xFFFFFFFF), (one, large >> 32)))
-            left[many] = next(few) | next(few) << np.uint16(8)
-        return SAYS.take(left)
-
-    def _count(self, spelled: bool, step: np.ndarray, places: list[np.ndarray], own: list[np.ndarray]) -> None:
-        level, cell = np.zeros(len(step), np.uint8), np.zeros(len(step), np.intp)
-        for k, slot in enumerate(places):
-            said = self._said(k, slot, own[k])
-            np.maximum(level, LEVEL[k].take(said), out=level)
-            cell <<= 5
-            cell |= COARSE.take(said)
-        place = (step >> np.uint64(PLACE_AT)).astype(np.intp) & 7
-        prior = PRIOR_BIN.take((step >> np.uint64(PRIOR_AT)).astype(np.uint16)).astype(np.intp)
+        self.own: dict[int, np.ndarray] = {}  # of the text at hand: bits of 0 in the low half, of 1 in the high half; by the bytes of a half
+
+    def _count(self, spelled: bool, step: np.ndarray, low: np.ndarray, told: list[np.ndarray]) -> None:
+        level = _level([x >> np.uint8(5) for x in told])
+        level += _gate(low)
+        cell = np.zeros(len(step), np.uint32)
+        for x in told:
+            cell <<= np.uint32(5)
+            cell |= x & np.uint8(31)
+        prior = PRIOR_BIN.take((step >> np.uint64(PRIOR_AT)).astype(np.uint16))
         if spelled:
-            cell |= ((place - 3) * LEVELS + level) << 15
-            cell = WORD_CELLS + (cell << 5 | prior >> 1 << 1)
+            cell |= (level - np.uint8(3 * LEVELS)).astype(np.uint32) << np.uint32(15)
+            cell <<= np.uint32(5)
+            cell |= prior >> np.uint8(1) << np.uint8(1)
+            cell |= low & np.uint8(1)
+            cell += np.uint32(WORD_CELLS)
         else:
-            cell |= (place * LEVELS + level) << 10
-            cell = cell << 6 | prior << 1
-        cell |= step.astype(np.intp) & 1
-        np.add.at(self.counts, cell, np.uint32(1))
+            cell |= level.astype(np.uint32) << np.uint32(10)
+            cell <<= np.uint32(6)
+            cell |= prior << np.uint8(1)
+            cell |= low & np.uint8(1)
+        np.add.at(self.counts, cell.astype(np.intp), np.uint32(1))
+
+    def _own(self, slot: np.ndarray, low: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each bit's slot, how often its text has 0 and 1 there."""
+        half = 2 if firsts[-1] < 1 << 16 else 4
+        if half not in self.own:
+            self.own[half] = np.zeros(1 << self.bits, f"u{2 * half}")
+        own = self.own[half]
+        one, found = np.array([1, 1 << 8 * half], own.dtype).take(low & np.uint8(1)), np.empty(len(slot), own.dtype)
+        for lo, hi in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            part = slot[lo:hi]
+            np.add.at(own, part, one[lo:hi])
+            own.take(part, out=found[lo:hi], mode="wrap")
+            own[part] = 0
+        packed = found.view(f"u{half}")
+        return packed[::2], packed[1::2]
 
     def add(self, texts: list[list[bytes]]) -> None:
         for spelled, firsts, slices in _aligned(encode(texts, self.book), self.book):
-            if firsts[-1] > LONG_BITS:  # one text
-                owns = np.zeros((PREDICTORS, len(self.own)), np.uint64)
+            if firsts[-1] <= LONG_BITS:
                 for contexts, step in slices():
-                    for k, slot in enumerate(slots(contexts, step, self.bits)):
-                        np.add.at(owns[k], slot, ONES.take(step.astype(np.intp) & 1))
+                    low, places = step.astype(np.uint8), slots(contexts, step, self.bits)
+                    self._count(spelled, step, low, [_told(self.table[k].take(x, mode="wrap"), *self._own(x, low, firsts)) for k, x in enumerate(places)])
+                continue
+            owns = np.zeros((PREDICTORS, 2 << self.bits), np.uint32)  # one text, over ``LONG_BITS``
+            for again in (False, True):
                 for contexts, step in slices():
+                    low = step.astype(np.uint8)
                     places = slots(contexts, step, self.bits)
-                    self._count(spelled, step, places, [owns[k].take(slot) for k, slot in enumerate(places)])
-                continue
-            for contexts, step in slices():
-                one, own, places = ONES.take(step.astype(np.intp) & 1), [], slots(contexts, step, self.bits)
-                for slot in places:
-                    own.append(np.empty(len(slot), np.uint64))
-                    for lo, hi in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
-                        part = slot[lo:hi]
-                        np.add.at(self.own, part, one[lo:hi])
-                        own[-1][lo:hi] = self.own.take(part)
-                        self.own[part] = 0
-                self._count(spelled, step, places, own)
+                    if again:
+                        self._count(spelled, step, low, [_told(self.table[k].take(x), owns[k].take(2 * x), owns[k].take(2 * x + 1)) for k, x in enumerate(places)])
+                        continue
+                    for k, x in enumerate(places):
+                        np.add.at(owns[k], x << 1 | low & 1, np.uint32(1))
 
 
 def _cells(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -635,7 +718,7 @@ def part(text: bytes, most: int) -> bytes:
 def _tally(shared):
     def tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts to how often bits are met, in compressed parts."""
-        found = Tally(*shared.value)
+        found = Tally(*(x.value for x in shared))
         for texts in _batched(it, 0):
             found.add([tokens(t) for t in texts])
         pack = zstandard.ZstdCompressor(level=1)
@@ -681,10 +764,10 @@ def logs(c: np.ndarray, unknown: int) -> np.ndarray:
     return np.rint(np.log10((c + 1) / unknown) * EXACT).astype(np.int64)
 
 
-def _score(shared, unknown: int):
+def _score(shared, weights: np.ndarray, refine: np.ndarray, unknown: int):
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (doc_id, held_out, text) to scored texts, with the block's words that have no code."""
-        model = shared.value
+        model = Model.of(*(x.value for x in shared), weights, refine)
         log, met = logs(model.book.counts, unknown), model.book.counts > 0
         log[ESCAPE] = 0
         part, n, size = TaskContext.get().partitionId(), 0, 0
@@ -771,42 +854,43 @@ def picked(train: DataFrame, sample_texts: int) -> DataFrame:
     return train.where("text is not null").orderBy("at", "text").limit(sample_texts).repartition(1).sortWithinPartitions("at", "text")
 
 
-def learn(train: DataFrame, n: int, vocabulary: DataFrame, size: int, sample_texts: int | None = None, most_bits: int = MOST_BITS) -> Model:
-    """A model of the rows (text, at) of ``train``, with ``n`` tokens and ``size`` bytes; ``at`` is a hash.
+def learn(
+    train: DataFrame, n: int, vocabulary: DataFrame, size: int, sample_texts: int | None = None, most_bits: int = MOST_BITS
+) -> tuple[list[Broadcast], np.ndarray, np.ndarray]:
+    """What ``Model.of`` takes, book and table sent to the executors (each once), from the rows (text, at) of ``train``, with ``n`` tokens and ``size`` bytes; ``at`` is a hash.
 
     Weights come from all texts, or from ``sample_texts`` of them where a caller asks for that.
     """
     spark = train.sparkSession
     book = code_book(vocabulary, n)
     bits = max(LEAST_BITS, min(most_bits, (4 * n).bit_length()))
-    shared = spark.sparkContext.broadcast(book)
+    shared = [spark.sparkContext.broadcast(book)]
     tasks = max(spark.sparkContext.defaultParallelism, -(-size // COUNT_BYTES))
-    parts = train.select("text").coalesce(tasks).mapInArrow(_count(shared, bits), "k int, chunk int, counts binary")
+    parts = train.select("text").coalesce(tasks).mapInArrow(_count(shared[0], bits), "k int, chunk int, counts binary")
     summed = parts.repartition("k", "chunk").sortWithinPartitions("k", "chunk").mapInArrow(_sum, "k int, chunk int, counts binary")
     table = np.zeros((PREDICTORS, 1 << bits), "<u2")
     for r in summed.collect():  # at most 2 ** (MOST_BITS + 1) bytes for each predictor
         part = np.frombuffer(r["counts"], "<u2")
         table[r.k, r.chunk * len(part) : (r.chunk + 1) * len(part)] = part
-    learned = spark.sparkContext.broadcast((book, table))
+    shared.append(spark.sparkContext.broadcast(table))
     chosen = picked(train, sample_texts) if sample_texts else train.coalesce(tasks)
-    parts = chosen.select("text").mapInArrow(_tally(learned), "chunk int, counts binary")
+    parts = chosen.select("text").mapInArrow(_tally(shared), "chunk int, counts binary")
     filled = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_filled, "chunk int, at binary, zeros binary, ones binary")
     rows = sorted(filled.collect())  # at most WORD_CELLS + BYTE_CELLS counts, of which few are filled
-    weights, refine = solved(*(np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((1, "<i4"), (2, "<i8"), (3, "<i8"))))
-    return Model.of(book, table, weights, refine)
+    return shared, *solved(*(np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((1, "<i4"), (2, "<i8"), (3, "<i8"))))
 
 
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of each row; rows with ``held_out`` are not learned from."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(held_out).alias("held_out"), F.col(text).alias("text"))
     train = rows.where("not held_out")
     vocabulary = saved(train.select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
     n, v, size = (x or 0 for x in vocabulary.agg(F.sum("c"), F.count("*"), F.sum(F.col("c") * (F.length("word") + 1))).first())
-    model = learn(train.select("text", F.xxhash64(row_key(F.col("doc_id"), F.col("text"))).alias("at")), n, vocabulary, size)
+    shared, weights, refine = learn(train.select("text", F.xxhash64(row_key(F.col("doc_id"), F.col("text"))).alias("at")), n, vocabulary, size)
     unknown = n + v + 1
-    shared = spark.sparkContext.broadcast(model)
-    scored = saved(rows.select("doc_id", "held_out", "text").mapInArrow(_score(shared, unknown), _SCHEMA), "scored", ["kind"])
+    scored = saved(rows.select("doc_id", "held_out", "text").mapInArrow(_score(shared, weights, refine, unknown), _SCHEMA), "scored", ["kind"])
+    for x in shared:  # what follows reads stored tables only
+        x.destroy()
     words = scored.where(f"kind = {WORD}").select("word", F.col("block").alias("of"), "id")
     looked_up = words.join(vocabulary, "word").select("of", "id", "c")
     texts = scored.where(f"kind = {DOC}").select("block", "doc_id", "held_out", "n_tokens", "n_bytes", "n_known", "base", "score", "ids")

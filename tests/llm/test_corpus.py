@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import hashlib
 import math
+import pickle
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -619,3 +620,45 @@ def test_weights_come_from_all_training_texts(spark, monkeypatch):
     alone.add(train[:1])
     gates, inputs = lm_scoring._cells(np.flatnonzero(alone.counts.reshape(-1, 2).any(axis=1)))
     assert (np.abs(inputs[1:]) < 0.3).all()  # counts of the text alone say nothing once they are left out
+
+
+def test_the_code_travels_as_its_tree():
+    """What tasks get of a book is smaller than its steps, and gives the same code."""
+    rng = np.random.default_rng(2)
+    counts = sorted((int(x) for x in rng.zipf(1.3, 5000) % 100_000 + 8), reverse=True)
+    book = lm_scoring.Book([f"w{i}".encode() for i in range(5000)], counts, 100, 50, [i % 90 for i in range(256)])
+    sent = pickle.dumps(book)
+    assert len(sent) < book.words.steps.nbytes / 2
+    again = pickle.loads(sent)
+    for a, b in ((book.words, again.words), (book.bytes, again.bytes)):
+        assert (a.start == b.start).all() and (a.length == b.length).all() and (a.steps == b.steps).all()
+    assert again.index == book.index and (again.hashes == book.hashes).all()
+    assert sum(0.5 ** book.words.length) == 1  # a full code
+
+
+def test_book_and_table_are_sent_once(docs, spark, monkeypatch):
+    """Each broadcast is a file on the driver and on every executor, so none holds what another has, and all are given up."""
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: sent.append((x, send(self, x))) or sent[-1][1])
+    rows = lm_scoring.scores(docs.withColumn("held_out", F.lit(False)))
+    assert [type(x) for x, _ in sent] == [lm_scoring.Book, np.ndarray]
+    assert not any(os.path.exists(b._path) for _, b in sent)
+    assert rows.count() == docs.count()  # the result reads stored tables only
+
+
+def test_a_long_text_is_left_out_alike(monkeypatch):
+    """Counts of a text of 2 ** 16 bits or more are kept in wider numbers, those over ``LONG_BITS`` in tables; all give what smaller ones do."""
+    model, every = small_model()
+    long = [every[i % 30][i % 7] for i in range(9000)]
+    table = np.random.default_rng(5).integers(0, 1 << 16, (3, 1 << 10)).astype(np.uint16)
+    seen = []
+    for most, step in ((1 << 20, 16_384), (1000, 500)):
+        monkeypatch.setattr(lm_scoring, "LONG_BITS", most)
+        monkeypatch.setattr(lm_scoring, "STEP_BITS", step)
+        tally = lm_scoring.Tally(model.book, table)
+        tally.add([every[0], [*long, b"zz\xc3\xa9" * 3, lm_scoring.END], every[1]])
+        seen.append(tally.counts)
+    assert (seen[0] == seen[1]).all() and seen[0].sum() > 9000
+    own = lm_scoring.Tally(model.book, table)
+    one, two = own._own(np.array([3, 3, 3, 5, 3]), np.array([1, 0, 1, 1, 1], np.uint8), np.array([0, 4, 5]))
+    assert one.tolist() == [1, 1, 1, 0, 0] and two.tolist() == [2, 2, 2, 1, 1]
