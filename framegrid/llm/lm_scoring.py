@@ -186,6 +186,61 @@ class Book:
         self.hashes = _hash32(np.arange(len(words) + 2, dtype=np.uint64) + np.uint64(1))
         #: Of no frequent word, then of each.
         self.frequent = np.concatenate([np.array([7], np.uint32), self.hashes[STOP + 1 : STOP + 1 + FREQUENT]])
+        self._short()
+
+    def __reduce__(self) -> tuple:
+        return _book, ({k: v for k, v in vars(self).items() if k not in ("keys", "symbols")},)
+
+    def _short(self) -> None:
+        """A hash table of the words of up to 7 bytes: their keys, and their symbols. What is not free is sought in the next slot."""
+        words = [w for w in self.index if len(w) < 8]
+        key = np.array([int.from_bytes(w, "little") | len(w) << 56 for w in words], np.uint64)
+        symbol = np.array([self.index[w] for w in words], np.int64)
+        size = 1 << (4 * len(words)).bit_length()
+        self.keys, self.symbols = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        at = _spots(key, size)
+        while len(key):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = key[free]
+            put = self.keys[at] == key
+            self.symbols[at[put]] = symbol[put]
+            key, symbol, at = key[~put], symbol[~put], (at[~put] + 1) & (size - 1)
+
+    def find(self, words: list[bytes], raw: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The symbol of each word, which is also given by its place in ``raw``; 8 bytes at least stand from each on."""
+        out = np.full(len(words), ESCAPE, np.int64)
+        long = np.flatnonzero(lengths > 7)
+        out[long] = np.fromiter(map(self.index.get, map(words.__getitem__, long.tolist()), repeat(ESCAPE)), np.int64, len(long))
+        eight = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
+        for lo in range(0, len(words), STEP_BITS):
+            here = starts[lo : lo + STEP_BITS]
+            size = np.minimum(lengths[lo : lo + STEP_BITS], 8).astype(np.uint64)
+            key = eight[here[0] : here[-1] + 1].copy().take(here - here[0], mode="wrap")
+            key &= (np.uint64(1) << (size << np.uint64(3))) - np.uint64(1)
+            key |= size << np.uint64(56)
+            key[size > 7] = 0  # found above
+            at, short = _spots(key, len(self.keys)), None
+            while len(key):
+                there = self.keys.take(at, mode="wrap")
+                hit = np.flatnonzero((there == key) & (key > 0))
+                out[lo + (hit if short is None else short[hit])] = self.symbols.take(at[hit], mode="wrap")
+                left = np.flatnonzero((there != key) & (there > 0) & (key > 0))
+                short, key, at = left if short is None else short[left], key[left], (at[left] + 1) & (len(self.keys) - 1)
+        return out
+
+
+def _book(state: dict) -> Book:
+    book = Book.__new__(Book)
+    vars(book).update(state)
+    book._short()
+    return book
+
+
+def _spots(key: np.ndarray, size: int) -> np.ndarray:
+    """Where keys are sought first in a table of 2 ** n slots."""
+    with np.errstate(over="ignore"):
+        h = (key ^ key >> np.uint64(29)) * np.uint64(_BASE)
+    return (h >> np.uint64(65 - size.bit_length())).astype(np.intp)
 
 
 @dataclass
@@ -252,12 +307,13 @@ def encode(texts: list[list[bytes]], book: Book) -> Encoded:
     first = (np.cumsum(sizes) - sizes)[part]
     n = len(every)
     at = np.arange(n)
-    raw = np.frombuffer(b"".join(buffer), np.uint8)
+    joined = b"".join([*buffer, _PAD])
+    raw = np.frombuffer(joined, np.uint8)
     ends = np.flatnonzero(raw == CLOSE)  # a space after each token, and none inside
     starts = np.concatenate([[0], ends[:-1] + 1]) + len(_PAD) * (at == first)
     lengths = ends - starts
     raw = raw.astype(np.uint32)
-    symbol = np.fromiter(map(book.index.get, every, repeat(ESCAPE)), np.int64, n)
+    symbol = book.find(every, joined, starts, lengths)
 
     spelled = np.flatnonzero(symbol == ESCAPE)
     long = lengths[spelled] + 1
@@ -360,7 +416,7 @@ class Model:
 
     @staticmethod
     def of(book: Book, table: np.ndarray, weights: np.ndarray, refine: np.ndarray) -> Model:
-        return Model(book, SAYS[table], weights.astype(np.float32), costs(refine))
+        return Model(book, SAYS.take(table), weights.astype(np.float32), costs(refine))
 
     @property
     def bits(self) -> int:

@@ -662,3 +662,13 @@ def test_a_long_text_is_left_out_alike(monkeypatch):
     own = lm_scoring.Tally(model.book, table)
     one, two = own._own(np.array([3, 3, 3, 5, 3]), np.array([1, 0, 1, 1, 1], np.uint8), np.array([0, 4, 5]))
     assert one.tolist() == [1, 1, 1, 0, 0] and two.tolist() == [2, 2, 2, 1, 1]
+
+
+def test_words_are_found_in_arrays():
+    """Short words by their bytes and length, others by name: what the index says, for words with zero bytes and of 7, 8 and 9 bytes too."""
+    rng = random.Random(4)
+    known = list(dict.fromkeys(bytes(rng.choice(b"abc\0\xc3") for _ in range(rng.randrange(1, 10))) for _ in range(4000)))
+    book = pickle.loads(pickle.dumps(lm_scoring.Book(known, [9] * len(known), 5, 3, [1] * 256)))
+    asked = [bytes(rng.choice(b"abc\0\xc3") for _ in range(rng.randrange(1, 10))) for _ in range(40_000)] + [lm_scoring.END]
+    assert lm_scoring.encode([asked], book).word.tolist() == [book.index.get(w, lm_scoring.ESCAPE) for w in asked]
+    assert len(lm_scoring.encode([], book).word) == 0
